@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     how = (id_col, text_col, n, lower)
     sk = written(_sketches(docs, *how, t, rows), "sketch")
     sets = sk.where("n > 0 and id is not null")
-    classes = sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
+    classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
     member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member")
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framegauge.llm import near_dedup
+from framegauge.llm import chat, decontaminate, lm_score, mixing, near_dedup, quality, secrets, sharding, url_filter, warc
+from framegauge.llm.common import shared_dir
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +33,172 @@ from n join (select id, min(c) as c from r group by id) m on m.id = n.doc_id
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    rows = warc.read_all(warc.index_archives(spark, path), path)
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+with recursive d as (select page_id, encode(coalesce(html, '')) as b from pages),
+f as (select page_id, octet_length(b) as n, sha1(b) as h, min(page_id) over (partition by sha1(b)) as first from d),
+g as (select *, list_transform(range(0, 8), lambda k: cast(('0x' || substr(h, 5 * k + 1, 5)) as bigint)) as five from f),
+c as (select *, list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((five[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31 as bigint) + 1, 1)) as letters from g)
+select page_id, n as payload_bytes, array_to_string(letters, '') as payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id = first then null else first end as refers_to from c
+"""
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = secrets.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return df.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(secrets.joined(F.col("base_spans")), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"))
+
+
+def _op3_sql() -> str:
+    """One list of matches per kind with summed positions; windows counted from scratch."""
+    quoted = lambda x: x.replace("'", "''")
+    found = lambda kind, pattern, group, least: f"select doc_id, t, '{kind}' as kind, {secrets.KINDS.index(kind) if kind in secrets.KINDS else 9} as o, regexp_extract_all(t, '{quoted(pattern)}') as hits, regexp_extract_all(t, '{quoted(pattern)}', {group}) as counted, regexp_split_to_array(t, '{quoted(pattern)}') as gaps, {least} as least from d"
+    kinds = [found(k, *secrets.BASE[k]) for k in secrets.BASE] + [found("candidate", secrets.CANDIDATE, 0, 0)]
+    allow = " or ".join(f"regexp_matches(v, '{quoted(p)}')" for p in secrets.ALLOW)
+    table = "[" + ", ".join(map(str, secrets.XLOGX)) + "]"
+    hex_kind, b64_kind = secrets.CLASSES
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+m as ({" union all ".join(kinds)}),
+p as (select doc_id, kind, o, least, counted, hits, gaps, unnest(range(1, len(hits) + 1)) as i from m),
+s as (select doc_id, kind, o, hits[i] as v, length(counted[i]) >= least as good, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as a from p),
+b as (select doc_id, kind, o, a, a + length(v) as e from s where kind <> 'candidate' and good),
+c as (select doc_id, a, v, a + length(v) as e, regexp_matches(v, '^[0-9A-Fa-f]+$') as hexed from s where kind = 'candidate' and not ({allow})),
+x as (select doc_id, a, e, hexed, w, unnest(string_split(substr(case when hexed then lower(v) else v end, w, {secrets.WINDOW}), '')) as ch from (select *, unnest(range(1, length(v) - {secrets.WINDOW - 2})) as w from c)),
+y as (select doc_id, a, e, hexed, w, count(*) as k from x group by doc_id, a, e, hexed, w, ch),
+z as (select doc_id, a, e, hexed, sum({table}[k + 1]) as q from y group by doc_id, a, e, hexed, w),
+h as (select doc_id, case when hexed then '{hex_kind}' else '{b64_kind}' end as kind, case when hexed then {secrets.KINDS.index(hex_kind)} else {secrets.KINDS.index(b64_kind)} end as o, a, e from z group by doc_id, a, e, hexed having min(q) <= case when hexed then {secrets.most_repeated(secrets.CLASSES[hex_kind][1])} else {secrets.most_repeated(secrets.CLASSES[b64_kind][1])} end),
+j as (select doc_id, string_agg(kind || ':' || a || ':' || e, ',' order by a, o) as text, count(*) filter (kind = 'assign') as n1, count(*) filter (kind = 'access') as n2, count(*) filter (kind = 'hex') as n3 from b group by doc_id),
+k as (select doc_id, string_agg(kind || ':' || a || ':' || e, ',' order by a, o) as text from (select * from b union all select * from h) group by doc_id)
+select d.doc_id, coalesce(n1, 0) as n_assign, coalesce(n2, 0) as n_access, coalesce(n3, 0) as n_hex, sha256(coalesce(j.text, '')) as base_sha256, coalesce(k.text, '') as spans
+from d left join j on j.doc_id = d.doc_id left join k on k.doc_id = d.doc_id
+"""
+
+
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    return chat.digests(chat.format_turns(rows.union(more))).drop("n_examples")
+
+
+OP4_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>') as body from c)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+ coalesce(sum(length(text)) filter (role = 'assistant'), 0) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+ sum(length(role) + length(body) + 15) as formatted_chars from e group by conv_id
+"""
+
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of keys stands for a public block list: the eighth of all host-and-path keys with the lowest MD5."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    host, path = url_filter.host_and_path(F.col("_url"))
+    key = F.concat(host, path)
+    universe = pages.withColumn("_url", F.col("url")).select(key.alias("key")).distinct().withColumn("listed", F.md5(F.col("key").cast("binary")) < "20")
+    return url_filter.judge(pages, URL_RULES, url_filter.cascade(universe)).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP5_SQL = r"""
+with p as (select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) end as rest from pages),
+h as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from p),
+r as (select *, case when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/en/1') then 'example.org/en/1'
+ when (host = 'example.org' or ends_with(host, '.example.org')) and starts_with(path, '/es/') then 'example.org/es/'
+ when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/fr/') then 'com/fr/'
+ when (host = 'com' or ends_with(host, '.com')) and starts_with(path, '/de/') then 'com/de/'
+ when (host = 'org' or ends_with(host, '.org')) and starts_with(path, '/') then 'org/' end as rule from h)
+select page_id, host, path, rule, case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block' when md5(host || path) < '20' then 'block' else 'allow' end as verdict from r
+"""
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = quality.judge(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+_STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+OP6_SQL = rf"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+w as (select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls from d),
+g as (select doc_id, i, array_to_string(ws[i:i + 7], ' ') as gram from (select doc_id, ws, unnest(range(1, len(ws) - 6)) as i from w where len(ws) >= 8)),
+c as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, gram) as k from g) where k > 1),
+r as (select doc_id, sum(least(8, coalesce(nxt - i, 8))) as n from (select doc_id, i, lead(i) over (partition by doc_id order by i) as nxt from c) group by doc_id),
+m as (select w.doc_id, cast(len(ws) as bigint) as n_words, cast(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
+  cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
+  cast(coalesce(r.n, 0) as bigint) as n_repeat_words, len(list_intersect(list_distinct(list_transform(ws, lambda x: lower(x))), [{_STOP}])) as n_stop_words
+  from w left join r on r.doc_id = w.doc_id),
+f as (select *, list_filter([{", ".join(f"case when {c} then null else '{n}' end" for n, c in quality.RULES)}], lambda x: x is not null) as failed from m)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, not (({quality.RULES[0][1]}) and ({quality.RULES[1][1]})) as base_failed, len(failed) = 0 as kept, array_to_string(failed, ',') as failed_rules from f
+"""
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_SHINGLES = r"""select {id} as id, unnest(list_distinct(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end)) as sh
+ from (select {id}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from {table})"""
+OP7_SQL = f"""
+with d as ({_SHINGLES.format(id="doc_id", table="documents")}), b as ({_SHINGLES.format(id="item_id", table="benchmark")}),
+s as (select id, list(sh order by sh) as sh from b group by id), c as (select min(id) as item, count(*) as n_items, len(any_value(sh)) as n from s group by sh),
+p as (select d.id as doc_id, b.id as item_id, count(*) as k from d join b on d.sh = b.sh where b.id in (select item from c) group by 1, 2)
+select doc_id, item_id, n_items, n as n_shingles, k as n_shared from p join c on c.item = p.item_id where 100 * k >= 80 * n
+"""
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
+
+
+OP8_SQL = r"""
+with recursive t0 as (select range as i, range as c, 0 as k from range(256) union all select i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from t0 where k < 8),
+tab as (select list(c order by i) as tab from t0 where k = 8),
+d as (select doc_id, source, octet_length(encode(coalesce(text, ''))) + 1 as size, md5('1:' || coalesce(cast(doc_id as varchar), 'null')) as key, list_prepend(cast(4294967295 as bigint), list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast(('0x' || h) as bigint))) as bs from documents),
+e as (select doc_id, source, size, key, xor(list_reduce(bs, lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) as crc from d, tab),
+r as (select *, coalesce('=' || source, '') as grp, (2 * (row_number() over (partition by source order by key, doc_id, crc) - 1) + 1)::double / (2 * count(*) over (partition by source)) as frac from e),
+p as (select *, row_number() over (order by frac, grp, key, doc_id, crc) - 1 as pos, count(*) over () as n from r),
+s as (select *, pos * 8 // n as shard from p)
+select doc_id, source, size, crc as text_crc32, 'rows' as law, cast(shard as int) as shard, pos - (shard * n + 7) // 8 as slot, cast(null as int) as grown_shard from s
+"""
+
+
+def op10_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+OP10_SQL = r"""
+with s as (select source, count(*) as n from documents group by source), g as (select sum(n) as rows, count(*) as k from s),
+r as (select source, cast(rows as double) / (k * n) as rate from s, g),
+c as (select source, rate, list_transform(range(0, cast(ceil(rate + 12 * sqrt(rate) + 25) as bigint) + 1), lambda k: list_sum(list_transform(range(0, k + 1), lambda j: exp(-rate + j * ln(rate) - lgamma(j + 1))))) as cdf from r),
+u as (select doc_id, source, cast(('0x' || substr(md5('1:' || coalesce(cast(doc_id as varchar), 'null') || ':1'), 1, 13)) as bigint) / 4503599627370496.0::double as u from documents),
+d as (select doc_id, u.source, rate, len(list_filter(cdf, lambda f: f <= u)) as copies from u join c on c.source is not distinct from u.source)
+select doc_id, source, rate, copies, copy, md5('1:order:' || coalesce(cast(doc_id as varchar), 'null') || ':' || copy) as shuffle_key
+from (select *, unnest(range(1, copies + 1)) as copy from d)
+"""
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality; background: all documents."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.score(_table(spark, sf_dir, "documents"), good)
+
+
+_QUERIES = (op1_minhash_near_dedup, op2_warc, op3_secret_scan, op4_chat_formatting, op5_url_filter, op6_quality_rules, op7_benchmark_decontamination, op8_sharding, op9_lm_scoring, op10_poisson_mixing)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_minhash_near_dedup,)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1_SQL}
+    """No SQL for op9: its counts live in hashed cells; tests compare it with a plain version."""
+    sql = (OP1_SQL, OP2_SQL, _op3_sql(), OP4_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP8_SQL, None, OP10_SQL)
+    return {f.__name__: x for f, x in zip(_QUERIES, sql, strict=True) if x}
