@@ -20,7 +20,7 @@ RULES = [
     ("symbols", "10 * n_symbols <= n_words"),
     ("short_words", "word_chars >= 2 * n_words"),
     ("long_words", "word_chars <= 16 * n_words"),
-    ("stop_words", "n_stop_words >= 2"),
+    ("stop_words", "n_stop_words >= 2 or n_words < 50"),
     ("repeated_lines", "2 * n_dup_lines <= n_lines"),
 ]
 
