@@ -25,35 +25,43 @@ RULES = [
 ]
 
 
-def _repeat_words(n: Column) -> Column:
-    """Words covered by windows of eight words whose hash is there twice; ``w8`` holds the hashes in order."""
-    pairs = F.sort_array(F.transform("w8", lambda h, i: F.struct(h.alias("h"), (i + 1).cast("int").alias("i"))))
-    return F.when(F.size(F.array_distinct("w8")) < F.size("w8"), pairs)
+def _pairwise(column: str, step: int, n: Column) -> Column:
+    """Hashes of twice as many words: each hash joined with the one ``step`` words on."""
+    return F.transform(F.slice(column, 1, F.greatest(n, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(F.col(column), i + step)))
+
+
+def _repeated(column: str) -> Column:
+    return F.size(F.array_distinct(column)) < F.size(column)
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and n_stop_words (long).
 
     A null text counts as empty. Columns of the input with those names are replaced; all others stay."""
-    own = ["_text", "_words", "w8", "_pairs", "_at"]
     df = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     df = df.withColumn("_words", F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), ""))
     n = F.size("_words")
-    lines = F.filter(F.split("_text", "\n"), lambda x: F.translate(x, SPACES, "") != "")
+    stop = F.array(*map(F.lit, [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]))
+    symbols = F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))
     df = df.withColumns({
         "n_words": n.cast("long"),
-        "word_chars": F.length(F.translate("_text", SPACES, "")).cast("long"),
-        "n_symbols": (F.length("_text") - F.length(F.translate("_text", SYMBOLS, ""))).cast("long"),
-        "_lines": lines,
-        "n_stop_words": F.size(F.array_intersect(F.transform(F.array_distinct("_words"), lambda w: F.lower(w)), F.array(*map(F.lit, STOP_WORDS)))).cast("long"),
-        "w8": F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")),
+        "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+        "n_symbols": F.when(F.col("_text").rlike(f"[{SYMBOLS}]"), symbols).otherwise(0).cast("long"),
+        "_lines": F.filter(F.split("_text", "\n"), lambda x: F.trim(x, F.lit(SPACES)) != ""),
+        "n_stop_words": F.size(F.array_distinct(F.transform(F.array_intersect("_words", stop), lambda w: F.lower(w)))).cast("long"),
+        "_w1": F.when(n >= WINDOW, F.transform("_words", lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")),
     })
-    df = df.withColumns({"n_lines": F.size("_lines").cast("long"), "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"), "_pairs": _repeat_words(n)})
+    # hashes of 2, 4 and 8 words; a window that is there twice has its first half there twice
+    size = F.size("_w1")
+    df = df.withColumn("_w2", _pairwise("_w1", 1, size - 1)).withColumn("_w4", _pairwise("_w2", 2, size - 3))
+    df = df.withColumn("_w8", F.when(_repeated("_w4"), _pairwise("_w4", 4, size - 7)))
+    pairs = F.sort_array(F.transform("_w8", lambda h, i: F.struct(h.alias("h"), (i + 1).cast("int").alias("i"))))
+    df = df.withColumns({"n_lines": F.size("_lines").cast("long"), "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"), "_pairs": F.when(_repeated("_w8"), pairs)})
     at = lambda a, i: F.get(F.col(a), i)
     twice = F.filter(F.transform("_pairs", lambda p, i: F.when((at("_pairs", i - 1)["h"] == p["h"]) | (at("_pairs", i + 1)["h"] == p["h"]), p["i"])), lambda x: x.isNotNull())
     df = df.withColumn("_at", F.sort_array(twice))
     covered = F.aggregate(F.transform("_at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(at("_at", i + 1) - p, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop(*own, "_lines")
+    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_text", "_words", "_lines", "_w1", "_w2", "_w4", "_w8", "_pairs", "_at")
 
 
 def judge(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -69,6 +77,10 @@ def judge(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str]]
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that pass every rule, with their own columns only."""
+    """The documents that pass every rule, with their own columns only.
+
+    The row number keeps the optimizer from pushing the verdict, and with it a copy of every measure, below the
+    projection that computes them once."""
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return judge(docs.select(F.col(text_col).alias("_judged"), own.alias("_row")), "_judged").where("kept").select("_row.*")
+    judged = judge(docs.select(F.col(f"`{text_col}`").alias("_judged"), own.alias("_row")), "_judged")
+    return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_nth")).where("kept and _nth >= 0").select("_row.*")

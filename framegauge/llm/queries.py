@@ -91,8 +91,8 @@ OP4_SQL = r"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 e as (select *, replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>') as body from c)
 select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
- coalesce(sum(length(text)) filter (role = 'assistant'), 0) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
- sum(length(role) + length(body) + 15) as formatted_chars from e group by conv_id
+ cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+ cast(sum(length(role) + length(body) + 15) as bigint) as formatted_chars from e group by conv_id
 """
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -124,7 +124,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+_STOP = ", ".join(f"'{w}'" for w in [*quality.STOP_WORDS, *(w.capitalize() for w in quality.STOP_WORDS)])
 OP6_SQL = rf"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 w as (select doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as ls from d),
@@ -133,7 +133,7 @@ c as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_i
 r as (select doc_id, sum(least(8, coalesce(nxt - i, 8))) as n from (select doc_id, i, lead(i) over (partition by doc_id order by i) as nxt from c) group by doc_id),
 m as (select w.doc_id, cast(len(ws) as bigint) as n_words, cast(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as bigint) as word_chars,
   cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols, cast(len(ls) as bigint) as n_lines, cast(len(ls) - len(list_distinct(ls)) as bigint) as n_dup_lines,
-  cast(coalesce(r.n, 0) as bigint) as n_repeat_words, len(list_intersect(list_distinct(list_transform(ws, lambda x: lower(x))), [{_STOP}])) as n_stop_words
+  cast(coalesce(r.n, 0) as bigint) as n_repeat_words, len(list_distinct(list_transform(list_intersect(list_distinct(ws), [{_STOP}]), lambda x: lower(x)))) as n_stop_words
   from w left join r on r.doc_id = w.doc_id),
 f as (select *, list_filter([{", ".join(f"case when {c} then null else '{n}' end" for n, c in quality.RULES)}], lambda x: x is not null) as failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, not (({quality.RULES[0][1]}) and ({quality.RULES[1][1]})) as base_failed, len(failed) = 0 as kept, array_to_string(failed, ',') as failed_rules from f
