@@ -4,8 +4,8 @@ Two bigram models, of the target documents and of all documents, share one vocab
 corpus; all others are one unknown word), one order and one smoothing. A document's score is the mean over its tokens of
 the target model's loss less the background model's: low scores are like the target.
 
-Bigram counts live in a table of fixed size, indexed by hash, and never count for more than either of their words; so
-a model has the same size for any corpus, and what is broadcast is bounded by ``words`` and ``cells``."""
+All bigrams of all documents are counted exactly. The models keep the most frequent ones, ``BIGRAMS`` at most; the others
+back off to their word's share, as in any pruned n-gram model. So what is broadcast has a bound for any corpus."""
 
 from __future__ import annotations
 
@@ -13,10 +13,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from framegauge.llm.common import U64, hash_words, mix, text_chunks, written
+from framegauge.llm.common import U64, hash_words, text_chunks, written
 
-WORDS, CELLS, PRIOR = 1 << 16, 1 << 20, 4.0
+WORDS, BIGRAMS, PRIOR = 1 << 16, 1 << 20, 4.0
+#: Up to so many integer ids of the target are sent to the workers (32 MB); more are joined.
+TARGET_IDS = 1 << 22
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -57,52 +60,94 @@ def token_ids(words: np.ndarray, vocab: np.ndarray) -> np.ndarray:
     return np.where(vocab[at] == words, at + 1, 0)
 
 
-def _bigrams(ids: np.ndarray, at: np.ndarray, start: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each token (``start`` at a text's beginning) and the cell of each bigram."""
+def _bigrams(ids: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each token (``start`` at a text's beginning) and the number of each pair."""
     before = np.empty_like(ids)
     before[1:] = ids[:-1]
-    first = at[:-1][np.diff(at) > 0]
-    before[first] = start
-    return before, (mix(before.astype(U64) << U64(32) | ids.astype(U64)) & U64(cells - 1)).astype(np.int64)
+    before[at[:-1][np.diff(at) > 0]] = start
+    return before, before << 32 | ids
 
 
-def model_counts(texts: DataFrame, vocab: np.ndarray, cells: int = CELLS) -> DataFrame:
-    """``(slot, n)``: slots under ``cells`` are bigram cells, then words by id, then contexts by id."""
+def model_counts(texts: DataFrame, vocab: np.ndarray, wanted: np.ndarray | None = None, most: int = 1 << 19) -> DataFrame:
+    """``(slot, n, k)``: slots from 0 are pairs, -1 - id are words, and under them the contexts; n counts all texts, k the target's.
+
+    ``texts`` has mark and text. Without ``wanted`` the mark is a boolean; with it, the mark is an id and ``wanted`` the sorted ids of the target."""
     start = vocab.size + 1
 
     def run(batches):
-        total = np.zeros(cells + 2 * (start + 1), np.int64)
+        total = np.zeros((2, 2 * (start + 1)), np.int64)
+        kept = np.zeros((3, 0), np.int64)
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
+            marks = batch.column(0)
+            if wanted is None:
+                hit = marks.fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+            else:
+                ids = marks.fill_null(0).to_numpy(zero_copy_only=False)
+                at = np.minimum(np.searchsorted(wanted, ids), max(wanted.size - 1, 0))
+                hit = (wanted[at] == ids) & ~marks.is_null().to_numpy(zero_copy_only=False) if wanted.size else np.zeros(len(ids), bool)
+            for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 words, at = hash_words(data, offsets)
-                if words.size:
-                    ids = token_ids(words, vocab)
-                    before, cell = _bigrams(ids, at, start, cells)
-                    total += np.bincount(np.concatenate([cell, ids + cells, before + cells + start + 1]), minlength=total.size)
-        slots = np.flatnonzero(total)
-        for lo in range(0, slots.size, 50_000):
-            s = slots[lo : lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(total[s])], ["slot", "n"])
-
-    return texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+                if not words.size:
+                    continue
+                ids = token_ids(words, vocab)
+                before, pair = _bigrams(ids, at, start)
+                of = np.repeat(hit[lo:hi], np.diff(at))
+                for row, pick in enumerate((slice(None), of)):
+                    total[row] += np.bincount(np.concatenate([ids[pick], before[pick] + start + 1]), minlength=total.shape[1])
+                found, nth = np.unique(pair, return_inverse=True)
+                new = np.vstack([found, np.bincount(nth, minlength=found.size), np.bincount(nth[of], minlength=found.size)])
+                kept = np.hstack([kept, new])
+                if kept.shape[1] > 2 * most:
+                    kept = _summed(kept)
+                    if kept.shape[1] > most:
+                        yield from _rows(kept)
+                        kept = np.zeros((3, 0), np.int64)
+        yield from _rows(_summed(kept))
+        some = np.flatnonzero(total[0])
+        yield from _rows(np.vstack([-1 - some, total[0][some], total[1][some]]))
+
+    def _summed(rows):
+        slots, nth = np.unique(rows[0], return_inverse=True)
+        out = np.zeros((3, slots.size), np.int64)
+        out[0] = slots
+        np.add.at(out[1], nth, rows[1])
+        np.add.at(out[2], nth, rows[2])
+        return out
+
+    def _rows(rows):
+        for lo in range(0, rows.shape[1], 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[lo : lo + 50_000])) for r in rows], ["slot", "n", "k"])
+
+    return texts.select("mark", "text").mapInArrow(run, "slot long, n long, k long").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+
+
+def most_frequent(pairs: DataFrame, most: int) -> DataFrame:
+    """The pairs at or over the lowest level of frequency, in steps of a 64th of a doubling, that at most ``most`` of them reach."""
+    level = F.floor(64 * F.log2("n"))
+    steps = sorted(pairs.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level)
+    left, least = most, None
+    for r in steps:
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r.level
+    return pairs.where(level >= least) if least is not None else pairs.where("false")
 
 
 class Model:
-    """A smoothed bigram model: (min(bigram, word, context) + prior * unigram) / (context + prior)."""
+    """A smoothed bigram model: (pair + prior * word's share) / (context + prior)."""
 
-    def __init__(self, counts: np.ndarray, size: int, cells: int, prior: float):
-        self.cells, self.prior = cells, prior
-        self.bigram = counts[:cells]
-        self.word = counts[cells : cells + size + 2]
-        self.context = counts[cells + size + 2 :]
-        self.unigram = (self.word + 1.0) / (self.word.sum() + size + 1.0)
+    def __init__(self, pairs: np.ndarray, words: np.ndarray, size: int, prior: float):
+        self.pairs, self.prior = pairs, prior
+        self.word, self.context = words[: size + 2], words[size + 2 :]
+        self.share = (self.word + 1.0) / (self.word.sum() + size + 1.0)
 
-    def loss(self, before: np.ndarray, ids: np.ndarray, cell: np.ndarray) -> np.ndarray:
-        together = np.minimum(self.bigram[cell], np.minimum(self.word[ids], self.context[before]))
-        return np.log(self.context[before] + self.prior) - np.log(together + self.prior * self.unigram[ids])
+    def loss(self, before: np.ndarray, ids: np.ndarray, place: np.ndarray, known: np.ndarray) -> np.ndarray:
+        together = np.where(known, self.pairs[place], 0) if self.pairs.size else np.zeros(ids.size)
+        return np.log(self.context[before] + self.prior) - np.log(together + self.prior * self.share[ids])
 
 
-def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, cells: int = CELLS, least: int = 2, prior: float = PRIOR) -> DataFrame:
+def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bigrams: int = BIGRAMS, least: int = 2, prior: float = PRIOR) -> DataFrame:
     """``(id_col, n_tokens, target_loss, background_loss, score)``, a row for every input row.
 
     The target model counts the documents whose id is in ``target_ids`` (column ``id_col``), the background model all.
@@ -111,16 +156,23 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     uniform; an empty table gives no rows."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     vocab = vocabulary(src, words, least)
-    target = src.join(target_ids.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-    both = model_counts(src, vocab, cells).withColumn("k", F.lit(0)).union(model_counts(target, vocab, cells).withColumn("k", F.lit(1)))
-    found = both.toArrow()
-    width = cells + 2 * (vocab.size + 2)
-    counts = np.zeros((2, width), np.int64)
-    counts[found.column("k").to_numpy(), found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    small = counts.astype(np.int32) if counts.max(initial=0) < 2**31 else counts
+    good = target_ids.select(F.col(id_col).alias("id")).where("id is not null").distinct()
+    some = good.limit(TARGET_IDS + 1).toArrow().column(0) if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)) else None
+    if some is not None and len(some) <= TARGET_IDS:
+        counts = model_counts(src.select(F.col("id").cast("long").alias("mark"), "text"), vocab, np.sort(some.to_numpy().astype(np.int64)))
+    else:
+        counts = model_counts(src.join(good.withColumn("mark", F.lit(True)), "id", "left"), vocab)
+    counts = written(counts, "counts")
+    single = counts.where("slot < 0").toArrow()
+    totals = np.zeros((2, 2 * (vocab.size + 2)), np.int64)
+    place = -1 - single.column("slot").to_numpy()
+    totals[0][place], totals[1][place] = single.column("n").to_numpy(), single.column("k").to_numpy()
+    top = most_frequent(counts.where("slot >= 0"), bigrams).toArrow()
+    order = np.argsort(top.column("slot").to_numpy())
+    slots, pairs = top.column("slot").to_numpy()[order], [top.column(c).to_numpy()[order] for c in ("n", "k")]
 
     def run(batches):
-        background, wanted = (Model(small[k], vocab.size, cells, prior) for k in (0, 1))
+        background, wanted = (Model(pairs[k], totals[k], vocab.size, prior) for k in (0, 1))
         for batch in batches:
             n, lt, lb = (np.zeros(batch.num_rows, t) for t in (np.int64, float, float))
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
@@ -128,11 +180,13 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
                 n[lo:hi] = np.diff(at)
                 if h.size:
                     ids = token_ids(h, vocab)
-                    before, cell = _bigrams(ids, at, vocab.size + 1, cells)
+                    before, pair = _bigrams(ids, at, vocab.size + 1)
+                    spot = np.minimum(np.searchsorted(slots, pair), max(slots.size - 1, 0))
+                    known = slots[spot] == pair if slots.size else np.zeros(pair.size, bool)
                     full = lo + np.flatnonzero(np.diff(at))
                     starts = at[:-1][np.diff(at) > 0]
-                    lt[full] = np.add.reduceat(wanted.loss(before, ids, cell), starts) / n[full]
-                    lb[full] = np.add.reduceat(background.loss(before, ids, cell), starts) / n[full]
+                    lt[full] = np.add.reduceat(wanted.loss(before, ids, spot, known), starts) / n[full]
+                    lb[full] = np.add.reduceat(background.loss(before, ids, spot, known), starts) / n[full]
             none = n == 0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(lt, mask=none), pa.array(lb, mask=none), pa.array(lt - lb, mask=none)], ["id", "n_tokens", "target_loss", "background_loss", "score"])
 

@@ -199,6 +199,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    """No SQL for op9: its counts live in hashed cells; tests compare it with a plain version."""
+    """No SQL for op9: sums of millions of logarithms; tests compare it with a plain version."""
     sql = (OP1_SQL, OP2_SQL, _op3_sql(), OP4_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP8_SQL, None, OP10_SQL)
     return {f.__name__: x for f, x in zip(_QUERIES, sql, strict=True) if x}
