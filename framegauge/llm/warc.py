@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from framegauge.llm.common import written
 
 BLOCK_LINES = 3000
+#: Up to so many ranges go to the archives by broadcast (about 24 MB); more are joined with them.
+BROADCAST_RANGES = 1_000_000
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ENTRY = "key string, page_id long, file string, offset long, length long"
@@ -78,7 +80,8 @@ def _responses(pages: DataFrame, least: int) -> DataFrame:
     own = pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha"))
     ids = own.where(F.length("body") >= least).select("page_id", "sha").distinct()
     first = ids.groupBy("sha").agg(F.min("page_id").alias("_first"))
-    known = ids.join(first, "sha").withColumnsRenamed({"page_id": "_id", "sha": "_sha"})
+    # merged, not broadcast: archives come from hash partitions of the pages and so have even sizes, whatever the input's files are like
+    known = ids.join(first, "sha").withColumnsRenamed({"page_id": "_id", "sha": "_sha"}).hint("merge")
     return own.join(known, own["page_id"].eqNullSafe(known["_id"]) & (own["sha"] == known["_sha"]), "left").drop("_id", "_sha")
 
 
@@ -212,6 +215,8 @@ def read_all(index: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())], ["file", "offset", "length"])
 
     ranges = index.select("packed").mapInArrow(entries, "file string, offset long, length long").groupBy("file").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
+    if (index.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_RANGES:
+        ranges = F.broadcast(ranges)
     files = _files(index.sparkSession, path).withColumn("file", F.element_at(F.split("path", "/"), -1)).join(ranges, "file").select("content", "ranges")
 
     def records(batches):
