@@ -11,7 +11,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 
@@ -33,6 +34,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, replaced: list[str], **extra: Column) -> DataFrame:
+    """``df`` as one struct column ``_row`` beside the extra columns, so that no name of the input can clash with an
+    operator's own; columns that the operator replaces are left out."""
+    low = {c.lower() for c in replaced}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in low]
+    return df.select(F.struct(*kept).alias("_row"), *(v.alias(k) for k, v in extra.items()))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x ^ (x >> U64(30))

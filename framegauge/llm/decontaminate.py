@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import U64, hash_words, mix, shingle_hashes, shingle_sets, text_chunks, written
+from framegauge.llm.common import U64, hash_words, mix, packed, shingle_hashes, shingle_sets, text_chunks, written
 
 #: Hashes of items in one block: 16 MB on the driver and in each Python worker.
 BLOCK = 1 << 21
@@ -120,14 +120,14 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """The documents that contain no item, with all their columns; filtered while they stream, not joined."""
+    rows = packed(docs, [], _text=F.col(f"`{text_col}`").cast("string"))
     for index in _blocks(benchmark, item_col, item_text_col, n, percent):
-        place = docs.columns.index(text_col)
 
-        def run(batches, index=index, place=place):
+        def run(batches, index=index):
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                keep[[r for r, _, _ in index.matches(batch.column(place), n)]] = False
+                keep[[r for r, _, _ in index.matches(batch.column(1), n)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        rows = rows.mapInArrow(run, rows.schema)
+    return rows.select("_row.*")

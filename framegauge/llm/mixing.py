@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framegauge.llm.common import packed
+
 #: Up to so many sources, the table of rates is joined by broadcast; a rate row has a few hundred bytes.
 BROADCAST_SOURCES = 10_000
 #: A mean above this is drawn as a sum of several draws; exp(-mean) stays far from underflow.
@@ -58,10 +60,11 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     table = table.withColumnsRenamed({"draws": "_draws", "cdf": "_cdf"})
     if docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
-    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))
-    df = docs.drop("rate", "copies", "copy", "shuffle_key").join(table, docs[source_col].eqNullSafe(F.col("_source")))
-    draws = F.transform(F.sequence(F.lit(1), "_draws"), lambda i: hash_unit(F.lit(str(seed)), key, i.cast("string")))
+    new = ["rate", "copies", "copy", "shuffle_key"]
+    rows = packed(docs, new, _key=F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), _of=F.col(f"`{source_col}`"))
+    df = rows.join(table, F.col("_of").eqNullSafe(F.col("_source")))
+    draws = F.transform(F.sequence(F.lit(1), "_draws"), lambda i: hash_unit(F.lit(str(seed)), F.col("_key"), i.cast("string")))
     df = df.withColumn("copies", F.aggregate(draws, F.lit(0).cast("long"), lambda a, u: a + F.size(F.filter("_cdf", lambda c: c <= u))))
     df = df.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).withColumn("rate", F.col("_rate"))
-    df = df.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), key, F.col("copy").cast("string")).cast("binary")))
-    return df.drop("_source", "_rate", "_draws", "_cdf").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    df = df.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}:order"), F.col("_key"), F.col("copy").cast("string")).cast("binary")))
+    return df.select("_row.*", *new).repartition("shuffle_key").sortWithinPartitions("shuffle_key")

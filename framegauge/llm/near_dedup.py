@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import U64, mix, shingle_sets, written
+from framegauge.llm.common import U64, mix, packed, shingle_sets, written
 from framegauge.llm.components import connected_components
 
 BITMAP_BITS = 1 << 23
@@ -187,9 +187,11 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The documents that ``near_duplicates`` keeps, with all their columns; of repeated rows of one id, the one whose row hash is least."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("_kept_id")).distinct()
-    own = F.xxhash64(*docs.columns)
-    out = docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept_id"))).drop("_kept_id").withColumn("_own", own)
-    w = Window.partitionBy(id_col).orderBy("_own")
-    return out.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth", "_own").select(docs.columns)
+    """The documents that ``near_duplicates`` keeps, with all their columns; of repeated rows of one id, the one whose row hash is least.
+
+    Rows with a null id all stay."""
+    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("_kept")).distinct()
+    rows = packed(docs, [], _id=F.col(f"`{id_col}`"), _own=F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    out = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")))
+    w = Window.partitionBy("_id").orderBy("_own")
+    return out.withColumn("_nth", F.row_number().over(w)).where("_nth = 1 or _id is null").select("_row.*")

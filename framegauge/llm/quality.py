@@ -8,11 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framegauge.llm.common import packed
+
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = ["the", "be", "to", "of", "and", "that", "have", "with", "in", "is", "it", "for", "on", "are", "le", "la", "les", "de", "des", "et", "un", "une", "du", "que", "qui", "en", "der", "die", "das", "und", "ist", "nicht", "ein", "eine", "mit", "für", "von", "zu", "den", "el", "los", "las", "y", "una", "por", "con", "para", "no", "se", "al"]
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words"]
 #: (name, condition under which a document is kept); the first two are the base rules.
 RULES = [
     ("few_words", "n_words >= 20"),
@@ -38,7 +41,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and n_stop_words (long).
 
     A null text counts as empty. Columns of the input with those names are replaced; all others stay."""
-    df = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    df = packed(docs, MEASURES, _text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     df = df.withColumn("_words", F.array_remove(F.split("_text", r"[\x20\x09-\x0D]+"), ""))
     n = F.size("_words")
     stop = F.array(*map(F.lit, [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]))
@@ -61,7 +64,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     twice = F.filter(F.transform("_pairs", lambda p, i: F.when((at("_pairs", i - 1)["h"] == p["h"]) | (at("_pairs", i + 1)["h"] == p["h"]), p["i"])), lambda x: x.isNotNull())
     df = df.withColumn("_at", F.sort_array(twice))
     covered = F.aggregate(F.transform("_at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(at("_at", i + 1) - p, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_text", "_words", "_lines", "_w1", "_w2", "_w4", "_w8", "_pairs", "_at")
+    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).select("_row.*", *MEASURES)
 
 
 def judge(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -81,6 +84,5 @@ def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     The row number keeps the optimizer from pushing the verdict, and with it a copy of every measure, below the
     projection that computes them once."""
-    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = judge(docs.select(F.col(f"`{text_col}`").alias("_judged"), own.alias("_row")), "_judged")
+    judged = judge(packed(docs, [], _judged=F.col(f"`{text_col}`")), "_judged")
     return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_nth")).where("kept and _nth >= 0").select("_row.*")

@@ -10,6 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framegauge.llm.common import packed
+
 _ANY = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
 #: kind -> (pattern, group whose length counts, least length)
 BASE = {
@@ -82,7 +84,8 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     Spans are ordered by start, then by kind in the order of ``KINDS``; a string may be reported as several kinds. A
     null text counts as empty and has no spans. Repeated rows are scanned one by one; an empty table gives no rows;
     columns of the input with the new names are replaced."""
-    df = docs.withColumn("_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    names = [*(f"n_{kind}" for kind in BASE), "base_spans", "spans"]
+    df = packed(docs, names, _text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     text = F.col("_text")
     df = df.withColumns({f"_{kind}": _spans(text, _QUICK.get(kind, pattern), kind, group, 0 if kind in _QUICK else least) for kind, (pattern, group, least) in BASE.items()} | {"_cand": _spans(text, CANDIDATE, "hex_entropy")})
     allowed = lambda x: F.coalesce(*[F.when(x["value"].rlike(p), True) for p in ALLOW], F.lit(False))
@@ -96,7 +99,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     every = F.array_sort(F.concat("_assign", "_access", "_hex", F.transform("_hexes", lambda x: renamed(x, hex_kind)), F.transform("_b64s", lambda x: renamed(x, b64_kind))))
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["value"].alias("value")))
     df = df.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE} | {"base_spans": plain(base), "spans": plain(every)})
-    return df.drop("_text", "_assign", "_access", "_hex", "_cand", "_hexes", "_b64s")
+    return df.select("_row.*", *names)
 
 
 def joined(spans: Column) -> Column:

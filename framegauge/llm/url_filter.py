@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import U64, mix, written
+from framegauge.llm.common import U64, mix, packed, written
 
 SHARD_KEYS = 100_000
 BROADCAST_BYTES = 32 << 20
@@ -27,7 +27,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: what follows the first ``://`` up to ``/ ? #`` or the end, A-Z lower-cased; path: from there up to ``? #`` or the end."""
-    rest = F.when(F.instr(url, "://") > 0, F.expr("substring({0}, instr({0}, '://') + 3)".format("_url")))
+    rest = F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url)))
     host = F.regexp_extract(rest, r"^[^/?#]*", 0)
     path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
     return F.coalesce(F.translate(host, _UPPER, _LOWER), F.lit("")), F.coalesce(path, F.lit(""))
@@ -153,9 +153,10 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], levels: DataFrame, url
 
     A null url and one without ``://`` have an empty host and path. Repeated rows are judged one by one; an empty table
     gives no rows; columns of the input with the new names are replaced."""
-    df = pages.withColumn("_url", F.col(f"`{url_col}`").cast("string"))
+    df = packed(pages, ["host", "path", "rule", "verdict"], _url=F.col(f"`{url_col}`").cast("string"))
     host, path = host_and_path(F.col("_url"))
     df = df.withColumns({"host": host, "path": path})
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     df = with_listed(df.withColumns({"rule": rule, "_verdict": verdict}), F.concat("host", "path"), levels, "_listed")
-    return df.withColumn("verdict", F.coalesce("_verdict", F.when(F.col("_listed"), "block").otherwise("allow"))).drop("_url", "_verdict", "_listed")
+    final = F.coalesce("_verdict", F.when(F.col("_listed"), "block").otherwise("allow"))
+    return df.select("_row.*", "host", "path", "rule", final.alias("verdict"))
