@@ -64,7 +64,9 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     twice = F.filter(F.transform("_pairs", lambda p, i: F.when((at("_pairs", i - 1)["h"] == p["h"]) | (at("_pairs", i + 1)["h"] == p["h"]), p["i"])), lambda x: x.isNotNull())
     df = df.withColumn("_at", F.sort_array(twice))
     covered = F.aggregate(F.transform("_at", lambda p, i: F.least(F.lit(WINDOW), F.coalesce(at("_at", i + 1) - p, F.lit(WINDOW)))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).select("_row.*", *MEASURES)
+    # the row number is no constant, so no filter above pulls a copy of this whole chain down with it
+    once = F.when(F.monotonically_increasing_id() >= 0, F.coalesce(covered, F.lit(0).cast("long"))).otherwise(0)
+    return df.withColumn("n_repeat_words", once).select("_row.*", *MEASURES)
 
 
 def judge(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str]] | None = None) -> DataFrame:
@@ -80,9 +82,5 @@ def judge(docs: DataFrame, text_col: str = "text", rules: list[tuple[str, str]]
 
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that pass every rule, with their own columns only.
-
-    The row number keeps the optimizer from pushing the verdict, and with it a copy of every measure, below the
-    projection that computes them once."""
-    judged = judge(packed(docs, [], _judged=F.col(f"`{text_col}`")), "_judged")
-    return judged.select("_row", "kept", F.monotonically_increasing_id().alias("_nth")).where("kept and _nth >= 0").select("_row.*")
+    """The documents that pass every rule, with their own columns only."""
+    return judge(packed(docs, [], _judged=F.col(f"`{text_col}`")), "_judged").where("kept").select("_row.*")

@@ -98,7 +98,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     base = F.array_sort(F.concat("_assign", "_access", "_hex"))
     every = F.array_sort(F.concat("_assign", "_access", "_hex", F.transform("_hexes", lambda x: renamed(x, hex_kind)), F.transform("_b64s", lambda x: renamed(x, b64_kind))))
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["value"].alias("value")))
-    df = df.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE} | {"base_spans": plain(base), "spans": plain(every)})
+    df = df.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE} | {"base_spans": plain(base), "spans": F.when(F.monotonically_increasing_id() >= 0, plain(every))})
     return df.select("_row.*", *names)
 
 
