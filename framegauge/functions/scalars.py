@@ -146,7 +146,7 @@ def aggregate_status(core: Column, others: Column) -> Column:
 def clamp01(v: Column | str, lo: Number, hi: Number) -> Column:
     """F29."""
     v, lo, hi = col(v), col(lo), col(hi)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - lo) / (hi - lo)))
+    return F.when(hi > lo, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (v - lo) / (hi - lo)))).otherwise(0.0)
 
 
 def safe_name(x: Column | str) -> Column:

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from framegauge.functions.scalars import EPS, col, finite
 
 
+def let(x: Column, f) -> Column:
+    """``f(x)`` with x computed once, however often f uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
 def doubles(v: Column | str) -> Column:
     return col(v).cast("array<double>")
 
@@ -65,8 +70,7 @@ def median(v: Column) -> Column:
 
 def unit(v: Column) -> Column:
     """null for vectors that are not finite or shorter than 1e-9."""
-    n = norm(v)
-    return F.when(finite(n) & (n >= EPS), F.transform(v, lambda x: x / n))
+    return let(v, lambda v: let(norm(v), lambda n: F.when(finite(n) & (n >= EPS), F.transform(v, lambda x: x / n))))
 
 
 def rotation_check(rot: Column, min_norm: float = 1e-4, min_sin: float = 1e-3) -> Column:
@@ -74,20 +78,22 @@ def rotation_check(rot: Column, min_norm: float = 1e-4, min_sin: float = 1e-3) -
     a, b = part(rot, 1, 3), part(rot, 4, 3)
     n1, n2 = norm(a), norm(b)
     sin = norm(cross(a, b)) / F.greatest(n1 * n2, F.lit(EPS))
-    legal = all_finite(rot) & (n1 > min_norm) & (n2 > min_norm) & (sin > min_sin)
-    return F.struct(n1.alias("n1"), n2.alias("n2"), sin.alias("sin_angle"), F.coalesce(legal, F.lit(False)).alias("legal"))
+    told = lambda m: F.struct(m["n1"].alias("n1"), m["n2"].alias("n2"), m["s"].alias("sin_angle"), F.coalesce(all_finite(rot) & (m["n1"] > min_norm) & (m["n2"] > min_norm) & (m["s"] > min_sin), F.lit(False)).alias("legal"))
+    return let(F.struct(n1.alias("n1"), n2.alias("n2"), sin.alias("s")), told)
 
 
 def rotation_matrix(rot: Column, layout: str = "columns") -> Column:
     """nine numbers by row from six by Gram-Schmidt, or null. Layout: the basis vectors are columns or rows."""
-    b1 = unit(part(rot, 1, 3))
     a2 = part(rot, 4, 3)
-    along = dot(b1, a2)
-    b2 = unit(minus(a2, F.transform(b1, lambda x: x * along)))
-    b3 = unit(cross(b1, b2))
-    basis = [b1, b2, b3]
-    cells = [F.element_at(basis[c], r + 1) if layout == "columns" else F.element_at(basis[r], c + 1) for r in range(3) for c in range(3)]
-    return F.when(all_finite(rot) & b3.isNotNull() & F.lit(layout in ("columns", "rows")), F.array(*cells))
+
+    def cells(b1: Column, b2: Column, b3: Column) -> Column:
+        basis = [b1, b2, b3]
+        return F.array(*(F.element_at(basis[c], r + 1) if layout == "columns" else F.element_at(basis[r], c + 1) for r in range(3) for c in range(3)))
+
+    across = lambda b1: let(dot(b1, a2), lambda k: unit(minus(a2, F.transform(b1, lambda x: x * k))))
+    third = lambda b1, b2: let(unit(cross(b1, b2)), lambda b3: F.when(b3.isNotNull(), cells(b1, b2, b3)))
+    whole = let(unit(part(rot, 1, 3)), lambda b1: F.when(b1.isNotNull(), let(across(b1), lambda b2: F.when(b2.isNotNull(), third(b1, b2)))))
+    return F.when(all_finite(rot) & F.lit(layout in ("columns", "rows")), whole)
 
 
 def rotation_distance(left: Column, right: Column) -> Column:
@@ -97,8 +103,9 @@ def rotation_distance(left: Column, right: Column) -> Column:
 
 def transposed_times(a: Column, b: Column, width: int) -> Column:
     """A transposed (3 x 3) times B (3 x width), both by row."""
-    e = lambda v, i: F.element_at(v, i)
-    return F.array(*(sum((e(a, 3 * k + r + 1) * e(b, width * k + c + 1) for k in range(1, 3)), e(a, r + 1) * e(b, c + 1)) for r in range(3) for c in range(width)))
+    e = F.element_at
+    cells = lambda a, b: F.array(*(e(a, r + 1) * e(b, c + 1) + e(a, r + 4) * e(b, width + c + 1) + e(a, r + 7) * e(b, 2 * width + c + 1) for r in range(3) for c in range(width)))
+    return let(a, lambda a: let(b, lambda b: cells(a, b)))
 
 
 def relative_pose(left_pos: Column, left_rot: Column, right_pos: Column, right_rot: Column) -> Column:

@@ -18,8 +18,9 @@ def lag_pairs(df: DataFrame, keys: list[str], max_lag: int = 5, a: str = "a", b:
 
 def lag_correlations(df: DataFrame, keys: list[str], max_lag: int = 5, least: int = 8, eps: float = EPS, **cols: str) -> DataFrame:
     """keys, lag, n, r; r only where there are ``least`` pairs and both sides vary."""
-    g = lag_pairs(df, keys, max_lag, **cols).groupBy(*keys, "lag").agg(F.count("*").alias("n"), F.corr("a", "b").alias("r"), F.stddev_pop("a").alias("_sa"), F.stddev_pop("b").alias("_sb"))
-    return g.where((F.col("n") >= least) & (F.col("_sa") >= eps) & (F.col("_sb") >= eps) & finite("r")).drop("_sa", "_sb")
+    g = lag_pairs(df, keys, max_lag, **cols).groupBy(*keys, "lag").agg(F.count("*").alias("n"), F.covar_pop("a", "b").alias("_ab"), F.stddev_pop("a").alias("_sa"), F.stddev_pop("b").alias("_sb"))
+    r = F.when((F.col("n") >= least) & (F.col("_sa") >= eps) & (F.col("_sb") >= eps), F.col("_ab") / (F.col("_sa") * F.col("_sb")))
+    return g.withColumn("r", r).where(finite("r")).drop("_ab", "_sa", "_sb")
 
 
 def excitation(df: DataFrame, keys: list[str], a: str = "a", b: str = "b") -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,30 +22,27 @@ def image_features(frames: DataFrame, views: list[str], density: bool = False) -
     rows = frames.select("episode", "task", "seq", "frame", F.explode(F.array(*map(cell, views))).alias("_v")).select("episode", "task", "seq", "frame", "_v.*")
 
     def run(batches):
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for r in pdf.itertuples(index=False):
-                row = {"episode": r.episode, "task": r.task, "seq": r.seq, "frame": r.frame, "view": r.view, "decoded": False}
+            for r in batch.to_pylist():
+                row = {k: r[k] for k in ("episode", "task", "seq", "frame", "view")} | {"decoded": False}
                 try:
-                    x = I.decode(r.bytes)
+                    x = I.decode(r["bytes"])
                 except Exception:  # noqa: BLE001 - whatever is wrong with an image is a finding
                     out.append(row)
                     continue
                 stride = max(1, int(max(x.shape[:2]) / 80))
                 p = I.panel_proxy(x) or {}
-                out.append(row | I.metrics(x, density) | {"decoded": True, "height": x.shape[0], "width": x.shape[1], "channels": x.shape[2], "pixel_hash": I.pixel_hash(x), "grid": I.gray_grid(x).ravel(), "luma_grid": I.luma(x)[::stride, ::stride].astype(np.float32).ravel(), "panel_area": p.get("area"), "panel_aspect": p.get("aspect"), "panel_x": p.get("cx"), "panel_y": p.get("cy")})
-            cols = [c.split()[0] for c in _FEATURES.split(", ")]
-            df = pd.DataFrame(out, columns=cols)
-            for c in ("height", "width", "channels", "task"):
-                df[c] = df[c].astype("Int64")
-            yield df
+                out.append(row | I.metrics(x, density) | {"decoded": True, "height": x.shape[0], "width": x.shape[1], "channels": x.shape[2], "pixel_hash": I.pixel_hash(x), "grid": I.gray_grid(x).ravel().tolist(), "luma_grid": I.luma(x)[::stride, ::stride].astype(np.float32).ravel().tolist(), "panel_area": p.get("area"), "panel_aspect": p.get("aspect"), "panel_x": p.get("cx"), "panel_y": p.get("cy")})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([(k, kinds[t]) for k, t in (c.split() for c in _FEATURES.split(", "))]))
 
-    return rows.mapInPandas(run, _FEATURES)
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(), "array<float>": pa.list_(pa.float32())}
+    return rows.mapInArrow(run, _FEATURES)
 
 
 def _mean_abs(a, b):
     d = F.zip_with(a, b, lambda x, y: F.abs(x.cast("double") - y.cast("double")))
-    return F.when(F.size(a) == F.size(b), F.aggregate(d, F.lit(0.0), lambda s, x: s + x) / F.size(d))
+    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), F.aggregate(d, F.lit(0.0), lambda s, x: s + x) / F.size(d))
 
 
 def visual_motion(features: DataFrame, grid: str = "grid", name: str = "motion") -> DataFrame:
@@ -86,7 +83,8 @@ def overlap_gates(features: DataFrame, parts: int = 30, least_corr: float = 0.75
     pairs = view_pairs(d, ["episode", "task", "seq"], "view", "luma_grid")
     cells = F.explode(F.arrays_zip(F.col("a").alias("x"), F.col("b").alias("y")))
     dense = pairs.where(F.size("a") == F.size("b")).select("episode", "task", "seq", "view_a", "view_b", cells.alias("_c"))
-    r = dense.groupBy("episode", "task", "seq", "view_a", "view_b").agg(F.corr("_c.x", "_c.y").alias("r"))
+    r = dense.groupBy("episode", "task", "seq", "view_a", "view_b").agg(F.covar_pop("_c.x", "_c.y").alias("_xy"), F.stddev_pop("_c.x").alias("_sx"), F.stddev_pop("_c.y").alias("_sy"))
+    r = r.withColumn("r", F.when((F.col("_sx") >= 1e-6) & (F.col("_sy") >= 1e-6), F.col("_xy") / (F.col("_sx") * F.col("_sy")))).drop("_xy", "_sx", "_sy")
     sampled = pairs.select("episode", "task", "seq", "view_a", "view_b").join(r, ["episode", "task", "seq", "view_a", "view_b"], "left")
     g = sampled.groupBy("episode", "task", "view_a", "view_b").agg(F.count("*").alias("sampled_frames"), F.count(F.when(F.col("r") >= least_corr, 1)).alias("ok_frames"), F.percentile(F.when(~F.isnan("r"), F.col("r")), F.lit(0.5)).alias("median_correlation"))
     g = g.withColumn("ok_fraction", F.col("ok_frames") / F.col("sampled_frames"))

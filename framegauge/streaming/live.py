@@ -30,7 +30,7 @@ def rolling_stats(stream: DataFrame, keys: list[str], time: str, value: str, win
     return g.agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "mean", "min", "max")
 
 
-def index_faults(stream: DataFrame, key: str, index: str, timeout: str = "ProcessingTimeTimeout") -> DataFrame:
+def index_faults(stream: DataFrame, key: str, index: str) -> DataFrame:
     """Repeated, skipped and late indices as they arrive, by key: (key, previous, current, issue_type).
 
     The state is one number per key. A row older than what was seen is a finding of its own, not dropped."""
@@ -48,4 +48,4 @@ def index_faults(stream: DataFrame, key: str, index: str, timeout: str = "Proces
         yield pd.DataFrame(out, columns=["key", "previous", "current", "issue_type"])
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(step, f"key {kind}, previous long, current long, issue_type string", "last long", "append", GroupStateTimeout.NoTimeout if timeout == "NoTimeout" else timeout)
+    return stream.groupBy(key).applyInPandasWithState(step, f"key {kind}, previous long, current long, issue_type string", "last long", "append", GroupStateTimeout.NoTimeout)
