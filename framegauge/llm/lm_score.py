@@ -48,8 +48,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def vocabulary(texts: DataFrame, words: int = WORDS, least: int = 2) -> np.ndarray:
     """The sorted hashes of the most frequent words that occur ``least`` times; at most ``words`` of them."""
-    top = word_counts(texts).where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(words).select("word")
-    return np.sort(top.toArrow().column(0).to_numpy().view(U64)) if words else np.empty(0, U64)
+    top = most_frequent(written(word_counts(texts).where(F.col("n") >= least), "words"), words)
+    return np.sort(top.select("word").toArrow().column(0).to_numpy().view(U64))
 
 
 def token_ids(words: np.ndarray, vocab: np.ndarray) -> np.ndarray:
@@ -121,17 +121,19 @@ def model_counts(texts: DataFrame, vocab: np.ndarray, wanted: np.ndarray | None
     return texts.select("mark", "text").mapInArrow(run, "slot long, n long, k long").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
 
 
-def most_frequent(pairs: DataFrame, most: int) -> DataFrame:
-    """The pairs at or over the lowest level of frequency, in steps of a 64th of a doubling, that at most ``most`` of them reach."""
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of (n, …) at or over the lowest level of n, in steps of a 64th of a doubling, that at most ``most`` of them reach.
+
+    A histogram of levels has a few thousand rows at most; unlike a sorted limit, no task gathers the candidates of all others."""
     level = F.floor(64 * F.log2("n"))
-    steps = sorted(pairs.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level)
+    steps = sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level)
     left, least = most, None
     for r in steps:
         left -= r["count"]
         if left < 0:
             break
         least = r.level
-    return pairs.where(level >= least) if least is not None else pairs.where("false")
+    return counts.where(level >= least) if least is not None else counts.where("false")
 
 
 class Model:
