@@ -16,7 +16,7 @@ from framegauge.functions.storage import written
 from framegauge.functions.taxonomy import DIMENSION_POINTS, FAMILIES, STATUSES
 from framegauge.operators import detectors as D
 from framegauge.operators import injection as J
-from framegauge.operators import lag, sampling, scoring, signals, vision
+from framegauge.operators import clips, lag, sampling, scoring, signals, vision
 from framegauge.operators.findings import counts_by, merged, top_issues, union_findings, with_ids
 from framegauge.operators.islands import equal_runs, islands, span_iou
 from framegauge.operators.statistics import FIELDS, entropy, robust_stats, scoped_stats, status_counts, top_mean, with_baseline, with_phase_baseline
@@ -899,6 +899,46 @@ def benchmark_rows(spark, sf):
     return T.table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("status")).agg(F.count("*").alias("cases"), r6(F.sum("l_quantity") / 1000).alias("seconds"))
 
 
+@query(f"""with {FJ}, sp as (select episode, min(frame) as f0, max(frame) as f1 from ev group by 1), c as (select fp.episode, frame_start, greatest(f0, frame_start - 300) as clip_start, least(f1, frame_end + 300) as clip_end from fp join sp on sp.episode = fp.episode)
+select c.episode, frame_start, clip_start, clip_end, count(*) as frames, round(max(value), 6) as most, round(quantile_cont(value, 0.5), 6) as median from c join ev on ev.episode = c.episode and ev.frame between clip_start and clip_end group by 1, 2, 3, 4""")
+def clip_summary(spark, sf):
+    """300 event ids around each jump."""
+    e = T.events(spark, sf)
+    spans = e.groupBy("episode").agg(F.min("frame").alias("first_frame"), F.max("frame").alias("last_frame"))
+    d = clips.clip_summary(clips.clip_windows(_fast_jumps(spark, sf), spans, 300), e, "value")
+    return d.select("episode", "frame_start", "clip_start", "clip_end", "frames", r6("most"), r6("median"))
+
+
+@query(f"""with {EV}, c as (select *, (value + seq + 1) / 2.0 as c, event_type = lag(event_type) over (partition by episode order by seq) as same from ev)
+select episode, count(*) as n_rows, round(avg(c), 6) as combined_mean, round(quantile_cont(c, 0.95), 6) as combined_p95, count(*) filter (same) as repeated_actions from c group by 1""")
+def focus_summary(spark, sf):
+    """I25."""
+    d = clips.focus_summary(T.events(spark, sf), ["episode"], [F.col("value"), F.col("seq") + 1.0], "event_type")
+    return d.select("episode", "n_rows", r6("combined_mean"), r6("combined_p95"), "repeated_actions")
+
+
+@query(f"select event_type, {', '.join(f'round({f}, 6) as value_{n}' for n, f in (('median', 'quantile_cont(value, 0.5)'), ('min', 'min(value)'), ('max', 'max(value)')))} from events group by 1")
+def view_summary(spark, sf):
+    """A23."""
+    d = clips.view_summary(T.events(spark, sf), ["event_type"], ["value"])
+    return d.select("event_type", r6("value_median"), r6("value_min"), r6("value_max"))
+
+
+@query("""select * from (values (0.0, '0'), (2.5, '2.5'), (100.0, '100'), (0.1234567, '0.123457')) t(x, shown)""".replace("(0.0,", "(0.0::double,"))
+def number_format(spark, sf):
+    """F35."""
+    return spark.createDataFrame([(0.0,), (2.5,), (100.0,), (0.1234567,)], "x double").withColumn("shown", S.shortest("x"))
+
+
+@query("select l_linenumber % 4 as part, round(avg(case when l_quantity > 25 then 1.0 else 0.0 end), 6) as mismatch, round(count(distinct (floor(l_discount / 0.1001 * 4), floor(l_tax / 0.0801 * 4))) / 16.0, 6) as coverage from lineitem group by 1")
+def fractions_and_coverage(spark, sf):
+    """A31, A32."""
+    t = T.table(spark, sf, "lineitem").withColumn("part", F.col("l_linenumber") % 4)
+    a = t.groupBy("part").agg(r6(F.avg((F.col("l_quantity") > 25).cast("double"))).alias("mismatch"))
+    b = vision.grid_coverage(t, ["part"], "l_discount", "l_tax", 0.1001, 0.0801).select("part", r6("coverage"))
+    return a.join(b, "part")
+
+
 # ---- images ----------------------------------------------------------------------------------------------------------
 
 
