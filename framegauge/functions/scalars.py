@@ -178,7 +178,7 @@ def shortest(x: Column | str) -> Column:
 
 
 def issue_group(issue: Column | str) -> Column:
-    """Routes first-generation issue names to time, numeric or other."""
+    """Routes first-generation issue names to time, numeric or other."""
     i = col(issue)
     return F.when(i.rlike("timestamp|frame_index|index_gap|length"), "time").when(i.rlike("state|actions|finite|shape"), "numeric").otherwise("other")
 

@@ -31,3 +31,10 @@ def focus_summary(df: DataFrame, keys: list[str], signals: list[Column], action:
 def view_summary(features: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     """Median, least and largest of each metric."""
     return features.groupBy(*keys).agg(*(f(m).alias(f"{m}_{n}") for m in metrics for n, f in (("median", lambda c: F.percentile(c, F.lit(0.5))), ("min", F.min), ("max", F.max))))
+
+
+def clip_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """A3: 5 % and 95 % quantiles and median of the values, 0 where there are none."""
+    q = F.percentile(value, F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95)))
+    g = df.groupBy(*keys).agg(q.alias("_q"))
+    return g.select(*keys, *(F.coalesce(F.col("_q")[i], F.lit(0.0)).alias(n) for i, n in enumerate(("p05", "median", "p95"))))

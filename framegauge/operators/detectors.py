@@ -58,7 +58,7 @@ def missing_rows(expected: DataFrame, found: DataFrame, on: list[str]) -> DataFr
 
 
 def non_finite(df: DataFrame, column: str, gap: int = 1) -> DataFrame:
-    """Islands of frames whose value is null, NaN or infinite."""
+    """Islands of frames whose value is null, NaN or infinite."""
     runs = islands(df.where(~finite(column)).select(*KEYS, "frame"), KEYS, "frame", gap)
     return finding(runs, "temporal_illegal", f"non_finite_{column}", 100.0, F.col("start"), F.col("end"), modality="temporal", column=column, illegal=True)
 
@@ -174,7 +174,7 @@ def _named(issue: str, parts: list[str]) -> Column:
 
 
 def freeze_runs(df: DataFrame, value: str, threshold: Column, parts: list[str], family: str = "state_temporal", issue: str = "low_dim_freeze_run", modality: str = "state", min_run: int = 11, min_severity: float = 55.0) -> DataFrame:
-    """Long runs of transitions at or under a threshold."""
+    """Long runs of transitions at or under a threshold."""
     d = _with_before(df, parts).where(finite(value) & (F.col(value) <= threshold))
     runs = _spans(d, parts, 1, F.percentile(value, F.lit(0.5)).alias("mid")).where(F.col("n") >= min_run).withColumn("_sev", freeze_severity("n")).where(F.col("_sev") >= min_severity)
     return finding(runs, family, _named(issue, parts), F.col("_sev"), F.col("from"), F.col("to"), modality=modality, **_where(parts), evidence={"run_length": F.col("n"), "median": F.round("mid", 6)})
@@ -312,14 +312,14 @@ def activity_mismatch(couplings: DataFrame, fraction: str, s: str = "s", floor:
 
 
 def camera_freeze(df: DataFrame, speed: str, motion: str, speed_high: Column, motion_low: Column, min_run: int = 11) -> DataFrame:
-    """The main camera hardly changes while an arm is fast."""
+    """The main camera hardly changes while an arm is fast."""
     d = _with_before(df, []).where(finite(speed) & finite(motion) & (F.col(speed) >= speed_high) & (F.col(motion) <= motion_low))
     runs = _spans(d, [], 1).where(F.col("n") >= min_run)
     return finding(runs, "vision_state_vision", "p1_main_camera_freeze_candidate", F.least(F.lit(92.0), 55 + 4.0 * F.col("n")), F.col("from"), F.col("to"), modality="state-vision", evidence={"run_length": F.col("n")})
 
 
 def panel_unstable(df: DataFrame, area: str, area_low: Column, valid: str, valid_low: Column, min_run: int = 11) -> DataFrame:
-    """A panel that is seen often enough and suddenly covers little."""
+    """A panel that is seen often enough and suddenly covers little."""
     d = _with_before(df, ["view"]).where(finite(area) & (F.col(area) <= area_low) & (F.col(valid) >= F.greatest(F.lit(0.10), valid_low)))
     runs = _spans(d, ["view"], 1).where(F.col("n") >= min_run)
     return finding(runs, "vision_state_vision", "p1_panel_proxy_unstable_candidate", F.least(F.lit(78.0), 45 + 2.5 * F.col("n")), F.col("from"), F.col("to"), modality="vision", view=F.col("view"), ood=True, evidence={"run_length": F.col("n")})
@@ -352,3 +352,14 @@ def v1_sync(lags: DataFrame, least: float = 0.75) -> DataFrame:
     weak = F.when(F.coalesce(F.col("best_correlation") < least, F.lit(True)), 5.0).otherwise(0.0)
     late = F.when(F.col("best_lag").isNotNull() & ~F.col("best_lag").isin(-1, 0), 5.0).otherwise(0.0)
     return lags.withColumn("sync_score", 20.0 - weak - late)
+
+
+def v1_images(images: DataFrame, height: int, width: int, min_run: int = 8) -> DataFrame:
+    """(episode, task, view, issue_type, severity, frame_start, frame_end) of the first generation's image rules."""
+    shape = (F.col("height") != height) | (F.col("width") != width)
+    issue = F.when(~F.col("decoded"), "image_decode_error").when(shape, "invalid_image_shape").otherwise(first_quality_issue())
+    label = F.when(F.col("issue_type").isin("image_decode_error", "invalid_image_shape"), "critical").when(F.col("issue_type") == "severe_blur", "medium").otherwise("high")
+    one = images.withColumn("issue_type", issue).where("issue_type is not null").select(*KEYS, "view", "issue_type", label.alias("severity"), F.col("frame").alias("frame_start"), F.col("frame").alias("frame_end"))
+    ends = F.min_by("frame", "seq").alias("frame_start"), F.max_by("frame", "seq").alias("frame_end")
+    runs = equal_runs(images.where("decoded"), [*KEYS, "view"], "seq", "pixel_hash", *ends).where(F.col("n") >= min_run)
+    return one.unionByName(runs.select(*KEYS, "view", F.lit("frozen_frame_run").alias("issue_type"), F.lit("medium").alias("severity"), "frame_start", "frame_end"))

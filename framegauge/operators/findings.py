@@ -71,3 +71,15 @@ def in_order(findings: DataFrame) -> DataFrame:
     """K1: by episode (null first as -1), category, start (0 and null as -1), id."""
     start = F.when(F.coalesce("frame_start", F.lit(0)) == 0, -1).otherwise(F.col("frame_start"))
     return findings.orderBy(F.coalesce("episode", F.lit(-1)), "category_id", start, "finding_id")
+
+
+def by_episode(episodes: DataFrame, findings: DataFrame, most: int = 100) -> DataFrame:
+    """Each episode with its number of findings and the first ``most`` of them by start; a report, not a table to compute on."""
+    cells = F.slice(F.sort_array(F.collect_list(F.struct("frame_start", "issue_type"))), 1, most)
+    g = findings.groupBy("episode").agg(F.count("*").alias("n"), cells.alias("first"))
+    return episodes.select("episode").distinct().join(g, "episode", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+def first_cases(cases: DataFrame, k: int, *by) -> DataFrame:
+    """K6: the first k cases in a total order."""
+    return cases.orderBy(*by).limit(k)

@@ -174,3 +174,13 @@ def repair(case: DataFrame, source: DataFrame, keys: list[str], columns: list[st
     s = source.select(*keys, "seq", *(F.col(c).alias(f"_s_{c}") for c in columns))
     d = case.join(s.withColumn("_there", F.lit(True)), [*keys, "seq"], "left")
     return d.withColumns({c: F.when(F.col("_there"), F.col(f"_s_{c}")).otherwise(F.col(c)) for c in columns}).select(*case.columns)
+
+
+def four_defects(df: DataFrame, image: str, shown, timestamp: str = "timestamp", state: str = "state") -> DataFrame:
+    """A late timestamp at row 50, a jump of the first state element at 80, an image at 100, images held from 120 to 129."""
+    w = ordered([c for c in ("episode",) if c in df.columns], "seq")
+    late = (F.lag(timestamp).over(w) + 0.8).cast(df.schema[timestamp].dataType)
+    moved = F.transform(F.col(state), lambda x, i: F.when(i == 0, x + 5).otherwise(x)).cast(df.schema[state].dataType)
+    held = F.last(F.when(F.col("seq") < 120, F.col(image)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    images = F.when(F.col("seq") == 100, shown).when(F.col("seq").between(120, 129), held).otherwise(F.col(image))
+    return df.withColumns({timestamp: F.when(F.col("seq") == 50, late).otherwise(F.col(timestamp)), state: F.when(F.col("seq") == 80, moved).otherwise(F.col(state)), image: images})

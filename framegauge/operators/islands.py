@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def islands(df: DataFrame, keys: list[str], idx: str, gap: float = 1, *aggs: Column) -> DataFrame:
     """Runs of index values no more than ``gap`` apart: keys, start, end, n and the aggregates, a row per run.
 
-    One shuffle on the keys serves the window and the aggregation. Null indices are left out."""
+    Repeated values count once as a place (U4). One shuffle on the keys serves the window and the aggregation. Null indices are left out."""
     w = Window.partitionBy(*keys).orderBy(idx)
     step = F.col(idx) - F.lag(idx).over(w)
     flagged = df.where(F.col(idx).isNotNull()).withColumn("_new", F.when(step <= gap, 0).otherwise(1))

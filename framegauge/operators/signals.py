@@ -114,3 +114,14 @@ def oscillation_windows(df: DataFrame, keys: list[str], pos: str = "pos", seq: s
     d = d.withColumn("net_displacement", V.norm(V.minus(F.col(pos), F.col("_from")))).withColumn("path_efficiency", F.col("net_displacement") / F.greatest(F.col("path_length"), F.lit(EPS)))
     ok = (F.col("path_length") >= F.col("min_path_length")) & (F.col("direction_reversals") >= reversals) & (F.col("path_efficiency") <= efficiency)
     return d.where(ok).select(*keys, (F.col(seq) - (window - 1)).alias("start"), "path_length", "net_displacement", "path_efficiency", "direction_reversals", "min_path_length")
+
+
+def positional_zip(a: DataFrame, b: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
+    """Two series side by side by place; the longer one's rest is cut off."""
+    return a.join(b, [*keys, seq])
+
+
+def non_finite_counts(df: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    """How many elements are NaN and how many infinite."""
+    n = lambda test: F.sum(V.count_where(vector, test)).cast("long")
+    return df.groupBy(*keys).agg(n(F.isnan).alias("nan_count"), n(lambda x: F.abs(x) == float("inf")).alias("inf_count"))

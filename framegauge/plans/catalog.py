@@ -17,7 +17,7 @@ from framegauge.functions.taxonomy import DIMENSION_POINTS, FAMILIES, STATUSES
 from framegauge.operators import detectors as D
 from framegauge.operators import injection as J
 from framegauge.operators import clips, lag, sampling, scoring, signals, vision
-from framegauge.operators.findings import counts_by, merged, top_issues, union_findings, with_ids
+from framegauge.operators.findings import by_episode, counts_by, first_cases, merged, top_issues, union_findings, with_ids
 from framegauge.operators.islands import equal_runs, islands, span_iou
 from framegauge.operators.statistics import FIELDS, entropy, robust_stats, scoped_stats, status_counts, top_mean, with_baseline, with_phase_baseline
 from framegauge.plans import gates
@@ -939,6 +939,32 @@ def fractions_and_coverage(spark, sf):
     return a.join(b, "part")
 
 
+@query(f"with {EMN} select episode, count(*) filter (seq between a and a + 3) as nan_count, 0 as inf_count from es group by 1".replace("0 as inf_count", "cast(0 as bigint) as inf_count"))
+def non_finite_counts(spark, sf):
+    """A18, I6."""
+    return signals.non_finite_counts(J.replace_element(T.embeddings(spark, sf), ["episode"], "state", F.lit(float("nan"))), ["episode"], "state")
+
+
+@query(f"with {EV}, em as (select cast(label as bigint) as episode, vec_id, row_number() over (partition by label order by vec_id) - 1 as seq from embeddings) select ev.episode, ev.seq, ev.frame, vec_id from ev join em on em.episode = ev.episode and em.seq = ev.seq")
+def positional_zip(spark, sf):
+    """The events and the vectors of one number side by side."""
+    e = T.embeddings(spark, sf).select("episode", "seq", F.col("frame").alias("vec_id"))
+    return signals.positional_zip(T.events(spark, sf).select("episode", "seq", "frame"), e, ["episode"])
+
+
+@query(f"with {FJ}, n as (select episode, count(*) as n, min(frame_start) as first_start from fp group by 1) select e.episode, coalesce(n, 0) as n, first_start from (select distinct episode from ev) e left join n on n.episode = e.episode order by e.episode limit 20")
+def findings_by_episode(spark, sf):
+    """The first twenty episodes."""
+    d = by_episode(T.events(spark, sf), _fast_jumps(spark, sf))
+    return first_cases(d, 20, "episode").select("episode", "n", F.get("first", F.lit(0))["frame_start"].alias("first_start"))
+
+
+@query("select event_type, round(quantile_cont(value, 0.05), 6) as p05, round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.95), 6) as p95 from events group by 1")
+def clip_stats(spark, sf):
+    """A3."""
+    return clips.clip_stats(T.events(spark, sf), ["event_type"], "value").select("event_type", r6("p05"), r6("median"), r6("p95"))
+
+
 # ---- images ----------------------------------------------------------------------------------------------------------
 
 
@@ -992,6 +1018,23 @@ def image_freeze(spark, sf):
     return D.exact_repeats(f, "pixel_hash", ["view"], min_severity=30.0).select("episode", "view", "frame_start", "frame_end", "severity")
 
 
+@query()
+def v1_image_rules(spark, sf):
+    """D39, P9, W12."""
+    return D.v1_images(vision.image_features(_frames(spark), VIEWS3), 32, 32)
+
+
+@query()
+def v1_four_defects(spark, sf):
+    """The four defects in one made episode, and what the first generation's rules report."""
+    d = spark.range(150).select(F.lit(0).cast("long").alias("episode"), F.lit(0).cast("long").alias("task"), F.col("id").alias("seq"), F.col("id").alias("frame"), (F.col("id") / 10).alias("timestamp"), F.array(F.sin(F.col("id") / 20)).alias("state"), F.col("id").cast("string").alias("image"))
+    bad = J.four_defects(d, "image", F.lit("black"))
+    frozen = equal_runs(bad, KEYS, "seq", "image").where("n >= 8").select(*KEYS, F.lit("frozen_frame_run").alias("issue_type"), F.col("start").alias("frame_start"), F.col("end").alias("frame_end"))
+    late = D.v1_timestamps(bad).select(*frozen.columns)
+    spikes = D.v1_spikes(signals.vector_accel(bad, KEYS, "state"), "accel").select(*frozen.columns)
+    return late.union(spikes).union(frozen)
+
+
 # ---- streams ---------------------------------------------------------------------------------------------------------
 
 

@@ -92,7 +92,7 @@ def features(frames: DataFrame, cfg: Config) -> Features:
 
 
 def fit_reference(frames: DataFrame, cfg: Config) -> dict[str, DataFrame]:
-    """Two-level statistics of every signal; a table per section."""
+    """Two-level statistics of every signal; a table per section. Images of another shape than declared don't count."""
     f = features(frames, cfg)
     out = {}
     if f.images is not None:
@@ -180,7 +180,7 @@ def inspect_low_dim(frames: DataFrame, f: Features, base: dict[str, DataFrame],
 
 
 def inspect_geometry(frames: DataFrame, f: Features, base: dict[str, DataFrame], cfg: Config) -> list[DataFrame]:
-    """X9, X10."""
+    """The distance of the arms needs a common world frame, wrist views few equal frames."""
     if f.arms is None:
         return []
     rows = frames.groupBy(*KEYS).agg(F.count("*").alias("rows"))

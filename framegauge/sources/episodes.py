@@ -84,7 +84,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_frames(spark: SparkSession, root: str, schema: T.StructType = FRAMES, columns: list[str] | None = None) -> DataFrame:
-    """All rows of all episode files with episode (of the file name), task, seq (the physical row) and frame.
+    """All rows of all episode files with episode (of the file name), task, seq (the physical row) and frame.
 
     Files that can't be read are left out; ``unread_files`` names them. Only the wanted columns are read."""
     raw = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", True).parquet(root)

@@ -56,3 +56,8 @@ def test_without_optional_part():
     code = "import sys\nclass No:\n    def find_spec(self, name, path=None, target=None):\n        if name.startswith(('framegauge.llm', 'corpus_pipeline')):\n            raise ImportError(name)\nsys.meta_path.insert(0, No())\nimport __spark_entry__ as e\nq = e.queries()\nassert q and not [n for n in q if n.startswith('op')] and 'pipeline' not in q and e.oracle_sql()\n"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], check=True, cwd=root)
+
+
+def test_four_defects_are_reported(spark):
+    got = {(r.issue_type, r.frame_start, r.frame_end) for r in catalog.queries()["v1_four_defects"](spark, SF).collect()}
+    assert got == {("timestamp_interval", 49, 50), ("timestamp_interval", 50, 51), ("frozen_frame_run", 119, 129), *((("state_continuity_spike"), i, i) for i in (79, 80, 81))}
