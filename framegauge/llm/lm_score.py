@@ -1,124 +1,86 @@
 """Language-model scores by cross-entropy difference (Moore and Lewis, 2010).
 
-Two bigram models, of the target documents and of all documents, share one vocabulary (the most frequent words of the
-corpus; all others are one unknown word), one order and one smoothing. A document's score is the mean over its tokens of
+Two bigram models, of the target documents and of all documents, share one vocabulary (every word that occurs ``least``
+times; all others are one unknown word), one order and one smoothing. A document's score is the mean over its tokens of
 the target model's loss less the background model's: low scores are like the target.
 
-All bigrams of all documents are counted exactly. The models keep the most frequent ones, ``BIGRAMS`` at most; the others
-back off to their word's share, as in any pruned n-gram model. So what is broadcast has a bound for any corpus."""
+Every word and every bigram counts, exactly; nothing is pruned, so the models grow with the corpus. Pairs of two of the
+``TOP`` most frequent words are counted in a square array that is sent to the workers. Every other pair is at most as
+frequent as the first word outside it; those are dealt out by pair, counted there, and summed back by document. Word
+counts are sent to the workers up to ``SENT_WORDS``; above that each document gets those of its own words by a join."""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framegauge.llm.common import U64, hash_words, text_chunks, written
+from framegauge.llm.common import U64, hash_words, mix, text_chunks, written
 
-WORDS, BIGRAMS, PRIOR = 1 << 16, 1 << 20, 4.0
+PRIOR = 4.0
 #: Up to so many integer ids of the target are sent to the workers (32 MB); more are joined.
 TARGET_IDS = 1 << 22
+#: Up to so many words and their counts are sent to the workers (80 MB); more are joined.
+SENT_WORDS = 1 << 21
+#: Pairs of so many words are counted in an array (16 MB); it decides where a pair is counted, not whether.
+TOP = 1 << 10
+#: Stand for the unknown word and for a text's beginning among the word hashes.
+UNKNOWN, START = 0, 1
+_COUNTS = ["n", "k", "cn", "ck"]
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, n)``: the 64-bit hash of every word of column ``text`` and how often it is there."""
-
-    def run(batches):
-        kept, counts = np.empty(0, U64), np.empty(0, np.int64)
-        for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
-                h, n = np.unique(hash_words(data, offsets)[0], return_counts=True)
-                both, at = np.unique(np.concatenate([kept, h]), return_inverse=True)
-                total = np.zeros(both.size, np.int64)
-                np.add.at(total, at, np.concatenate([counts, n]))
-                kept, counts = both, total
-                if kept.size > 1 << 18:
-                    yield from _rows(kept, counts)
-                    kept, counts = np.empty(0, U64), np.empty(0, np.int64)
-        yield from _rows(kept, counts)
-
-    def _rows(words, n):
-        for lo in range(0, words.size, 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(words[lo : lo + 50_000].view(np.int64)), pa.array(n[lo : lo + 50_000])], ["word", "n"])
-
-    return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def vocabulary(texts: DataFrame, words: int = WORDS, least: int = 2) -> np.ndarray:
-    """The sorted hashes of the most frequent words that occur ``least`` times; at most ``words`` of them."""
-    top = most_frequent(written(word_counts(texts).where(F.col("n") >= least), "words"), words)
-    return np.sort(top.select("word").toArrow().column(0).to_numpy().view(U64))
+def _hits(marks: pa.Array, wanted: np.ndarray | None) -> np.ndarray:
+    """Which rows are in the target: the mark itself, or with ``wanted`` (sorted ids) whether it is one of them."""
+    if wanted is None:
+        return marks.fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
+    if not wanted.size:
+        return np.zeros(len(marks), bool)
+    ids = marks.fill_null(0).to_numpy(zero_copy_only=False)
+    return (wanted[np.minimum(np.searchsorted(wanted, ids), wanted.size - 1)] == ids) & ~marks.is_null().to_numpy(zero_copy_only=False)
 
 
-def token_ids(words: np.ndarray, vocab: np.ndarray) -> np.ndarray:
-    """0 for an unknown word, else its place in the vocabulary from 1."""
-    if not vocab.size:
-        return np.zeros(words.size, np.int64)
-    at = np.minimum(np.searchsorted(vocab, words), vocab.size - 1)
-    return np.where(vocab[at] == words, at + 1, 0)
+def _summed(rows: np.ndarray) -> np.ndarray:
+    """Columns with the same first entry added up."""
+    if not rows.shape[1]:
+        return rows
+    rows = rows[:, np.argsort(rows[0], kind="stable")]
+    first = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
+    return np.vstack([rows[0][first], np.add.reduceat(rows[1:], first, axis=1)])
 
 
-def _bigrams(ids: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The word before each token (``start`` at a text's beginning) and the number of each pair."""
-    before = np.empty_like(ids)
-    before[1:] = ids[:-1]
-    before[at[:-1][np.diff(at) > 0]] = start
-    return before, before << 32 | ids
+def _batches(rows, names: list[str], step: int = 50_000):
+    for lo in range(0, len(rows[0]), step):
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[lo : lo + step])) for r in rows], names)
 
 
-def model_counts(texts: DataFrame, vocab: np.ndarray, wanted: np.ndarray | None = None, most: int = 1 << 19) -> DataFrame:
-    """``(slot, n, k)``: slots from 0 are pairs, -1 - id are words, and under them the contexts; n counts all texts, k the target's.
-
-    ``texts`` has mark and text. Without ``wanted`` the mark is a boolean; with it, the mark is an id and ``wanted`` the sorted ids of the target."""
-    start = vocab.size + 1
+def word_counts(texts: DataFrame, wanted: np.ndarray | None = None, most: int = 1 << 18) -> DataFrame:
+    """``(word, n, k, cn, ck)``: the 64-bit hash of every word of column ``text``, how often it is there and before another
+    word, in all texts (n) and in the target's (k). ``START`` has cn and ck only."""
 
     def run(batches):
-        total = np.zeros((2, 2 * (start + 1)), np.int64)
-        kept = np.zeros((3, 0), np.int64)
+        kept = np.zeros((5, 0), np.int64)
         for batch in batches:
-            marks = batch.column(0)
-            if wanted is None:
-                hit = marks.fill_null(False).to_numpy(zero_copy_only=False).astype(bool)
-            else:
-                ids = marks.fill_null(0).to_numpy(zero_copy_only=False)
-                at = np.minimum(np.searchsorted(wanted, ids), max(wanted.size - 1, 0))
-                hit = (wanted[at] == ids) & ~marks.is_null().to_numpy(zero_copy_only=False) if wanted.size else np.zeros(len(ids), bool)
+            hit = _hits(batch.column(0), wanted)
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                words, at = hash_words(data, offsets)
-                if not words.size:
+                h, at = hash_words(data, offsets)
+                if not h.size:
                     continue
-                ids = token_ids(words, vocab)
-                before, pair = _bigrams(ids, at, start)
-                of = np.repeat(hit[lo:hi], np.diff(at))
-                for row, pick in enumerate((slice(None), of)):
-                    total[row] += np.bincount(np.concatenate([ids[pick], before[pick] + start + 1]), minlength=total.shape[1])
-                found, nth = np.unique(pair, return_inverse=True)
-                new = np.vstack([found, np.bincount(nth, minlength=found.size), np.bincount(nth[of], minlength=found.size)])
-                kept = np.hstack([kept, new])
-                if kept.shape[1] > 2 * most:
-                    kept = _summed(kept)
-                    if kept.shape[1] > most:
-                        yield from _rows(kept)
-                        kept = np.zeros((3, 0), np.int64)
-        yield from _rows(_summed(kept))
-        some = np.flatnonzero(total[0])
-        yield from _rows(np.vstack([-1 - some, total[0][some], total[1][some]]))
-
-    def _summed(rows):
-        slots, nth = np.unique(rows[0], return_inverse=True)
-        out = np.zeros((3, slots.size), np.int64)
-        out[0] = slots
-        np.add.at(out[1], nth, rows[1])
-        np.add.at(out[2], nth, rows[2])
-        return out
-
-    def _rows(rows):
-        for lo in range(0, rows.shape[1], 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[lo : lo + 50_000])) for r in rows], ["slot", "n", "k"])
-
-    return texts.select("mark", "text").mapInArrow(run, "slot long, n long, k long").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+                size = np.diff(at)
+                of, last = np.repeat(hit[lo:hi], size), np.zeros(h.size, bool)
+                last[at[1:][size > 0] - 1] = True
+                found, nth = np.unique(h, return_inverse=True)
+                new = np.vstack([found.view(np.int64), *(np.bincount(nth[pick], minlength=found.size) for pick in (slice(None), of, ~last, of & ~last))])
+                begin = np.array([[START], [0], [0], [(size > 0).sum()], [(hit[lo:hi] & (size > 0)).sum()]])
+                kept = _summed(np.hstack([kept, new, begin]))
+                if kept.shape[1] > most:
+                    yield from _batches(kept, ["word", *_COUNTS])
+                    kept = np.zeros((5, 0), np.int64)
+        yield from _batches(kept, ["word", *_COUNTS])
+
+    out = texts.select("mark", "text").mapInArrow(run, "word long, n long, k long, cn long, ck long")
+    return out.groupBy("word").agg(*(F.sum(c).alias(c) for c in _COUNTS))
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
@@ -136,61 +98,131 @@ def most_frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(level >= least) if least is not None else counts.where("false")
 
 
-class Model:
-    """A smoothed bigram model: (pair + prior * word's share) / (context + prior)."""
+def _table(arrow: pa.Table | pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted word hashes and their counts (n, k, cn, ck)."""
+    get = (lambda c: arrow.column(c)) if isinstance(arrow, pa.Table) else arrow.field
+    words, first = np.unique(get("word").to_numpy().view(U64), return_index=True)
+    return words, np.vstack([get(c).to_numpy() for c in _COUNTS])[:, first]
+
 
-    def __init__(self, pairs: np.ndarray, words: np.ndarray, size: int, prior: float):
-        self.pairs, self.prior = pairs, prior
-        self.word, self.context = words[: size + 2], words[size + 2 :]
-        self.share = (self.word + 1.0) / (self.word.sum() + size + 1.0)
+def _place(words: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The place of each word in a sorted array, or -1."""
+    if not among.size:
+        return np.full(words.size, -1)
+    at = np.minimum(np.searchsorted(among, words), among.size - 1)
+    return np.where(among[at] == words, at, -1)
 
-    def loss(self, before: np.ndarray, ids: np.ndarray, place: np.ndarray, known: np.ndarray) -> np.ndarray:
-        together = np.where(known, self.pairs[place], 0) if self.pairs.size else np.zeros(ids.size)
-        return np.log(self.context[before] + self.prior) - np.log(together + self.prior * self.share[ids])
 
+def _own_words(src: DataFrame, known: DataFrame, top: np.ndarray) -> DataFrame:
+    """``src`` (row, …) with column known: the counts of each document's known words outside ``top``."""
 
-def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, bigrams: int = BIGRAMS, least: int = 2, prior: float = PRIOR) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            row = batch.column(0).to_numpy()
+            for lo, hi, data, offsets in text_chunks(batch.column(1)):
+                h, at = hash_words(data, offsets)
+                for i in range(hi - lo):
+                    own = np.unique(h[at[i] : at[i + 1]])
+                    own = own[_place(own, top) < 0].view(np.int64)
+                    yield from _batches([np.full(own.size, row[lo + i]), own], ["row", "word"])
+
+    own = src.select("row", "text").mapInArrow(run, "row long, word long").join(known.hint("merge"), "word")
+    return src.join(own.groupBy("row").agg(F.collect_list(F.struct("word", *_COUNTS)).alias("known")), "row", "left")
+
+
+def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 2, prior: float = PRIOR) -> DataFrame:
     """``(id_col, n_tokens, target_loss, background_loss, score)``, a row for every input row.
 
     The target model counts the documents whose id is in ``target_ids`` (column ``id_col``), the background model all.
     Words are lower-cased runs outside white space. A null or empty text has no tokens; its losses and score are null.
     Repeated rows count and are scored one by one; a null id is never in the target. An empty target leaves its model
-    uniform; an empty table gives no rows."""
+    uniform; an empty table gives no rows. Pairs are told apart by a 64-bit hash of their words' hashes."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    vocab = vocabulary(src, words, least)
     good = target_ids.select(F.col(id_col).alias("id")).where("id is not null").distinct()
     some = good.limit(TARGET_IDS + 1).toArrow().column(0) if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)) else None
     if some is not None and len(some) <= TARGET_IDS:
-        counts = model_counts(src.select(F.col("id").cast("long").alias("mark"), "text"), vocab, np.sort(some.to_numpy().astype(np.int64)))
+        wanted, src = np.sort(some.to_numpy().astype(np.int64)), src.withColumn("mark", F.col("id").cast("long"))
     else:
-        counts = model_counts(src.join(good.withColumn("mark", F.lit(True)), "id", "left"), vocab)
-    counts = written(counts, "counts")
-    single = counts.where("slot < 0").toArrow()
-    totals = np.zeros((2, 2 * (vocab.size + 2)), np.int64)
-    place = -1 - single.column("slot").to_numpy()
-    totals[0][place], totals[1][place] = single.column("n").to_numpy(), single.column("k").to_numpy()
-    top = most_frequent(counts.where("slot >= 0"), bigrams).toArrow()
-    order = np.argsort(top.column("slot").to_numpy())
-    slots, pairs = top.column("slot").to_numpy()[order], [top.column(c).to_numpy()[order] for c in ("n", "k")]
-
-    def run(batches):
-        background, wanted = (Model(pairs[k], totals[k], vocab.size, prior) for k in (0, 1))
+        wanted, src = None, written(src.join(good.withColumn("mark", F.lit(True)), "id", "left"), "marked")
+    src = src.withColumn("row", F.monotonically_increasing_id())
+    counts = written(word_counts(src, wanted), "words")
+    known = counts.where((F.col("n") >= least) & (F.col("word") != START))
+    rest = {r.begin: r for r in counts.where((F.col("n") < least) | (F.col("word") == START)).groupBy((F.col("word") == START).alias("begin")).agg(*(F.sum(c).alias(c) for c in _COUNTS)).collect()}
+    begin, unknown = (np.array([rest[b][c] if b in rest else 0 for c in _COUNTS], np.int64) for b in (True, False))
+    size, n_all, k_all = (x or 0 for x in known.agg(F.count("*"), F.sum("n"), F.sum("k")).first())
+    mass = [n_all + int(unknown[0]) + size + 1.0, k_all + int(unknown[1]) + size + 1.0]
+    sent = size <= SENT_WORDS
+    words, tally = _table((known if sent else most_frequent(known, TOP)).toArrow())
+    top = np.sort(np.concatenate([np.array([UNKNOWN, START], U64), _table(most_frequent(known, TOP).toArrow())[0] if sent else words]))
+    side = top.size
+    src = src.withColumn("known", F.lit(None).cast("array<struct<word:bigint,n:bigint,k:bigint,cn:bigint,ck:bigint>>")) if sent else _own_words(written(src, "rows"), known, top)
+    src = src.select("row", "id", "mark", "text", "known")
+
+    def pairs(batches):
+        """Chunks of documents: rows lo to hi, their first tokens, and of each token whether it is in the target, the word and the word before it, both's counts, and the pair's cell in the square or -1."""
         for batch in batches:
-            n, lt, lb = (np.zeros(batch.num_rows, t) for t in (np.int64, float, float))
-            for lo, hi, data, offsets in text_chunks(batch.column(1)):
+            hit, vocab, n = _hits(batch.column(2), wanted), words, tally
+            if not sent:
+                own, own_n = _table(batch.column(4).flatten())
+                new = _place(own, words) < 0
+                vocab, n = np.concatenate([words, own[new]]), np.hstack([tally, own_n[:, new]])
+                order = np.argsort(vocab)
+                vocab, n = vocab[order], n[:, order]
+            n = np.hstack([n, unknown[:, None]])  # place -1
+            for lo, hi, data, offsets in text_chunks(batch.column(3)):
                 h, at = hash_words(data, offsets)
-                n[lo:hi] = np.diff(at)
-                if h.size:
-                    ids = token_ids(h, vocab)
-                    before, pair = _bigrams(ids, at, vocab.size + 1)
-                    spot = np.minimum(np.searchsorted(slots, pair), max(slots.size - 1, 0))
-                    known = slots[spot] == pair if slots.size else np.zeros(pair.size, bool)
-                    full = lo + np.flatnonzero(np.diff(at))
-                    starts = at[:-1][np.diff(at) > 0]
-                    lt[full] = np.add.reduceat(wanted.loss(before, ids, spot, known), starts) / n[full]
-                    lb[full] = np.add.reduceat(background.loss(before, ids, spot, known), starts) / n[full]
-            none = n == 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(lt, mask=none), pa.array(lb, mask=none), pa.array(lt - lb, mask=none)], ["id", "n_tokens", "target_loss", "background_loss", "score"])
+                place = _place(h, vocab)
+                word = np.where(place < 0, U64(UNKNOWN), h)
+                first = at[:-1][np.diff(at) > 0]
+                before, context = np.empty_like(word), np.empty((2, word.size), np.int64)
+                before[1:], context[:, 1:] = word[:-1], n[2:, place[:-1]]
+                before[first], context[:, first] = START, begin[2:, None]
+                a, b = _place(before, top), _place(word, top)
+                yield batch, lo, hi, at, np.repeat(hit[lo:hi], np.diff(at)), before, word, context, n[:2, place], np.where((a < 0) | (b < 0), -1, a * side + b)
+
+    def count_cells(batches):
+        total = np.zeros((2, side * side), np.int64)
+        for _, _, _, _, of, _, _, _, _, cell in pairs(batches):
+            for row, pick in enumerate((cell >= 0, (cell >= 0) & of)):
+                found, n = np.unique(cell[pick], return_counts=True)
+                total[row][found] += n
+        some = np.flatnonzero(total[0])
+        yield from _batches([some, *total[:, some]], ["cell", "n", "k"])
+
+    found = src.mapInArrow(count_cells, "cell long, n long, k long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).toArrow()
+    square = np.zeros((2, side * side), np.int64)
+    square[:, found.column("cell").to_numpy()] = [found.column(c).to_numpy() for c in ("n", "k")]
+
+    def run(batches):
+        names = ["row", "id", "slot", "m", "k", "a", "b"]
+        for batch, lo, hi, at, of, before, word, context, n, cell in pairs(batches):
+            row, full, size = batch.column(0).to_numpy()[lo:hi], np.diff(at) > 0, np.diff(at)
+            together = np.maximum(square[:, cell], 0)
+            rare = np.flatnonzero(cell < 0)
+            slot = mix((before[rare] * U64(0x9FB21C651E98DF25)) ^ word[rare]) >> U64(1)
+            doc = np.repeat(np.arange(hi - lo), size)[rare]
+            kinds, kind = np.unique(slot, return_inverse=True)
+            _, one, nth, m = np.unique(doc * max(kinds.size, 1) + kind, return_index=True, return_inverse=True, return_counts=True)
+            # What a document itself holds of a pair is known here; what the others hold is added where the pair is counted.
+            together[:, rare] = m[nth], m[nth] * of[rare]
+            sums = np.zeros((2, hi - lo))
+            if word.size:
+                loss = np.log(context + prior) - np.log(together + prior * (n + 1.0) / np.array(mass)[:, None])
+                sums[:, full] = np.add.reduceat(loss, at[:-1][full], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(row), batch.column(1)[lo:hi], pa.array(-1 - row), pa.array(size), pa.array(np.zeros(hi - lo, np.int64)), pa.array(sums[0]), pa.array(sums[1])], names)
+            at_one = rare[one]
+            rows = [row[doc[one]], slot[one].view(np.int64), m, m * of[at_one], n[0, at_one].astype(float), n[1, at_one].astype(float)]
+            for p in range(0, m.size, 50_000):
+                part = [pa.array(r[p : p + 50_000]) for r in rows]
+                yield pa.RecordBatch.from_arrays([part[0], pa.nulls(len(part[0]), batch.column(1).type), *part[1:]], names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return src.mapInArrow(run, f"id {kind}, n_tokens long, target_loss double, background_loss double, score double").withColumnRenamed("id", id_col)
+    every = Window.partitionBy("slot")
+    terms = src.mapInArrow(run, f"row long, id {kind}, slot long, m long, k long, a double, b double").withColumns({"n_all": F.sum("m").over(every), "k_all": F.sum("k").over(every)})
+    sum_row = F.col("slot") < 0
+    change = lambda own, whole, c, mass: F.col("m") * (F.log(F.col(own) + prior * (F.col(c) + 1.0) / mass) - F.log(F.col(whole) + prior * (F.col(c) + 1.0) / mass))
+    terms = terms.where(sum_row | (F.col("n_all") > F.col("m")))
+    terms = terms.select("row", "id", F.when(sum_row, F.col("m")).alias("n"), F.when(sum_row, F.col("a")).otherwise(change("m", "n_all", "a", mass[0])).alias("lb"), F.when(sum_row, F.col("b")).otherwise(change("k", "k_all", "b", mass[1])).alias("lt"))
+    out = terms.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.max("n").alias("n"), F.sum("lt").alias("lt"), F.sum("lb").alias("lb"))
+    lt, lb = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in ("lt", "lb"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), lt.alias("target_loss"), lb.alias("background_loss"), (lt - lb).alias("score"))

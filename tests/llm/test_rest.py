@@ -168,6 +168,21 @@ def test_lm_scores_like_plain_python(spark, limit, monkeypatch):
         assert (r.score is None) == (r.n_tokens == 0) and (r.score is None or abs(r.score - (r.target_loss - r.background_loss)) < 1e-12)
 
 
+@pytest.mark.parametrize("sent,top", [(lm_score.SENT_WORDS, lm_score.TOP), (lm_score.SENT_WORDS, 4), (0, 8), (0, lm_score.TOP)])
+def test_lm_counts_every_word_and_pair(spark, sent, top, monkeypatch):
+    """More words and pairs, all of one frequency, than the models once kept (65,536 words, 2^20 pairs at most, no part of a level)."""
+    monkeypatch.setattr(lm_score, "SENT_WORDS", sent)
+    monkeypatch.setattr(lm_score, "TOP", top)
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{x}" for x in rng.permutation(70_000)[:35_000]) + " the of the of" + " once%d" % i) for i in range(8)] + [(i, f"the of w{i} w{i + 1} the of", ) for i in range(8, 60)]
+    good = {0, 3, 9, 10, 11}
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in good], "doc_id long")).collect()
+    want = {r[0]: r for r in plain_losses(rows, good)}
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_tokens == want[r.doc_id][1] and abs(r.target_loss - want[r.doc_id][2]) < 1e-9 and abs(r.background_loss - want[r.doc_id][3]) < 1e-9
+
+
 def test_lm_pruning_and_empty(spark):
     pairs = spark.createDataFrame([(i, n, 0) for i, n in enumerate([1, 1, 1, 2, 2, 5, 9])], "slot long, n long, k long")
     assert sorted(r.n for r in lm_score.most_frequent(pairs, 4).collect()) == [2, 2, 5, 9]
