@@ -73,7 +73,7 @@ def view_pairs(df: DataFrame, keys: list[str], view: str = "view", value: str =
     """All pairs of views of a row, each once: keys, view_a, view_b, a, b. A row has a handful of views."""
     cells = F.sort_array(F.collect_list(F.struct(F.col(view).alias("view"), F.col(value).alias("value"))))
     g = df.groupBy(*keys).agg(cells.alias("_v"))
-    return g.select(*keys, F.posexplode("_v").alias("_i", "_a"), "_v").select(*keys, "_a", F.explode(F.slice("_v", F.col("_i") + 2, 1000)).alias("_b")).select(*keys, F.col("_a.view").alias("view_a"), F.col("_b.view").alias("view_b"), F.col("_a.value").alias("a"), F.col("_b.value").alias("b"))
+    return g.select(*keys, F.posexplode("_v").alias("_i", "_a"), "_v").select(*keys, "_a", F.explode(F.slice("_v", F.col("_i") + 2, F.size("_v"))).alias("_b")).select(*keys, F.col("_a.view").alias("view_a"), F.col("_b.view").alias("view_b"), F.col("_a.value").alias("a"), F.col("_b.value").alias("b"))
 
 
 def overlap_gates(features: DataFrame, parts: int = 30, least_corr: float = 0.75, least_frames: int = 3, least_share: float = 0.2) -> DataFrame:

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from framegauge.operators import injection as J
-from framegauge.operators import lag, sampling, signals
+from framegauge.operators import lag, sampling, signals, vision
 from framegauge.operators.islands import equal_runs, islands, merge_findings, span_iou
 from framegauge.operators.statistics import FIELDS, ordered_quantiles, robust_stats, scoped_stats, with_baseline
 
@@ -135,3 +135,10 @@ def test_bimanual_drift(spark):
     rows = [(1, i, [0.0] * 3 + [1.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0] + [0.4 + (0.3 if i == 20 else 0.0), 0.0, 0.0] + [1.0, 0.0, 0.0, 0.0, 1.0, 0.0] + [rng.random()]) for i in range(32)]
     d = signals.bimanual(spark.createDataFrame(rows, "episode long, seq long, state array<double>"), ["episode"]).collect()
     assert all(abs(r.distance - 0.4) < 1e-9 and abs(r.drift) < 1e-9 for r in d if r.seq != 20) and abs(d[20].drift - 0.3) < 1e-9
+
+
+def test_view_pairs_of_many_views(spark):
+    """Every pair of a row with more than 1001 views."""
+    df = spark.range(1003).select(F.lit(1).alias("episode"), F.col("id").alias("view"), F.col("id").alias("value"))
+    r = vision.view_pairs(df, ["episode"]).agg(F.count("*").alias("n"), F.count_distinct("view_a", "view_b").alias("d"), F.max(F.col("view_b") - F.col("view_a")).alias("far")).first()
+    assert (r.n, r.d, r.far) == (1003 * 1002 // 2, 1003 * 1002 // 2, 1002)
