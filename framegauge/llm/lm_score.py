@@ -2,18 +2,23 @@
 
 Two bigram models, of the target documents and of all documents, share one vocabulary (every word that occurs ``least``
 times; all others are one unknown word), one order and one smoothing. A document's score is the mean over its tokens of
-the target model's loss less the background model's: low scores are like the target.
+the target model's loss less the background model's: low scores are like the target. A target document is held out of
+the target model that scores it: its own counts are taken away.
 
-Every word and every bigram counts, exactly; nothing is pruned, so the models grow with the corpus. Pairs of two of the
-``TOP`` most frequent words are counted in a square array that is sent to the workers. Every other pair is at most as
-frequent as the first word outside it; those are dealt out by pair, counted there, and summed back by document. Word
-counts are sent to the workers up to ``SENT_WORDS``; above that each document gets those of its own words by a join."""
+Every word and every bigram counts, exactly; nothing is pruned, and there is one way for every size. Documents are coded
+once in blocks of ``BLOCK_BYTES`` of text, as a written table. A block asks for the totals of the words, later of the
+pairs, that it holds: sorted 64-bit hashes with the block's own counts, cut by hash range, go to the tasks that own the
+ranges; the totals come back in the block's order, without the hashes. No task holds more than a block or about
+``DEALT`` hashes, no model is sent anywhere, and a frequent word or pair is one entry of each block."""
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,13 +27,38 @@ from framegauge.llm.common import U64, hash_words, mix, text_chunks, written
 PRIOR = 4.0
 #: Up to so many integer ids of the target are sent to the workers (32 MB); more are joined.
 TARGET_IDS = 1 << 22
-#: Up to so many words and their counts are sent to the workers (80 MB); more are joined.
-SENT_WORDS = 1 << 21
-#: Pairs of so many words are counted in an array (16 MB); it decides where a pair is counted, not whether.
-TOP = 1 << 10
+#: Text in a block; a longer document is a block of its own.
+BLOCK_BYTES = 16 << 20
+#: Hashes, summed over all blocks, in a range that one task holds at a time.
+DEALT = 1 << 21
+#: Tasks of a shuffle at most; a task takes its blocks or ranges one after the other.
+MOST_TASKS = 1 << 14
 #: Stand for the unknown word and for a text's beginning among the word hashes.
 UNKNOWN, START = 0, 1
-_COUNTS = ["n", "k", "cn", "ck"]
+#: Known words, their counts in all texts and the target's; the unknown ones' counts, and how many of both end a text.
+_SUMS = ["size", "n", "k", "un", "u_last", "uk", "uk_last"]
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers as compressed byte planes, as many as the largest needs."""
+    x = np.ascontiguousarray(x, U64)
+    width = (int(x.max()).bit_length() + 7) // 8 if x.size else 0
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return struct.pack("<QB", x.size, width) + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    size, width = struct.unpack_from("<QB", data)
+    out = np.zeros((size, 8), np.uint8)
+    if size * width:
+        raw = pa.decompress(data[9:], decompressed_size=size * width, codec="zstd", asbytes=True)
+        out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, size).T
+    return out.view(U64).ravel()
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """A sorted array as its differences; ``np.cumsum`` undoes it."""
+    return np.diff(x, prepend=U64(0))
 
 
 def _hits(marks: pa.Array, wanted: np.ndarray | None) -> np.ndarray:
@@ -41,188 +71,222 @@ def _hits(marks: pa.Array, wanted: np.ndarray | None) -> np.ndarray:
     return (wanted[np.minimum(np.searchsorted(wanted, ids), wanted.size - 1)] == ids) & ~marks.is_null().to_numpy(zero_copy_only=False)
 
 
-def _summed(rows: np.ndarray) -> np.ndarray:
-    """Columns with the same first entry added up."""
-    if not rows.shape[1]:
-        return rows
-    rows = rows[:, np.argsort(rows[0], kind="stable")]
-    first = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
-    return np.vstack([rows[0][first], np.add.reduceat(rows[1:], first, axis=1)])
-
-
-def _batches(rows, names: list[str], step: int = 50_000):
-    for lo in range(0, len(rows[0]), step):
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(r[lo : lo + step])) for r in rows], names)
-
-
-def word_counts(texts: DataFrame, wanted: np.ndarray | None = None, most: int = 1 << 18) -> DataFrame:
-    """``(word, n, k, cn, ck)``: the 64-bit hash of every word of column ``text``, how often it is there and before another
-    word, in all texts (n) and in the target's (k). ``START`` has cn and ck only."""
+def _blocks(src: DataFrame, kind: str, wanted: np.ndarray | None) -> DataFrame:
+    """A row per block of documents: ids, marks, numbers of words, the sorted hashes of the block's words, how often each
+    occurs, and the texts as ranks of words by frequency. ``n_words`` and ``n_pairs`` bound what the block will ask for."""
+    names = ["block", "n_docs", "k_docs", "n_words", "n_pairs", "ids", "marks", "sizes", "vocab", "counts", "codes"]
+
+    def coded(block, ids, marks, sizes, words):
+        marks, sizes, words = np.concatenate(marks), np.concatenate(sizes), np.concatenate(words)
+        vocab, code, n = np.unique(words, return_inverse=True, return_counts=True)
+        rank = np.empty(vocab.size, np.int64)
+        rank[np.argsort(-n, kind="stable")] = np.arange(vocab.size)
+        ids = pa.concat_arrays(ids)
+        full = sizes > 0
+        return pa.RecordBatch.from_arrays([
+            *(pa.array([int(x)], pa.int64()) for x in (block, full.sum(), (full & marks).sum(), vocab.size, words.size)),
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            *(pa.array([_packed(x)], pa.binary()) for x in (marks, sizes, _steps(vocab), n, rank[code])),
+        ], names)
 
     def run(batches):
-        kept = np.zeros((5, 0), np.int64)
+        block, held, size = TaskContext.get().partitionId() << 32, ([], [], [], []), 0
         for batch in batches:
-            hit = _hits(batch.column(0), wanted)
-            for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                h, at = hash_words(data, offsets)
-                if not h.size:
-                    continue
-                size = np.diff(at)
-                of, last = np.repeat(hit[lo:hi], size), np.zeros(h.size, bool)
-                last[at[1:][size > 0] - 1] = True
-                found, nth = np.unique(h, return_inverse=True)
-                new = np.vstack([found.view(np.int64), *(np.bincount(nth[pick], minlength=found.size) for pick in (slice(None), of, ~last, of & ~last))])
-                begin = np.array([[START], [0], [0], [(size > 0).sum()], [(hit[lo:hi] & (size > 0)).sum()]])
-                kept = _summed(np.hstack([kept, new, begin]))
-                if kept.shape[1] > most:
-                    yield from _batches(kept, ["word", *_COUNTS])
-                    kept = np.zeros((5, 0), np.int64)
-        yield from _batches(kept, ["word", *_COUNTS])
-
-    out = texts.select("mark", "text").mapInArrow(run, "word long, n long, k long, cn long, ck long")
-    return out.groupBy("word").agg(*(F.sum(c).alias(c) for c in _COUNTS))
-
-
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows of (n, …) at or over the lowest level of n, in steps of a 64th of a doubling, that at most ``most`` of them reach.
-
-    A histogram of levels has a few thousand rows at most; unlike a sorted limit, no task gathers the candidates of all others."""
-    level = F.floor(64 * F.log2("n"))
-    steps = sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r.level)
-    left, least = most, None
-    for r in steps:
-        left -= r["count"]
-        if left < 0:
-            break
-        least = r.level
-    return counts.where(level >= least) if least is not None else counts.where("false")
-
-
-def _table(arrow: pa.Table | pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted word hashes and their counts (n, k, cn, ck)."""
-    get = (lambda c: arrow.column(c)) if isinstance(arrow, pa.Table) else arrow.field
-    words, first = np.unique(get("word").to_numpy().view(U64), return_index=True)
-    return words, np.vstack([get(c).to_numpy() for c in _COUNTS])[:, first]
-
-
-def _place(words: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """The place of each word in a sorted array, or -1."""
-    if not among.size:
-        return np.full(words.size, -1)
-    at = np.minimum(np.searchsorted(among, words), among.size - 1)
-    return np.where(among[at] == words, at, -1)
-
-
-def _own_words(src: DataFrame, known: DataFrame, top: np.ndarray) -> DataFrame:
-    """``src`` (row, …) with column known: the counts of each document's known words outside ``top``."""
+            marks = _hits(batch.column(1), wanted)
+            for lo, hi, data, offsets in text_chunks(batch.column(2)):
+                if size and size + data.size > BLOCK_BYTES:
+                    yield coded(block, *held)
+                    block, held, size = block + 1, ([], [], [], []), 0
+                words, at = hash_words(data, offsets)
+                for x, new in zip(held, (batch.column(0)[lo:hi], marks[lo:hi], np.diff(at), words), strict=True):
+                    x.append(new)
+                size += data.size
+        if held[0]:
+            yield coded(block, *held)
+
+    schema = f"block long, n_docs long, k_docs long, n_words long, n_pairs long, ids array<{kind}>, marks binary, sizes binary, vocab binary, counts binary, codes binary"
+    return written(src.select("id", "mark", "text").mapInArrow(run, schema), "blocks")
+
+
+class _Block:
+    """Documents as numbers; ``code`` is the place of each token's word in ``vocab``."""
+
+    def __init__(self, marks, sizes, vocab, counts, codes):
+        self.mark, self.size = _unpacked(marks).astype(bool), _unpacked(sizes).astype(np.int64)
+        self.vocab = np.cumsum(_unpacked(vocab), dtype=U64)
+        self.n = _unpacked(counts).astype(np.int64)
+        self.code = np.argsort(-self.n, kind="stable")[_unpacked(codes).astype(np.int64)]
+        self.doc = np.repeat(np.arange(self.size.size), self.size)
+        self.full = np.flatnonzero(self.size)
+        ends = np.cumsum(self.size)[self.full]
+        self.first, self.last = ends - self.size[self.full], ends - 1
+
+    def word_counts(self) -> np.ndarray:
+        """Of every word: its count, how often it ends a text, and the same in the target."""
+        count = lambda at: np.bincount(self.code[at], minlength=self.vocab.size)
+        of = self.mark[self.doc]
+        return np.vstack([self.n, count(self.last), count(of), count(self.last[of[self.last]])])
+
+    def known(self, totals: np.ndarray, least: int) -> None:
+        """Gives words under ``least`` the place behind the vocabulary; the next one is a text's beginning."""
+        size = self.vocab.size
+        self.word = np.where(totals[0] >= least, np.arange(size), size)[self.code]
+        self.before = np.empty_like(self.word)
+        self.before[1:] = self.word[:-1]
+        self.before[self.first] = size + 1
+        h = np.append(self.vocab, np.array([UNKNOWN, START], U64))
+        self.slot, self.pair = np.unique(mix((h[self.before] * U64(0x9FB21C651E98DF25)) ^ h[self.word]), return_inverse=True)
+
+    def pair_counts(self) -> np.ndarray:
+        count = lambda x: np.bincount(x, minlength=self.slot.size)
+        return np.vstack([count(self.pair), count(self.pair[self.mark[self.doc]])])
+
+    def losses(self, words: np.ndarray, pairs: np.ndarray, all_: dict, prior: float) -> np.ndarray:
+        """The sum of both models' losses, background first, of every document."""
+        out = np.zeros((2, self.size.size))
+        if not self.code.size:
+            return out
+        ends = np.array([[all_["un"], 0], [all_["u_last"], -all_["n_docs"]], [all_["uk"], 0], [all_["uk_last"], -all_["k_docs"]]])
+        n, last, k, k_last = np.hstack([words, ends])  # a beginning has no count, but words after it
+        mass = all_["n"] + all_["un"] + all_["size"] + 1.0
+        loss = np.log((n - last)[self.before] + prior) - np.log(pairs[0][self.pair] + prior * (n[self.word] + 1.0) / mass)
+        out[0, self.full] = np.add.reduceat(loss, self.first)
+        own_word, own_before, own_pair, own = np.zeros((4, self.code.size), np.int64)
+        held = np.flatnonzero(self.mark[self.doc])
+        doc = self.doc[held]
+        for x, kind in ((own_word, self.word), (own_before, self.before), (own_pair, self.pair)):
+            _, nth, m = np.unique(doc * (int(kind.max()) + 1) + kind[held], return_inverse=True, return_counts=True)
+            x[held] = m[nth]
+        own[held] = self.size[doc]
+        mass = all_["k"] + all_["uk"] - own + all_["size"] + 1.0
+        loss = np.log((k - k_last)[self.before] - own_before + prior) - np.log(pairs[1][self.pair] - own_pair + prior * (k[self.word] - own_word + 1.0) / mass)
+        out[1, self.full] = np.add.reduceat(loss, self.first)
+        return out
+
+
+_CODED = ["marks", "sizes", "vocab", "counts", "codes"]
+
+
+def _ask(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.RecordBatch:
+    """A row for each hash range of which the block holds keys."""
+    range_ = ((keys >> U64(32)) * U64(ranges)) >> U64(32)
+    start = np.flatnonzero(np.diff(range_, prepend=U64(2**64 - 1)))
+    end = np.append(start[1:], keys.size)
+    cols = [[block] * start.size, range_[start].astype(np.int64), [_packed(_steps(keys[a:b])) for a, b in zip(start, end, strict=True)], [_packed(counts[:, a:b].ravel()) for a, b in zip(start, end, strict=True)]]
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "range", "keys", "counts"])
+
+
+def _runs(batches, column: str):
+    """The rows, as dictionaries, of each run of equal values of a column."""
+    rows = []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {k: batch.column(k)[i] for k in batch.schema.names}
+            if rows and rows[-1][column] != row[column]:
+                yield rows
+                rows = []
+            rows.append(row)
+    if rows:
+        yield rows
+
+
+def _answered(asked: DataFrame, ranges: int, least: int | None = None) -> DataFrame:
+    """``(block, range, totals, sums)``: a row for each that was asked, totals in the order of its keys; and with ``least``
+    a row of ``sums`` for each range, see ``_SUMS``."""
 
     def run(batches):
-        for batch in batches:
-            row = batch.column(0).to_numpy()
-            for lo, hi, data, offsets in text_chunks(batch.column(1)):
-                h, at = hash_words(data, offsets)
-                for i in range(hi - lo):
-                    own = np.unique(h[at[i] : at[i + 1]])
-                    own = own[_place(own, top) < 0].view(np.int64)
-                    yield from _batches([np.full(own.size, row[lo + i]), own], ["row", "word"])
-
-    own = src.select("row", "text").mapInArrow(run, "row long, word long").join(known.hint("merge"), "word")
-    return src.join(own.groupBy("row").agg(F.collect_list(F.struct("word", *_COUNTS)).alias("known")), "row", "left")
+        for rows in _runs(batches, "range"):
+            keys = [np.cumsum(_unpacked(r["keys"].as_py()), dtype=U64) for r in rows]
+            counts = np.hstack([_unpacked(r["counts"].as_py()).astype(np.int64).reshape(-1, x.size) for r, x in zip(rows, keys, strict=True)])
+            cut, all_keys = np.cumsum([x.size for x in keys])[:-1], np.concatenate(keys)
+            order = np.argsort(all_keys, kind="stable")
+            new = np.flatnonzero(np.concatenate([[True], np.diff(all_keys[order]) != 0]))
+            total = np.add.reduceat(counts[:, order], new, axis=1)
+            nth = np.empty(all_keys.size, np.int64)
+            nth[order] = np.repeat(np.arange(new.size), np.diff(np.append(new, all_keys.size)))
+            block, at, sums = [r["block"].as_py() for r in rows], rows[0]["range"].as_py(), [None] * len(rows)
+            totals = [_packed(total[:, x].ravel()) for x in np.split(nth, cut)]
+            if least is not None:
+                good = total[0] >= least
+                block, totals = [*block, -1], [*totals, None]
+                sums.append([int(good.sum()), *(int(x) for x in total[[0, 2]][:, good].sum(axis=1)), *(int(x) for x in total[:, ~good].sum(axis=1))])
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), pa.array([at] * len(block), pa.int64()), pa.array(totals, pa.binary()), pa.array(sums, pa.list_(pa.int64()))], ["block", "range", "totals", "sums"])
+
+    dealt = asked.repartition(min(ranges, MOST_TASKS), "range").sortWithinPartitions("range", "block")
+    return dealt.mapInArrow(run, "block long, range long, totals binary, sums array<long>")
+
+
+def _at_home(blocks: DataFrame, answers: list[DataFrame], tasks: int) -> DataFrame:
+    """Every block's row followed by its answers, by kind and range."""
+    kept = ["ids", *_CODED]
+    rows = blocks.select("block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("range"), *kept, F.lit(None).cast("binary").alias("totals"))
+    for kind, answer in enumerate(answers, 1):
+        rows = rows.union(answer.select("block", F.lit(kind), "range", *(F.lit(None).cast(blocks.schema[c].dataType) for c in kept), "totals"))
+    return rows.repartition(min(tasks, MOST_TASKS), "block").sortWithinPartitions("block", "kind", "range")
+
+
+def _opened(batches, *shape: int):
+    """Each block with its row and its answers, put together, as one array of counts for each kind."""
+    for rows in _runs(batches, "block"):
+        block = _Block(*(rows[0][c].as_py() for c in _CODED))
+        answers = []
+        for kind, height in enumerate(shape, 1):
+            parts = [_unpacked(r["totals"].as_py()).astype(np.int64).reshape(height, -1) for r in rows if r["kind"].as_py() == kind]
+            answers.append(np.hstack(parts) if parts else np.zeros((height, 0), np.int64))
+        yield rows[0], block, *answers
 
 
 def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 2, prior: float = PRIOR) -> DataFrame:
     """``(id_col, n_tokens, target_loss, background_loss, score)``, a row for every input row.
 
-    The target model counts the documents whose id is in ``target_ids`` (column ``id_col``), the background model all.
+    The target model counts the documents whose id is in ``target_ids`` (column ``id_col``), the background model all; a
+    target document's own counts are left out of the target model that scores it.
     Words are lower-cased runs outside white space. A null or empty text has no tokens; its losses and score are null.
     Repeated rows count and are scored one by one; a null id is never in the target. An empty target leaves its model
     uniform; an empty table gives no rows. Pairs are told apart by a 64-bit hash of their words' hashes."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    good = target_ids.select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    some = good.limit(TARGET_IDS + 1).toArrow().column(0) if isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)) else None
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    good = target_ids.select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct()
+    id_type = docs.schema[id_col].dataType
+    some = good.limit(TARGET_IDS + 1).toArrow().column(0) if isinstance(id_type, (T.LongType, T.IntegerType)) else None
     if some is not None and len(some) <= TARGET_IDS:
         wanted, src = np.sort(some.to_numpy().astype(np.int64)), src.withColumn("mark", F.col("id").cast("long"))
     else:
-        wanted, src = None, written(src.join(good.withColumn("mark", F.lit(True)), "id", "left"), "marked")
-    src = src.withColumn("row", F.monotonically_increasing_id())
-    counts = written(word_counts(src, wanted), "words")
-    known = counts.where((F.col("n") >= least) & (F.col("word") != START))
-    rest = {r.begin: r for r in counts.where((F.col("n") < least) | (F.col("word") == START)).groupBy((F.col("word") == START).alias("begin")).agg(*(F.sum(c).alias(c) for c in _COUNTS)).collect()}
-    begin, unknown = (np.array([rest[b][c] if b in rest else 0 for c in _COUNTS], np.int64) for b in (True, False))
-    size, n_all, k_all = (x or 0 for x in known.agg(F.count("*"), F.sum("n"), F.sum("k")).first())
-    mass = [n_all + int(unknown[0]) + size + 1.0, k_all + int(unknown[1]) + size + 1.0]
-    sent = size <= SENT_WORDS
-    words, tally = _table((known if sent else most_frequent(known, TOP)).toArrow())
-    top = np.sort(np.concatenate([np.array([UNKNOWN, START], U64), _table(most_frequent(known, TOP).toArrow())[0] if sent else words]))
-    side = top.size
-    src = src.withColumn("known", F.lit(None).cast("array<struct<word:bigint,n:bigint,k:bigint,cn:bigint,ck:bigint>>")) if sent else _own_words(written(src, "rows"), known, top)
-    src = src.select("row", "id", "mark", "text", "known")
-
-    def pairs(batches):
-        """Chunks of documents: rows lo to hi, their first tokens, and of each token whether it is in the target, the word and the word before it, both's counts, and the pair's cell in the square or -1."""
+        wanted, src = None, src.join(good.withColumn("mark", F.lit(True)), "id", "left")
+    kind = id_type.simpleString()
+    blocks = _blocks(src, kind, wanted)
+    whole = blocks.agg(F.count("*").alias("blocks"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_docs", "k_docs", "n_words", "n_pairs"))).first().asDict()
+    tasks, word_ranges, pair_ranges = max(1, whole["blocks"]), 1 + whole["n_words"] // DEALT, 1 + whole["n_pairs"] // DEALT
+
+    def ask_words(batches):
         for batch in batches:
-            hit, vocab, n = _hits(batch.column(2), wanted), words, tally
-            if not sent:
-                own, own_n = _table(batch.column(4).flatten())
-                new = _place(own, words) < 0
-                vocab, n = np.concatenate([words, own[new]]), np.hstack([tally, own_n[:, new]])
-                order = np.argsort(vocab)
-                vocab, n = vocab[order], n[:, order]
-            n = np.hstack([n, unknown[:, None]])  # place -1
-            for lo, hi, data, offsets in text_chunks(batch.column(3)):
-                h, at = hash_words(data, offsets)
-                place = _place(h, vocab)
-                word = np.where(place < 0, U64(UNKNOWN), h)
-                first = at[:-1][np.diff(at) > 0]
-                before, context = np.empty_like(word), np.empty((2, word.size), np.int64)
-                before[1:], context[:, 1:] = word[:-1], n[2:, place[:-1]]
-                before[first], context[:, first] = START, begin[2:, None]
-                a, b = _place(before, top), _place(word, top)
-                yield batch, lo, hi, at, np.repeat(hit[lo:hi], np.diff(at)), before, word, context, n[:2, place], np.where((a < 0) | (b < 0), -1, a * side + b)
-
-    def count_cells(batches):
-        total = np.zeros((2, side * side), np.int64)
-        for _, _, _, _, of, _, _, _, _, cell in pairs(batches):
-            for row, pick in enumerate((cell >= 0, (cell >= 0) & of)):
-                found, n = np.unique(cell[pick], return_counts=True)
-                total[row][found] += n
-        some = np.flatnonzero(total[0])
-        yield from _batches([some, *total[:, some]], ["cell", "n", "k"])
-
-    found = src.mapInArrow(count_cells, "cell long, n long, k long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).toArrow()
-    square = np.zeros((2, side * side), np.int64)
-    square[:, found.column("cell").to_numpy()] = [found.column(c).to_numpy() for c in ("n", "k")]
+            for row in batch.to_pylist():
+                block = _Block(*(row[c] for c in _CODED))
+                if block.code.size:
+                    yield _ask(row["block"], block.vocab, block.word_counts(), word_ranges)
+
+    asked = "block long, range long, keys binary, counts binary"
+    words = written(_answered(blocks.select("block", *_CODED).mapInArrow(ask_words, asked), word_ranges, least), "word-totals")
+    totals = words.where("block = -1").agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)).alias(c) for i, c in enumerate(_SUMS))).first()
+    all_ = whole | totals.asDict()
+    words = words.where("block >= 0")
+
+    def ask_pairs(batches):
+        for row, block, n in _opened(batches, 4):
+            if block.code.size:
+                block.known(n, least)
+                yield _ask(row["block"].as_py(), block.slot, block.pair_counts(), pair_ranges)
+
+    pairs = _answered(_at_home(blocks, [words], tasks).mapInArrow(ask_pairs, asked), pair_ranges)
 
     def run(batches):
-        names = ["row", "id", "slot", "m", "k", "a", "b"]
-        for batch, lo, hi, at, of, before, word, context, n, cell in pairs(batches):
-            row, full, size = batch.column(0).to_numpy()[lo:hi], np.diff(at) > 0, np.diff(at)
-            together = np.maximum(square[:, cell], 0)
-            rare = np.flatnonzero(cell < 0)
-            slot = mix((before[rare] * U64(0x9FB21C651E98DF25)) ^ word[rare]) >> U64(1)
-            doc = np.repeat(np.arange(hi - lo), size)[rare]
-            kinds, kind = np.unique(slot, return_inverse=True)
-            _, one, nth, m = np.unique(doc * max(kinds.size, 1) + kind, return_index=True, return_inverse=True, return_counts=True)
-            # What a document itself holds of a pair is known here; what the others hold is added where the pair is counted.
-            together[:, rare] = m[nth], m[nth] * of[rare]
-            sums = np.zeros((2, hi - lo))
-            if word.size:
-                loss = np.log(context + prior) - np.log(together + prior * (n + 1.0) / np.array(mass)[:, None])
-                sums[:, full] = np.add.reduceat(loss, at[:-1][full], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(row), batch.column(1)[lo:hi], pa.array(-1 - row), pa.array(size), pa.array(np.zeros(hi - lo, np.int64)), pa.array(sums[0]), pa.array(sums[1])], names)
-            at_one = rare[one]
-            rows = [row[doc[one]], slot[one].view(np.int64), m, m * of[at_one], n[0, at_one].astype(float), n[1, at_one].astype(float)]
-            for p in range(0, m.size, 50_000):
-                part = [pa.array(r[p : p + 50_000]) for r in rows]
-                yield pa.RecordBatch.from_arrays([part[0], pa.nulls(len(part[0]), batch.column(1).type), *part[1:]], names)
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    every = Window.partitionBy("slot")
-    terms = src.mapInArrow(run, f"row long, id {kind}, slot long, m long, k long, a double, b double").withColumns({"n_all": F.sum("m").over(every), "k_all": F.sum("k").over(every)})
-    sum_row = F.col("slot") < 0
-    change = lambda own, whole, c, mass: F.col("m") * (F.log(F.col(own) + prior * (F.col(c) + 1.0) / mass) - F.log(F.col(whole) + prior * (F.col(c) + 1.0) / mass))
-    terms = terms.where(sum_row | (F.col("n_all") > F.col("m")))
-    terms = terms.select("row", "id", F.when(sum_row, F.col("m")).alias("n"), F.when(sum_row, F.col("a")).otherwise(change("m", "n_all", "a", mass[0])).alias("lb"), F.when(sum_row, F.col("b")).otherwise(change("k", "k_all", "b", mass[1])).alias("lt"))
-    out = terms.groupBy("row").agg(F.first("id", ignorenulls=True).alias("id"), F.max("n").alias("n"), F.sum("lt").alias("lt"), F.sum("lb").alias("lb"))
+        for row, block, n, m in _opened(batches, 4, 2):
+            if block.code.size:
+                block.known(n, least)
+            background, target = block.losses(n, m, all_, prior)
+            cols = [row["ids"].values, *map(pa.array, (block.size, target, background))]
+            for lo in range(0, block.size.size, 10_000):
+                yield pa.RecordBatch.from_arrays([c[lo : lo + 10_000] for c in cols], ["id", "n", "lt", "lb"])
+
+    out = _at_home(blocks, [words, pairs], tasks).mapInArrow(run, f"id {kind}, n long, lt double, lb double")
     lt, lb = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in ("lt", "lb"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), lt.alias("target_loss"), lb.alias("background_loss"), (lt - lb).alias("score"))

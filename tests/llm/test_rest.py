@@ -130,65 +130,78 @@ def test_large_means(spark):
 
 
 def plain_losses(docs, good, least=2, prior=4.0):
+    """Both models counted anew for every document; a target document is left out of the target's."""
     toks = [(i, words((t or "").translate(LOWER))) for i, t in docs]
     count = Counter(w for _, ws in toks for w in ws)
     vocab = {w for w, c in count.items() if c >= least}
 
-    def model(pick):
+    def counted(texts):
         pair, uni, ctx = Counter(), Counter(), Counter()
-        for i, ws in toks:
-            if pick(i):
-                for p, w in zip(["<s>", *(x if x in vocab else None for x in ws)], [x if x in vocab else None for x in ws]):
-                    pair[p, w] += 1
-                    uni[w] += 1
-                    ctx[p] += 1
-        n = sum(uni.values())
-        return lambda p, w: math.log(ctx[p] + prior) - math.log(pair[p, w] + prior * (uni[w] + 1) / (n + len(vocab) + 1))
-
-    bg, tg = model(lambda i: True), model(lambda i: i in good)
+        for ws in texts:
+            for p, w in zip(["<s>", *(x if x in vocab else None for x in ws)], [x if x in vocab else None for x in ws]):
+                pair[p, w] += 1
+                uni[w] += 1
+                ctx[p] += 1
+        return pair, uni, ctx
+
+    def loss(model, own, p, w):
+        (pair, uni, ctx), (pair_, uni_, ctx_) = model, own
+        n = sum(model[1].values()) - sum(own[1].values())
+        return math.log(ctx[p] - ctx_[p] + prior) - math.log(pair[p, w] - pair_[p, w] + prior * (uni[w] - uni_[w] + 1) / (n + len(vocab) + 1))
+
+    bg, tg = counted([ws for _, ws in toks]), counted([ws for i, ws in toks if i in good])
     out = []
     for i, ws in toks:
         t = [x if x in vocab else None for x in ws]
-        pairs = list(zip(["<s>", *t], t))
-        out.append((i, len(ws), sum(tg(*p) for p in pairs) / len(ws) if ws else None, sum(bg(*p) for p in pairs) / len(ws) if ws else None))
+        pairs, none = Counter(zip(["<s>", *t], t)), counted([])
+        own = counted([ws]) if i in good else none
+        mean = lambda model, left: sum(m * loss(model, left, *p) for p, m in pairs.items()) / len(ws) if ws else None  # noqa: B023, E731
+        out.append((i, len(ws), mean(tg, own), mean(bg, none)))
     return out
 
 
-@pytest.mark.parametrize("limit", [lm_score.TARGET_IDS, 0])
-def test_lm_scores_like_plain_python(spark, limit, monkeypatch):
-    monkeypatch.setattr(lm_score, "TARGET_IDS", limit)
-    rows = awkward()
-    good = {r[0] for r in rows if r[0] is not None and r[0] % 2 == 0}
-    ids = spark.createDataFrame([(i,) for i in good] + [(4,), (None,)], "doc_id long")
-    got = lm_score.score(with_clashes(spark.createDataFrame(rows, SCHEMA)), ids).collect()
-    want = plain_losses([(r[0], r[1]) for r in rows], good)
+def same_losses(got, want):
     key = lambda r: str((r[0], r[1], round(r[2], 6) if r[2] is not None else None, round(r[3], 6) if r[3] is not None else None))
     assert sorted(map(key, got)) == sorted(map(key, want))
     for r in got:
         assert (r.score is None) == (r.n_tokens == 0) and (r.score is None or abs(r.score - (r.target_loss - r.background_loss)) < 1e-12)
 
 
-@pytest.mark.parametrize("sent,top", [(lm_score.SENT_WORDS, lm_score.TOP), (lm_score.SENT_WORDS, 4), (0, 8), (0, lm_score.TOP)])
-def test_lm_counts_every_word_and_pair(spark, sent, top, monkeypatch):
-    """More words and pairs, all of one frequency, than the models once kept (65,536 words, 2^20 pairs at most, no part of a level)."""
-    monkeypatch.setattr(lm_score, "SENT_WORDS", sent)
-    monkeypatch.setattr(lm_score, "TOP", top)
+@pytest.mark.parametrize("ids,block,dealt", [(lm_score.TARGET_IDS, lm_score.BLOCK_BYTES, lm_score.DEALT), (0, 3000, 100), (lm_score.TARGET_IDS, 1, 50)])
+def test_lm_scores_like_plain_python(spark, ids, block, dealt, monkeypatch):
+    """The same scores whatever the blocks and hash ranges."""
+    monkeypatch.setattr(lm_score, "TARGET_IDS", ids)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm_score, "DEALT", dealt)
+    monkeypatch.setattr(lm_score, "MOST_TASKS", 5)
+    rows = awkward()
+    good = {r[0] for r in rows if r[0] is not None and r[0] % 2 == 0}
+    target = spark.createDataFrame([(i,) for i in good] + [(4,), (None,)], "doc_id long")
+    got = lm_score.score(with_clashes(spark.createDataFrame(rows, SCHEMA)), target).collect()
+    same_losses(got, plain_losses([(r[0], r[1]) for r in rows], good))
+
+
+def test_lm_counts_every_word_and_pair(spark, monkeypatch):
+    """Hundreds of thousands of words and pairs, all of one frequency, in several ranges; ids that are no numbers."""
+    monkeypatch.setattr(lm_score, "DEALT", 1 << 16)
     rng = np.random.default_rng(1)
-    rows = [(i, " ".join(f"w{x}" for x in rng.permutation(70_000)[:35_000]) + " the of the of" + " once%d" % i) for i in range(8)] + [(i, f"the of w{i} w{i + 1} the of", ) for i in range(8, 60)]
-    good = {0, 3, 9, 10, 11}
-    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i,) for i in good], "doc_id long")).collect()
-    want = {r[0]: r for r in plain_losses(rows, good)}
-    assert len(got) == len(rows)
-    for r in got:
-        assert r.n_tokens == want[r.doc_id][1] and abs(r.target_loss - want[r.doc_id][2]) < 1e-9 and abs(r.background_loss - want[r.doc_id][3]) < 1e-9
+    rows = [(f"d{i}", " ".join(f"w{x}" for x in rng.permutation(70_000)[:35_000]) + " the of the of" + " once%d" % i) for i in range(8)] + [(f"d{i}", f"the of w{i} w{i + 1} the of") for i in range(8, 60)]
+    good = {"d0", "d3", "d9", "d10", "d11"}
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id string, text string"), spark.createDataFrame([(i,) for i in good], "doc_id string")).collect()
+    same_losses(got, plain_losses(rows, good))
 
 
-def test_lm_pruning_and_empty(spark):
-    pairs = spark.createDataFrame([(i, n, 0) for i, n in enumerate([1, 1, 1, 2, 2, 5, 9])], "slot long, n long, k long")
-    assert sorted(r.n for r in lm_score.most_frequent(pairs, 4).collect()) == [2, 2, 5, 9]
-    assert lm_score.most_frequent(pairs, 1).count() == 1 and lm_score.most_frequent(pairs, 0).count() == 0
+def test_lm_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert lm_score.score(empty, empty.select("doc_id")).count() == 0
+    blank = spark.createDataFrame([(1, None), (2, ""), (3, " \n")], "doc_id long, text string")
+    assert [tuple(r)[1:] for r in lm_score.score(blank, empty.select("doc_id")).collect()] == [(0, None, None, None)] * 3
+
+
+def test_lm_packing():
+    for x in (np.empty(0, U64), np.array([0, 0], U64), np.sort(np.random.default_rng(1).integers(0, 2**64 - 1, 1000, dtype=U64))):
+        assert (lm_score._unpacked(lm_score._packed(x)) == x).all()
+        assert (np.cumsum(lm_score._unpacked(lm_score._packed(lm_score._steps(x))), dtype=U64) == x).all()
 
 
 def test_pipeline_like_brute_force(spark, tmp_path):
