@@ -1,7 +1,8 @@
 """Secret scanning with built-in functions: base patterns, and sliding-window entropy over candidate strings.
 
 Positions are code points. Spark has no function for the positions of matches, so they are summed from the lengths of
-the matches and of the pieces between them. Nothing is shuffled and no Python runs."""
+the matches and of the pieces between them: first in runs of about the square root of their number, then over the runs,
+so that no step copies a list of all matches. Nothing is shuffled and no Python runs."""
 
 from __future__ import annotations
 
@@ -10,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framegauge.functions.vectors import let
 from framegauge.llm.common import packed
 
 _ANY = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -57,16 +59,29 @@ def most_repeated(bits: float) -> int:
     return math.floor(_SCALE * WINDOW * (math.log2(WINDOW) - bits))
 
 
+def _running(sizes: Column) -> Column:
+    """Running sums of a non-empty array of whole numbers."""
+    grown = lambda xs: F.aggregate(xs, F.array().cast("array<bigint>"), lambda out, x: F.concat(out, F.array(F.coalesce(F.get(out, F.size(out) - 1), F.lit(0).cast("bigint")) + x)))
+
+    def whole(s):
+        width = F.ceil(F.sqrt(F.size(s))).cast("int")
+        runs = F.transform(F.sequence(F.lit(1), F.size(s), width), lambda k: grown(F.slice(s, k, width)))
+        return let(runs, lambda r: let(grown(F.transform(r, lambda x: F.element_at(x, -1))), lambda ends: F.flatten(F.transform(r, lambda x, i: F.transform(x, lambda v: v + F.when(i == 0, F.lit(0).cast("bigint")).otherwise(F.get(ends, i - 1)))))))
+
+    return let(sizes, whole)
+
+
 def _spans(text: Column, pattern: str, kind: str, group: int = 0, least: int = 0) -> Column:
     """Array of (start, order, end, kind, value) of the matches whose group has the least length."""
     hits, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     counted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
-    parts = F.arrays_zip(hits.alias("hit"), between.alias("gap"), counted.alias("counted"))
-    one = lambda a, m: F.struct((a["at"] + F.length(m["gap"])).cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("order"), (a["at"] + F.length(m["gap"]) + F.length(m["hit"])).cast("long").alias("end"), F.lit(kind).alias("kind"), m["hit"].alias("value"))
-    none = F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string,value:string>>")
-    fold = lambda a, m: F.struct((a["at"] + F.length(m["gap"]) + F.coalesce(F.length(m["hit"]), F.lit(0))).cast("long").alias("at"), F.when(F.length(m["counted"]) >= least, F.concat(a["out"], F.array(one(a, m)))).otherwise(a["out"]).alias("out"))
-    found = F.aggregate(parts, F.struct(F.lit(0).cast("long").alias("at"), none.alias("out")), fold, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(none)
+    parts = F.arrays_zip(hits.alias("hit"), between.alias("gap"), *([counted.alias("counted")] if group else []))
+    size = lambda m: F.length(m["counted" if group else "hit"])
+    one = lambda m, end: F.struct((end - F.length(m["hit"])).alias("start"), F.lit(KINDS.index(kind)).alias("order"), end.alias("end"), F.lit(kind).alias("kind"), m["hit"].alias("value"))
+    ends = lambda p: _running(F.transform(p, lambda m: (F.length(m["gap"]) + F.coalesce(F.length(m["hit"]), F.lit(0))).cast("bigint")))
+    # the last piece has no match behind it
+    found = let(parts, lambda p: F.filter(F.zip_with(p, ends(p), lambda m, end: F.when(size(m) >= least, one(m, end))), lambda x: x.isNotNull()))
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast("array<struct<start:bigint,order:int,end:bigint,kind:string,value:string>>"))
 
 
 def _least_sum(value: Column, alphabet: str) -> Column:

@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -91,6 +92,19 @@ def test_keys_in_pieces(spark):
     assert min(hit.values()) >= 0.95 * len(keys) / len(abc), hit
 
 
+def test_time_grows_as_the_text(spark):
+    """A text of megabytes of hex strings: every match in place, in time about in proportion to their number."""
+    took = []
+    for n in (20_000, 80_000):
+        text = "\n".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string").withColumn("found", secrets._spans(F.col("text"), secrets._QUICK["hex"], "hex"))
+        start = time.perf_counter()
+        r = df.select(F.size("found").alias("n"), F.expr("found[0].start").alias("first"), F.expr(f"found[{n - 1}].start").alias("last")).first()
+        took.append(time.perf_counter() - start)
+        assert (r.n, r.first, r.last) == (n, 0, 65 * (n - 1))
+    assert took[1] < 8 * took[0] + 5, took
+
+
 def test_entropy_table():
     s = secrets.most_repeated(3.0)
     assert math.log2(20) - s / secrets._SCALE / 20 >= 3.0 - 1e-6
