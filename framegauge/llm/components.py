@@ -1,4 +1,7 @@
-"""Connected components by alternating large and small stars; every step is a join and a partial minimum."""
+"""Connected components by alternating large and small stars; every step is a join and a partial minimum.
+
+Minima are written before they meet their links again: the engine then knows their size, sends small ones to the links
+and splits the many links of one vertex where they are large, so no vertex gathers its links in one task."""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from framegauge.llm.common import written
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -23,6 +26,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     for _ in range(rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_smallest(both), "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = written(large, "large")
         small = large.join(_smallest(large), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
         e = written(small, "cc")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from framegauge.llm.common import U64, mix, packed, shingle_sets, written
 from framegauge.llm.components import connected_components
 
-BITMAP_BITS = 1 << 23
+#: Ids up to so many are marked in a bitmap of 16 bits an id at most (32 MB), which the workers get; more are joined.
+BITMAP_IDS = 1 << 24
+#: Rows of one shingle and component above this are dealt out over several tasks.
+SPLIT = 10_000
 
 
 def sketch(x: np.ndarray, t: int = 128, seed: int = 1) -> np.ndarray:
@@ -74,32 +77,40 @@ def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, lower: bool,
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, s1 long, s2 long, bands array<long>, sig binary")
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """A bit for ``pmod(xxhash64(id), 2^23)`` of every id: one megabyte, whatever the number of ids."""
-    h = F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))
-    parts = ids.select(h.alias("h")).groupBy(F.expr("bitmap_bucket_number(h + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h + 1))").alias("bits")).collect()
-    out = np.zeros(BITMAP_BITS // 8, np.uint8)
-    for r in parts:
-        out[(r.k - 1) * 4096 : r.k * 4096] = np.frombuffer(bytes(r.bits), np.uint8)
-    return np.unpackbits(out, bitorder="little").astype(bool)
+def _bitmap(ids: DataFrame, bits: int) -> bytes:
+    """A bit for ``pmod(xxhash64(id), bits)`` of every id."""
+    h = F.pmod(F.xxhash64("id"), F.lit(bits))
+    parts = ids.select(h.alias("h")).groupBy(F.expr("bitmap_bucket_number(h + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h + 1))").alias("bits")).toArrow()
+    out = np.zeros((bits // 32768, 4096), np.uint8)
+    for k, x in zip(parts.column("k").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        out[k - 1] = np.frombuffer(x, np.uint8)
+    return out.tobytes()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n: int, lower: bool) -> DataFrame:
-    """``(id, set)`` of the documents in ``ids``, and of a few others that share a bit of the bitmap."""
-    bits = np.packbits(_bitmap(ids)).tobytes()
+    """``(id, set)`` of the documents in ``ids``, and of a few others that share a bit of a bitmap that grows with their number."""
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("id is not null")
+    ids = ids.distinct()
+    size = ids.count()
+    if size > BITMAP_IDS:
+        src, bits, marks = src.join(ids, "id", "left_semi"), None, None
+    else:
+        bits = max(1 << 15, 1 << (8 * size).bit_length())
+        marks = _bitmap(ids, bits)
+        src = src.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(bits)))
 
     def run(batches):
-        keep = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(keep[batch.column(2).to_numpy()]))
+            if marks is not None:
+                h = batch.column(2).to_numpy()
+                batch = batch.filter(pa.array((np.frombuffer(marks, np.uint8)[h >> 3] >> (h & 7) & 1).astype(bool)))
             if not batch.num_rows:
                 continue
             sets = [x.view(np.int64) for _, x in shingle_sets(batch.column(1), n, lower)]
             for lo in range(0, len(sets), 500):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[lo : lo + 500], pa.array(sets[lo : lo + 500], pa.list_(pa.int64()))], ["id", "set"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return src.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(BITMAP_BITS))).mapInArrow(run, "id long, set array<long>")
+    return src.mapInArrow(run, "id long, set array<long>")
 
 
 def _alike(pairs: DataFrame, reps: DataFrame, percent: int, t: int) -> DataFrame:
@@ -144,7 +155,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member")
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))
-    hubs = band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
+    # written before it meets its buckets again: the engine then knows its size, and can send it or split a hot bucket
+    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs")
     shared = written(band.join(hubs, "bh"), "bucket")
 
     star = shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
@@ -168,30 +180,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: int, *how) -> DataFrame:
     """The pairs in different components that prefixes and positions allow, among documents of unsettled buckets.
 
-    Order all shingles by rarity. Two sets that reach the threshold have one of the rarest
-    ``n - ceil(n * percent / 100) + 1`` shingles of the larger and of the rarest ``n - ceil(2 n percent / (100 + percent)) + 1``
-    of the smaller in common, and behind the first common one there are enough left for the overlap they need. No pair
-    is lost, and variants of one text that drifted apart meet only where they share a rare shingle."""
+    Order all shingles: first those of a single component, then the others by rarity. Two sets that reach the threshold
+    have one of the first ``n - ceil(n * percent / 100) + 1`` shingles of the larger and of the first
+    ``n - ceil(2 n percent / (100 + percent)) + 1`` of the smaller in common, and behind the first common one there are
+    enough left for the overlap they need. No pair is lost. Shingles of a single component link no components, so they
+    fill prefixes and are compared with nothing; the others meet by component, never within one, and the many rows of a
+    shingle and component are dealt out."""
     c = shared.join(found, "id", "left").select("bh", "id", F.coalesce("component", "id").alias("c"))
-    open_ = c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh")
+    open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets")
     ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open")
-    token = _sets(docs, ids, *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh"))
-    often = token.groupBy("sh").agg(F.count("*").alias("df")).where("df > 1")
+    token = _sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh"))
+    between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between")
     w = Window.partitionBy("id")
-    ranked = token.join(often, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
+    ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
     prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix")
+    group = prefix.groupBy("sh", "c").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts"))
+    x_group, y_group = (group.select("sh", F.col("c").alias(f"c{k}"), F.col("parts").alias(f"parts{k}")) for k in "xy")
+    meet = written(x_group.join(y_group, "sh").where("cx != cy"), "meet")
     x, y = (prefix.select("sh", *(F.col(v).alias(v + k) for v in ("id", "c", "n", "r"))) for k in "xy")
-    x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1")
-    near = f"(nx < ny or nx = ny and idx < idy) and cx != cy and 100 * nx >= {percent} * ny and 1 + least(nx - rx, ny - ry) >= ceil((nx + ny) * {percent} / (100 + {percent}))"
-    return x.join(y, "sh").where(near).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
+    x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1").join(meet, ["sh", "cx"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("partsy") - 1)))
+    y = y.join(group.select("sh", F.col("c").alias("cy"), F.col("parts").alias("of")), ["sh", "cy"]).withColumn("part", F.pmod(F.xxhash64("idy"), F.col("of").cast("long")).cast("int")).drop("of")
+    near = f"(nx < ny or nx = ny and idx < idy) and 100 * nx >= {percent} * ny and 1 + least(nx - rx, ny - ry) >= ceil((nx + ny) * {percent} / (100 + {percent}))"
+    return x.join(y, ["sh", "cy", "part"]).where(near).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents that ``near_duplicates`` keeps, with all their columns; of repeated rows of one id, the one whose row hash is least.
 
-    Rows with a null id all stay."""
-    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).cast(docs.schema[id_col].dataType).alias("_kept")).distinct()
-    rows = packed(docs, [], _id=F.col(f"`{id_col}`"), _own=F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    out = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept")))
-    w = Window.partitionBy("_id").orderBy("_own")
-    return out.withColumn("_nth", F.row_number().over(w)).where("_nth = 1 or _id is null").select("_row.*")
+    Rows with a null id all stay. Only rows of ids that occur repeatedly are shuffled with their texts."""
+    kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_kept")).distinct()
+    rows = packed(docs, [], _id=F.col(f"`{id_col}`").cast("long"), _own=F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
+    best = rows.groupBy("_id").agg(F.count("*").alias("_times"), F.min("_own").alias("_best")).withColumnRenamed("_id", "_kept")
+    best = written(kept.join(best, "_kept"), "kept")
+    known = rows.where("_id is not null").join(best, F.col("_id") == F.col("_kept")).where("_own = _best")
+    once = known.where("_times = 1").select("_row.*")
+    again = known.where("_times > 1").groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
+    return rows.where("_id is null").select("_row.*").union(once).union(again)
