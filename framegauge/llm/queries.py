@@ -34,9 +34,10 @@ from n join (select id, min(c) as c from r group by id) m on m.id = n.doc_id
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    warc.write_archives(_table(spark, sf_dir, "pages"), path)
-    rows = warc.read_all(warc.index_archives(spark, path), path)
+    """Writes the archives and the index, then asks the index for the captures of every page's url and reads their ranges."""
+    pages, path = _table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(pages, path)
+    rows = warc.read(warc.find(warc.index_archives(spark, path), pages.select("url")), path)
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

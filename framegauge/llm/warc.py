@@ -1,12 +1,14 @@
 """WARC archives and their two-level capture index.
 
-Archives: a gzip member per record, written by Spark's own text writer, so any store that Spark writes will do. The
-last byte of a member is the highest byte of its length, zero for records under 16 MB; it is left off and comes back as
-the writer's line separator. Larger records get an empty member behind them.
+Archives: a gzip member per record, written by Spark's own text writer, so any store that Spark writes will do. A row
+that is written is a whole archive of up to ``ARCHIVE_BYTES``. Its last byte is the highest byte of the last member's
+length, zero for records under 16 MB; it is left off and comes back as the writer's line separator. Larger records get
+an empty member behind them.
 
 Index: every record's reversed-host URL key with file, offset and length, sorted by range partitions and packed into
-compressed blocks; the directory holds only the first key of each block. A lookup searches the directory by halving,
-unpacks one block, searches in it by halving and reads the record's range of the archive."""
+compressed blocks; the directory holds only the first key of each block and stays under ``MOST_BLOCKS``, as blocks get
+longer beyond it. A lookup searches the directory by halving, unpacks one block, searches in it by halving and reads
+the record's range of the archive. ``Captures`` answers single questions, ``find`` and ``read`` whole tables of them."""
 
 from __future__ import annotations
 
@@ -24,6 +26,9 @@ from pyspark.sql import functions as F
 from framegauge.llm.common import written
 
 BLOCK_LINES = 3000
+MOST_BLOCKS = 1_000_000
+#: Packed records of an archive; a larger record is an archive of its own.
+ARCHIVE_BYTES = 1 << 25
 #: Up to so many ranges go to the archives by broadcast (about 24 MB); more are joined with them.
 BROADCAST_RANGES = 1_000_000
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
@@ -74,15 +79,13 @@ def _id(urn: str | None) -> int | None:
     return int(urn[10:-1]) if urn and urn != "<urn:page:>" else None
 
 
-def _responses(pages: DataFrame, least: int) -> DataFrame:
-    """``pages`` with ``_first``: the smallest page_id among payloads of one digest, null for smaller payloads."""
-    body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
-    own = pages.select("page_id", "url", body.alias("body"), F.sha1(body).alias("sha"))
-    ids = own.where(F.length("body") >= least).select("page_id", "sha").distinct()
-    first = ids.groupBy("sha").agg(F.min("page_id").alias("_first"))
-    # merged, not broadcast: archives come from hash partitions of the pages and so have even sizes, whatever the input's files are like
-    known = ids.join(first, "sha").withColumnsRenamed({"page_id": "_id", "sha": "_sha"}).hint("merge")
-    return own.join(known, own["page_id"].eqNullSafe(known["_id"]) & (own["sha"] == known["_sha"]), "left").drop("_id", "_sha")
+def _revisits(own: DataFrame, least: int) -> DataFrame:
+    """``(_id, _sha, _first)`` of the payloads that are not the first of their digest: the smallest page_id with it."""
+    ids = written(own.where(F.length("body") >= least).select("page_id", "sha").distinct(), "digests")
+    first = ids.groupBy("sha").agg(F.min("page_id").alias("_first"), F.count("*").alias("n")).where("n > 1 and _first is not null")
+    first = written(first.select(F.col("sha").alias("_sha"), "_first"), "repeated-digests")
+    again = ids.join(first, F.col("sha") == F.col("_sha")).where("page_id is null or page_id > _first")
+    return written(again.select(F.col("page_id").alias("_id"), "_sha", "_first"), "revisits")
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -92,17 +95,27 @@ def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = "197
     others revisit it; smaller ones are all responses. Null html is an empty payload; without a url the record has no
     target; a null page_id has an empty record id and never is what others refer to; repeated rows are records of their own,
     responses or revisits as the first of them. An empty table gives archives without records."""
+    body = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    own = pages.select("page_id", "url", body.alias("body"), F.unhex(F.sha1(body)).alias("sha"))
+    again = _revisits(own, least)
+    rows = own.join(again, own["page_id"].eqNullSafe(again["_id"]) & (own["sha"] == again["_sha"]), "left").select("page_id", "url", "body", "sha", "_first")
 
     def run(batches):
+        out, size = [], 0
         for batch in batches:
-            out = []
-            for page, url, body, sha, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                digest = base64.b32encode(bytes.fromhex(sha)).decode()
-                out.append(record(page, url, body, digest, None if first is None or first == page else first, date)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["member"])
+            for page, url, data, sha, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out.append(record(page, url, data, base64.b32encode(sha).decode(), first, date))
+                size += len(out[-1])
+                if size > ARCHIVE_BYTES and len(out) > 1:
+                    yield _archive(out[:-1])
+                    out, size = out[-1:], len(out[-1])
+        if out:
+            yield _archive(out)
+
+    def _archive(members):
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(members)[:-1]], pa.binary())], ["archive"])
 
-    rows = _responses(pages, least).select("page_id", "url", "body", "sha", "_first").mapInArrow(run, "member binary")
-    rows.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
+    rows.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +124,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def index_archives(spark: SparkSession, path: str, lines: int = BLOCK_LINES) -> DataFrame:
     """The index as a written table ``(part, block, first_key, n, packed)``; a packed block holds sorted lines
-    ``key page_id file offset length``."""
+    ``key page_id file offset length``, ``lines`` of them or as many more as keep the directory under ``MOST_BLOCKS``."""
 
     def scan(batches):
         for batch in batches:
@@ -137,7 +150,8 @@ def index_archives(spark: SparkSession, path: str, lines: int = BLOCK_LINES) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in (0, 2) else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in _ENTRY.split(", ")])
 
     by = ["key", "page_id", "file", "offset"]
-    entries = _files(spark, path).mapInArrow(scan, _ENTRY)
+    entries = written(_files(spark, path).mapInArrow(scan, _ENTRY), "captures")
+    lines = max(lines, -(-entries.count() // MOST_BLOCKS))
     ordered = entries.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("part", F.spark_partition_id().cast("long"))
 
     def pack(batches):
@@ -145,7 +159,7 @@ def index_archives(spark: SparkSession, path: str, lines: int = BLOCK_LINES) ->
         for batch in batches:
             for *row, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 kept.append("\t".join("" if x is None else str(x) for x in row))
-                if len(kept) == lines:
+                if len(kept) >= lines:
                     yield _packed(part, block, kept)
                     kept, block = [], block + 1
         if kept:
@@ -166,29 +180,34 @@ def unpack(packed: bytes) -> list[tuple]:
     return out
 
 
-class Captures:
-    """Point lookups: the sparse directory in memory, a block and a range of an archive read for each question.
+def _directory(index: DataFrame) -> tuple[list[str], list[tuple[int, int]]]:
+    """The first key and the place of every block, in order."""
+    rows = sorted(zip(*(c.to_pylist() for c in index.select("part", "block", "first_key").toArrow().columns), strict=True))
+    return [key for *_, key in rows], [(part, block) for part, block, _ in rows]
+
+
+def _may_hold(keys: list[str], key: str) -> range:
+    """The blocks that may hold a key: from the last that begins before it to the last that begins with it."""
+    return range(max(bisect.bisect_left(keys, key) - 1, 0), bisect.bisect_right(keys, key))
 
-    The directory has one key per ``BLOCK_LINES`` captures; more than ``limit`` blocks are refused rather than gathered."""
 
-    def __init__(self, index: DataFrame, path: str, limit: int = 1_000_000):
+def _within(lines: list[tuple], key: str) -> list[tuple]:
+    return lines[bisect.bisect_left(lines, key, key=lambda x: x[0]) : bisect.bisect_right(lines, key, key=lambda x: x[0])]
+
+
+class Captures:
+    """Point lookups: the sparse directory in memory, a block and a range of an archive read for each question."""
+
+    def __init__(self, index: DataFrame, path: str):
         self.index, self.path, self.spark = index, path, index.sparkSession
-        rows = index.select("first_key", "part", "block").limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError("the directory is too large for one machine; use read_all or a part of the index")
-        rows.sort(key=lambda r: (r.part, r.block))
-        self.keys, self.places = [r.first_key for r in rows], [(r.part, r.block) for r in rows]
+        self.keys, self.places = _directory(index)
 
     def lookup(self, url: str) -> list[tuple]:
         """All captures of a url: (key, page_id, file, offset, length)."""
         key, found = url_key(url), []
-        at = max(bisect.bisect_left(self.keys, key) - 1, 0)
-        while at < len(self.keys) and self.keys[at] <= key:
+        for at in _may_hold(self.keys, key):
             part, block = self.places[at]
-            lines = unpack(bytes(self.index.where((F.col("part") == part) & (F.col("block") == block)).first().packed))
-            keys = [x[0] for x in lines]
-            found += lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]
-            at += 1
+            found += _within(unpack(bytes(self.index.where((F.col("part") == part) & (F.col("block") == block)).first().packed)), key)
         return found
 
     def read(self, entry: tuple) -> dict:
@@ -203,21 +222,62 @@ class Captures:
             stream.close()
 
 
-def read_all(index: DataFrame, path: str) -> DataFrame:
-    """Every indexed record, read from its range of its archive: ``(page_id, url, record_type, refers_to, payload,
-    payload_bytes, payload_digest)``. A revisit has a null payload; its size and digest are those of the full payload.
-    Ranges are brought to the archive they lie in; an archive and its ranges are one task's work."""
+def find(index: DataFrame, urls: DataFrame) -> DataFrame:
+    """``(key, page_id, file, offset, length)``: every capture of every url of column ``url``, once for each key.
+
+    A key is searched in the directory; blocks and the keys asked of them meet by shuffle, a block's keys stream past it
+    in order. A null url asks for the captures without url; an empty table on either side gives no rows."""
+    firsts, places = _directory(index)
 
-    def entries(batches):
+    def keys(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({url_key(u) for u in batch.column(0).to_pylist()}), pa.string())], ["key"])
+
+    def place(batches):
+        for batch in batches:
+            rows = [(*places[at], key) for key in batch.column(0).to_pylist() for at in _may_hold(firsts, key)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))], ["part", "block", "key"])
+
+    def answer(batches):
+        lines = []
+        for batch in batches:
+            found = []
+            for key, packed in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if key is None:
+                    lines = unpack(packed.as_py())
+                else:
+                    found += _within(lines, key)
+            for lo in range(0, len(found), 10_000):
+                cols = list(zip(*found[lo : lo + 10_000], strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in (0, 2) else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in _ENTRY.split(", ")])
+
+    asked = urls.select(F.col("url").cast("string")).mapInArrow(keys, "key string").distinct().mapInArrow(place, "part long, block long, key string")
+    both = index.select("part", "block", F.lit(None).cast("string").alias("key"), "packed").union(asked.select("part", "block", "key", F.lit(None).cast("binary")))
+    return both.repartition("part", "block").sortWithinPartitions("part", "block", F.col("key").asc_nulls_first()).mapInArrow(answer, _ENTRY)
+
+
+def entries(index: DataFrame) -> DataFrame:
+    """Every capture of the index."""
+
+    def run(batches):
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                rows = unpack(packed)
-                yield pa.RecordBatch.from_arrays([pa.array([r[2] for r in rows]), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.int64())], ["file", "offset", "length"])
+                cols = list(zip(*unpack(packed), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in (0, 2) else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in _ENTRY.split(", ")])
+
+    return index.select("packed").mapInArrow(run, _ENTRY)
+
 
-    ranges = index.select("packed").mapInArrow(entries, "file string, offset long, length long").groupBy("file").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
-    if (index.agg(F.sum("n")).first()[0] or 0) <= BROADCAST_RANGES:
+def read(captures: DataFrame, path: str) -> DataFrame:
+    """The records of ``captures`` (file, offset, length), each from its range of its archive: ``(page_id, url,
+    record_type, refers_to, payload, payload_bytes, payload_digest)``. A revisit has a null payload; its size and digest
+    are those of the full payload. Ranges are brought to the archive they lie in; an archive and its ranges are one task's
+    work, bounded by ``ARCHIVE_BYTES``."""
+    captures = written(captures.select("file", "offset", "length"), "ranges")
+    ranges = captures.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
+    if captures.count() <= BROADCAST_RANGES:
         ranges = F.broadcast(ranges)
-    files = _files(index.sparkSession, path).withColumn("file", F.element_at(F.split("path", "/"), -1)).join(ranges, "file").select("content", "ranges")
+    files = _files(captures.sparkSession, path).withColumn("file", F.element_at(F.split("path", "/"), -1)).join(ranges, "file").select("content", "ranges")
 
     def records(batches):
         for batch in batches:

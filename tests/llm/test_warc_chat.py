@@ -23,8 +23,10 @@ def test_archives_round_trip(spark):
     path = f"{shared_dir(spark)}/warc-test"
     warc.write_archives(spark.createDataFrame(rows, PAGES).repartition(3), path)
     index = warc.index_archives(spark, path, lines=7)
-    got = warc.read_all(index, path).collect()
-    assert len(got) == len(rows)
+    got = warc.read(warc.find(index, spark.createDataFrame([(r[1],) for r in rows], "url string")), path).collect()
+    assert len(got) == len(rows) == warc.read(warc.entries(index), path).count()
+    some = warc.read(warc.find(index, spark.createDataFrame([(rows[5][1],), (rows[5][1],), (None,), ("http://nowhere/",)], "url string")), path)
+    assert sorted(r.page_id for r in some.collect()) == [5, 200] and warc.find(index, spark.createDataFrame([], "url string")).count() == 0
     first = {}
     for p, _, h, _ in rows:
         if p is not None:
@@ -52,14 +54,31 @@ def test_archives_round_trip(spark):
 def test_small_payloads_are_all_responses(spark):
     path = f"{shared_dir(spark)}/warc-small"
     warc.write_archives(spark.createDataFrame([(1, "http://a/", "xx", ""), (2, "http://b/", "xx", ""), (3, "http://c/", "long text", ""), (4, "http://d/", "long text", "")], PAGES), path, least=5)
-    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_all(warc.index_archives(spark, path), path).collect()}
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read(warc.entries(warc.index_archives(spark, path)), path).collect()}
     assert got == {1: ("response", None), 2: ("response", None), 3: ("response", None), 4: ("revisit", 3)}
 
 
 def test_no_pages(spark):
     path = f"{shared_dir(spark)}/warc-none"
     warc.write_archives(spark.createDataFrame([], PAGES), path)
-    assert warc.read_all(warc.index_archives(spark, path), path).count() == 0
+    index = warc.index_archives(spark, path)
+    assert warc.read(warc.entries(index), path).count() == 0 and warc.find(index, spark.createDataFrame([("http://a/",)], "url string")).count() == 0
+
+
+def test_archives_are_cut_and_blocks_grow(spark, monkeypatch):
+    """Archives of a bounded size, one for a record that is larger, and a directory of a bounded size."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "MOST_BLOCKS", 10)
+    rng = random.Random(4)
+    rows = [(i, f"http://h{i}/", "".join(rng.choice("abcdefgh") for _ in range(200_000 if i == 50 else 300)), "") for i in range(400)]
+    path = f"{shared_dir(spark)}/warc-cut"
+    warc.write_archives(spark.createDataFrame(rows, PAGES).repartition(2), path)
+    sizes = sorted(r.length for r in spark.read.format("binaryFile").load(path).where("path like '%part-%'").select("length").collect())
+    assert len(sizes) > 5 and sizes[-2] <= 20_000 < sizes[-1]
+    index = warc.index_archives(spark, path, lines=5)
+    assert index.count() <= 10 + index.select("part").distinct().count()
+    got = warc.read(warc.find(index, spark.createDataFrame([(r[1],) for r in rows[::2]], "url string")), path).collect()
+    assert {r.page_id: bytes(r.payload).decode() for r in got} == {r[0]: r[2] for r in rows[::2]}
 
 
 def test_large_records_get_an_empty_member():
