@@ -28,10 +28,10 @@ PRIOR = 4.0
 #: Up to so many integer ids of the target are sent to the workers (32 MB); more are joined.
 TARGET_IDS = 1 << 22
 #: Text in a block; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
-#: Hashes, summed over all blocks, in a range that one task holds at a time.
-DEALT = 1 << 21
-#: Tasks of a shuffle at most; a task takes its blocks or ranges one after the other.
+BLOCK_BYTES = 8 << 20
+#: Hashes, summed over all blocks, in a range that one task holds at a time; several ranges follow one another.
+DEALT = 1 << 20
+#: Tasks of the ranges' shuffle at most.
 MOST_TASKS = 1 << 14
 #: Stand for the unknown word and for a text's beginning among the word hashes.
 UNKNOWN, START = 0, 1
@@ -115,8 +115,8 @@ class _Block:
         self.mark, self.size = _unpacked(marks).astype(bool), _unpacked(sizes).astype(np.int64)
         self.vocab = np.cumsum(_unpacked(vocab), dtype=U64)
         self.n = _unpacked(counts).astype(np.int64)
-        self.code = np.argsort(-self.n, kind="stable")[_unpacked(codes).astype(np.int64)]
-        self.doc = np.repeat(np.arange(self.size.size), self.size)
+        self.code = np.argsort(-self.n, kind="stable").astype(np.int32)[_unpacked(codes).view(np.int64)]
+        self.doc = np.repeat(np.arange(self.size.size, dtype=np.int32), self.size)
         self.full = np.flatnonzero(self.size)
         ends = np.cumsum(self.size)[self.full]
         self.first, self.last = ends - self.size[self.full], ends - 1
@@ -130,12 +130,15 @@ class _Block:
     def known(self, totals: np.ndarray, least: int) -> None:
         """Gives words under ``least`` the place behind the vocabulary; the next one is a text's beginning."""
         size = self.vocab.size
-        self.word = np.where(totals[0] >= least, np.arange(size), size)[self.code]
+        self.word = np.where(totals[0] >= least, np.arange(size), size).astype(np.int32)[self.code]
         self.before = np.empty_like(self.word)
         self.before[1:] = self.word[:-1]
         self.before[self.first] = size + 1
         h = np.append(self.vocab, np.array([UNKNOWN, START], U64))
-        self.slot, self.pair = np.unique(mix((h[self.before] * U64(0x9FB21C651E98DF25)) ^ h[self.word]), return_inverse=True)
+        slots = (h * U64(0x9FB21C651E98DF25))[self.before]
+        slots ^= h[self.word]
+        self.slot, pair = np.unique(mix(slots), return_inverse=True)
+        self.pair = pair.astype(np.int32)
 
     def pair_counts(self) -> np.ndarray:
         count = lambda x: np.bincount(x, minlength=self.slot.size)
@@ -151,16 +154,24 @@ class _Block:
         mass = all_["n"] + all_["un"] + all_["size"] + 1.0
         loss = np.log((n - last)[self.before] + prior) - np.log(pairs[0][self.pair] + prior * (n[self.word] + 1.0) / mass)
         out[0, self.full] = np.add.reduceat(loss, self.first)
-        own_word, own_before, own_pair, own = np.zeros((4, self.code.size), np.int64)
         held = np.flatnonzero(self.mark[self.doc])
-        doc = self.doc[held]
-        for x, kind in ((own_word, self.word), (own_before, self.before), (own_pair, self.pair)):
-            _, nth, m = np.unique(doc * (int(kind.max()) + 1) + kind[held], return_inverse=True, return_counts=True)
-            x[held] = m[nth]
-        own[held] = self.size[doc]
-        mass = all_["k"] + all_["uk"] - own + all_["size"] + 1.0
-        loss = np.log((k - k_last)[self.before] - own_before + prior) - np.log(pairs[1][self.pair] - own_pair + prior * (k[self.word] - own_word + 1.0) / mass)
-        out[1, self.full] = np.add.reduceat(loss, self.first)
+        doc = self.doc[held].astype(np.int64)
+
+        def own(of: np.ndarray) -> np.ndarray:
+            """How often a held-out document has what it has at each of its tokens."""
+            _, nth, m = np.unique(doc * (int(of.max()) + 1) + of[held], return_inverse=True, return_counts=True)
+            return m[nth]
+
+        left = k[self.word] + 1.0
+        left[held] -= own(self.word)
+        mass = np.full(self.size.size, all_["k"] + all_["uk"] + all_["size"] + 1.0) - self.size * self.mark
+        left *= prior / mass[self.doc]
+        left += pairs[1][self.pair]
+        left[held] -= own(self.pair)
+        np.log(left, out=left)
+        context = (k - k_last)[self.before] + prior
+        context[held] -= own(self.before)
+        out[1, self.full] = np.add.reduceat(np.log(context, out=context) - left, self.first)
         return out
 
 
@@ -216,24 +227,22 @@ def _answered(asked: DataFrame, ranges: int, least: int | None = None) -> DataFr
     return dealt.mapInArrow(run, "block long, range long, totals binary, sums array<long>")
 
 
-def _at_home(blocks: DataFrame, answers: list[DataFrame], tasks: int) -> DataFrame:
-    """Every block's row followed by its answers, by kind and range."""
-    kept = ["ids", *_CODED]
-    rows = blocks.select("block", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("range"), *kept, F.lit(None).cast("binary").alias("totals"))
-    for kind, answer in enumerate(answers, 1):
-        rows = rows.union(answer.select("block", F.lit(kind), "range", *(F.lit(None).cast(blocks.schema[c].dataType) for c in kept), "totals"))
-    return rows.repartition(min(tasks, MOST_TASKS), "block").sortWithinPartitions("block", "kind", "range")
+def _at_home(blocks: DataFrame, answers: list[DataFrame], shape: tuple[int, ...], work, schema: str) -> DataFrame:
+    """``work(row, block, *counts)`` for every block with its answers: an array of counts for each kind of answer. The
+    blocks' shuffle is the same each time, so a plan that holds it twice runs it once."""
+    dealt = answers[0].select("block", F.lit(0).alias("kind"), "range", "totals")
+    for kind, answer in enumerate(answers[1:], 1):
+        dealt = dealt.union(answer.select("block", F.lit(kind), "range", "totals"))
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.slice(0, 1).to_pylist()[0]
+        block = _Block(*(row[c] for c in _CODED))
+        parts = [[np.zeros((height, 0), np.int64)] for height in shape]
+        for kind, _, totals in sorted(zip(*(right.column(c).to_pylist() for c in ("kind", "range", "totals")), strict=True)):
+            parts[kind].append(_unpacked(totals).astype(np.int64).reshape(shape[kind], -1))
+        return work(left, block, *(np.hstack(x) for x in parts))
 
-def _opened(batches, *shape: int):
-    """Each block with its row and its answers, put together, as one array of counts for each kind."""
-    for rows in _runs(batches, "block"):
-        block = _Block(*(rows[0][c].as_py() for c in _CODED))
-        answers = []
-        for kind, height in enumerate(shape, 1):
-            parts = [_unpacked(r["totals"].as_py()).astype(np.int64).reshape(height, -1) for r in rows if r["kind"].as_py() == kind]
-            answers.append(np.hstack(parts) if parts else np.zeros((height, 0), np.int64))
-        yield rows[0], block, *answers
+    return blocks.select("block", "ids", *_CODED).groupBy("block").cogroup(dealt.groupBy("block")).applyInArrow(run, schema)
 
 
 def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = 2, prior: float = PRIOR) -> DataFrame:
@@ -254,8 +263,8 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
         wanted, src = None, src.join(good.withColumn("mark", F.lit(True)), "id", "left")
     kind = id_type.simpleString()
     blocks = _blocks(src, kind, wanted)
-    whole = blocks.agg(F.count("*").alias("blocks"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_docs", "k_docs", "n_words", "n_pairs"))).first().asDict()
-    tasks, word_ranges, pair_ranges = max(1, whole["blocks"]), 1 + whole["n_words"] // DEALT, 1 + whole["n_pairs"] // DEALT
+    whole = blocks.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_docs", "k_docs", "n_words", "n_pairs"))).first().asDict()
+    word_ranges, pair_ranges = 1 + whole["n_words"] // DEALT, 1 + whole["n_pairs"] // DEALT
 
     def ask_words(batches):
         for batch in batches:
@@ -270,23 +279,17 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     all_ = whole | totals.asDict()
     words = words.where("block >= 0")
 
-    def ask_pairs(batches):
-        for row, block, n in _opened(batches, 4):
-            if block.code.size:
-                block.known(n, least)
-                yield _ask(row["block"].as_py(), block.slot, block.pair_counts(), pair_ranges)
+    def ask_pairs(row, block, n):
+        block.known(n, least)
+        return pa.Table.from_batches([_ask(row.column("block")[0].as_py(), block.slot, block.pair_counts(), pair_ranges)])
 
-    pairs = _answered(_at_home(blocks, [words], tasks).mapInArrow(ask_pairs, asked), pair_ranges)
+    pairs = _answered(_at_home(blocks, [words], (4,), ask_pairs, asked), pair_ranges)
 
-    def run(batches):
-        for row, block, n, m in _opened(batches, 4, 2):
-            if block.code.size:
-                block.known(n, least)
-            background, target = block.losses(n, m, all_, prior)
-            cols = [row["ids"].values, *map(pa.array, (block.size, target, background))]
-            for lo in range(0, block.size.size, 10_000):
-                yield pa.RecordBatch.from_arrays([c[lo : lo + 10_000] for c in cols], ["id", "n", "lt", "lb"])
-
-    out = _at_home(blocks, [words, pairs], tasks).mapInArrow(run, f"id {kind}, n long, lt double, lb double")
+    def losses(row, block, n, m):
+        block.known(n, least)
+        background, target = block.losses(n, m, all_, prior)
+        return pa.table([row.column("ids").combine_chunks().flatten(), *map(pa.array, (block.size, target, background))], ["id", "n", "lt", "lb"])
+
+    out = _at_home(blocks, [words, pairs], (4, 2), losses, f"id {kind}, n long, lt double, lb double")
     lt, lb = (F.when(F.col("n") > 0, F.col(c) / F.col("n")) for c in ("lt", "lb"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_tokens"), lt.alias("target_loss"), lb.alias("background_loss"), (lt - lb).alias("score"))
