@@ -1,4 +1,4 @@
-"""Tables written to the folder that driver and executors share."""
+"""Tables written to the folder that driver and executors share, and small files in any store that Spark knows."""
 
 from __future__ import annotations
 
@@ -7,20 +7,53 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Name of the attribute with the folder of a table that ``written`` returned.
+_PATH = "_framegauge_path"
+
 
 def shared_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder only where driver and workers are one process on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="framegauge-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table: cuts the lineage and survives lost executors."""
+    """``df`` as a Parquet table: cuts the lineage and survives lost executors. ``discard`` deletes it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Deletes written tables that nothing reads any more; what ``written`` didn't return is left alone."""
+    for t in tables:
+        path = getattr(t, _PATH, None)
+        if path:
+            fs, where = _file_system(t.sparkSession, path)
+            fs.delete(where, True)
+
+
+def write_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """One small file with these bytes, through Spark's file systems."""
+    fs, where = _file_system(spark, path)
+    stream = fs.create(where, True)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
 
 
 def planned_bytes(df: DataFrame) -> int:
