@@ -1,4 +1,4 @@
-"""Shared helpers: the shared folder, written tables, and vectorised word hashing of Arrow text columns.
+"""Shared helpers: written tables, rows packed apart, and vectorised word hashing of Arrow text columns.
 
 Words are maximal runs of bytes outside ``\\x20 \\x09-\\x0D`` of the UTF-8 text. Word and shingle hashes have 64 bits;
 two different shingles of one pair of documents collide with a probability of about ``|union|^2 / 2^65``.
@@ -6,32 +6,16 @@ two different shingles of one pair of documents collide with a probability of ab
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-U64 = np.uint64
-
+from framegauge.functions.storage import discard, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="framegauge-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+__all__ = ["discard", "shared_dir", "written"]
 
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+U64 = np.uint64
 
 
 def packed(df: DataFrame, replaced: list[str], **extra: Column) -> DataFrame:
