@@ -26,7 +26,7 @@ from framegauge.llm.components import connected_components
 
 #: Ids up to so many are marked in a bitmap of 16 bits an id at most (32 MB), which the workers get; more are joined.
 BITMAP_IDS = 1 << 24
-#: Rows of one shingle and component above this are dealt out over several tasks.
+#: Rows of one shingle above this are dealt out over several tasks.
 SPLIT = 10_000
 
 
@@ -184,8 +184,8 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     have one of the first ``n - ceil(n * percent / 100) + 1`` shingles of the larger and of the first
     ``n - ceil(2 n percent / (100 + percent)) + 1`` of the smaller in common, and behind the first common one there are
     enough left for the overlap they need. No pair is lost. Shingles of a single component link no components, so they
-    fill prefixes and are compared with nothing; the others meet by component, never within one, and the many rows of a
-    shingle and component are dealt out."""
+    fill prefixes and are compared with nothing. Of the others, the rows of a shingle's largest component meet the rest of
+    its rows only, never one another; a shingle of many rows is dealt out."""
     c = shared.join(found, "id", "left").select("bh", "id", F.coalesce("component", "id").alias("c"))
     open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets")
     ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open")
@@ -194,14 +194,16 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     w = Window.partitionBy("id")
     ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
     prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix")
-    group = prefix.groupBy("sh", "c").agg(F.ceil(F.count("*") / SPLIT).cast("int").alias("parts"))
-    x_group, y_group = (group.select("sh", F.col("c").alias(f"c{k}"), F.col("parts").alias(f"parts{k}")) for k in "xy")
-    meet = written(x_group.join(y_group, "sh").where("cx != cy"), "meet")
-    x, y = (prefix.select("sh", *(F.col(v).alias(v + k) for v in ("id", "c", "n", "r"))) for k in "xy")
-    x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1").join(meet, ["sh", "cx"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("partsy") - 1)))
-    y = y.join(group.select("sh", F.col("c").alias("cy"), F.col("parts").alias("of")), ["sh", "cy"]).withColumn("part", F.pmod(F.xxhash64("idy"), F.col("of").cast("long")).cast("int")).drop("of")
-    near = f"(nx < ny or nx = ny and idx < idy) and 100 * nx >= {percent} * ny and 1 + least(nx - rx, ny - ry) >= ceil((nx + ny) * {percent} / (100 + {percent}))"
-    return x.join(y, ["sh", "cy", "part"]).where(near).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
+    of = prefix.groupBy("sh", "c").agg(F.count("*").alias("k")).groupBy("sh").agg(F.max_by("c", "k").alias("main"), F.ceil(F.sum("k") / SPLIT).cast("int").alias("parts"), F.count("*").alias("components"))
+    dealt = written(prefix.join(written(of.where("components > 1").drop("components"), "main"), "sh"), "dealt")
+    x, y = (dealt.select("sh", "parts", (F.col("c") == F.col("main")).alias("in_main"), *(F.col(v).alias(v + k) for v in ("id", "c", "n", "r"))) for k in "xy")
+    x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1")
+    every = lambda d: d.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "in_main")
+    some = lambda d, key: d.withColumn("part", F.pmod(F.xxhash64(key), F.col("parts").cast("long")).cast("int")).drop("parts", "in_main")
+    near = f"cx != cy and (nx < ny or nx = ny and idx < idy) and 100 * nx >= {percent} * ny and 1 + least(nx - rx, ny - ry) >= ceil((nx + ny) * {percent} / (100 + {percent}))"
+    met = [every(x.where("not in_main")).join(some(y, "idy"), ["sh", "part"]), some(x.where("in_main"), "idx").join(every(y.where("not in_main")), ["sh", "part"])]
+    a, b = (m.where(near).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")) for m in met)
+    return a.union(b).distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
