@@ -138,9 +138,9 @@ def normalize_status(status: Column | str, empty: str = "ok") -> Column:
 
 
 def aggregate_status(core: Column, others: Column) -> Column:
-    """of arrays of statuses; a failed or unavailable core decides, then any failure, then any doubt."""
+    """of arrays of statuses; a failed or unavailable core decides, then any failure, then any doubt of the others."""
     has = lambda a, *names: F.exists(a, lambda x: x.isin(*names))
-    return F.when(has(core, "fail"), "fail").when(has(core, "unavailable"), "unavailable").when(has(others, "fail"), "fail").when(has(core, "warning") | has(others, "warning", "unavailable"), "warning").otherwise("ok")
+    return F.when(has(core, "fail"), "fail").when(has(core, "unavailable"), "unavailable").when(has(others, "fail"), "fail").when(has(others, "warning", "unavailable"), "warning").otherwise("ok")
 
 
 def clamp01(v: Column | str, lo: Number, hi: Number) -> Column:
@@ -177,6 +177,11 @@ def shortest(x: Column | str) -> Column:
     return F.regexp_replace(F.round(col(x), 6).cast("decimal(28,6)").cast("string"), r"\.?0+$", "")
 
 
+def bucket_key(*parts: Column | str | None) -> Column:
+    """the parts joined by a bar; null parts are left out."""
+    return F.concat_ws("|", *(F.lit(None).cast("string") if p is None else F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+
 def issue_group(issue: Column | str) -> Column:
     """Routes first-generation issue names to time, numeric or other."""
     i = col(issue)

@@ -32,7 +32,14 @@ VIEWS = ["image", "left_wrist_image", "right_wrist_image"]
 LOW_DIM = ["state", "actions"]
 INDEX_COLUMNS = ["timestamp", "frame_index", "episode_index", "index", "task_index"]
 # Families that count as a hit for an expected family.
-FAMILY_ALIASES = {"vision_single": ["vision_single", "vision_illegal"], "vision_illegal": ["vision_illegal", "vision_single"], "vision_state_temporal": ["vision_state_temporal", "state_temporal", "vision_temporal"]}
+FAMILY_ALIASES = {
+    "vision_single": ["vision_single", "vision_illegal"],
+    "vision_illegal": ["vision_illegal", "vision_single"],
+    "state_temporal": ["state_temporal", "vision_state_temporal"],
+    "vision_state_temporal": ["vision_state_temporal", "state_temporal", "vision_temporal"],
+}
+# Families of broken rules, which count as located without a span.
+HARD_FAMILIES = ["vision_illegal", "state_illegal", "temporal_illegal"]
 
 
 def families(spark: SparkSession) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framegauge.functions.scalars import label_penalty, score_with_findings, status_penalty
-from framegauge.functions.taxonomy import DIMENSION_POINTS, OFFICIAL_POINTS, SOFT_CAPS
+from framegauge.functions.taxonomy import CONFIDENCE, DIMENSION_POINTS, OFFICIAL_POINTS, SOFT_CAPS
 from framegauge.operators.statistics import soft_penalty
 
 
@@ -23,12 +25,13 @@ def dimension_scores(episodes: DataFrame, findings: DataFrame, soft: DataFrame |
     """key, dimension, points, lost, soft, score: a row per episode and dimension; without findings the full points."""
     dims = F.explode(F.array(*(F.struct(F.lit(k).alias("dimension"), F.lit(p).alias("points")) for k, p in DIMENSION_POINTS.items())))
     grid = episodes.select(key).distinct().select(key, dims.alias("_d")).select(key, "_d.*")
-    lost = findings.groupBy(key, "dimension").agg(F.sum("penalty").alias("lost"))
+    # summed as decimals: penalties have three places, and a sum of doubles would round by the order of its rows
+    lost = findings.groupBy(key, "dimension").agg(F.sum(F.col("penalty").cast("decimal(18,3)")).alias("lost"))
     d = grid.join(lost, [key, "dimension"], "left")
     d = d.join(soft.select(key, "dimension", "soft"), [key, "dimension"], "left") if soft is not None else d.withColumn("soft", F.lit(0.0))
-    d = d.withColumns({"lost": F.coalesce("lost", F.lit(0.0)), "soft": F.coalesce("soft", F.lit(0.0))})
-    left = F.greatest(F.lit(0.0), F.col("points") - F.least(F.col("points"), F.col("lost") + F.col("soft")))
-    return d.withColumn("score", F.round(left, 2))
+    d = d.withColumns({"lost": F.coalesce("lost", F.lit(0).cast("decimal(18,3)")), "soft": F.coalesce("soft", F.lit(0.0))})
+    left = F.col("points").cast("decimal(18,3)") - F.col("lost") - F.col("soft").cast("decimal(18,3)")
+    return d.withColumns({"score": F.greatest(F.lit(0.0), F.round(left, 2).cast("double")), "lost": F.col("lost").cast("double")})
 
 
 def data_value(c: dict[str, Column]) -> Column:
@@ -56,15 +59,21 @@ def reliability(c: dict[str, Column]) -> Column:
 EPISODE_FACTS = {"length": "0L", "task": "cast(null as long)", "missing_state": "0L", "missing_views": "0L", "phase_status": "'unavailable'", "segments": "0L", "geometry_unavailable": "0L", "geometry_fail": "0L", "geometry_status": "'ok'", "module_statuses": "cast(array() as array<string>)"}
 
 
-def episode_scores(episodes: DataFrame, findings: DataFrame, soft: DataFrame | None = None, severe_from: float = 80.0) -> DataFrame:
+def severe(label: Column | str = "confidence") -> Column:
+    """Whether a finding is certain or of high confidence: every illegal one, of the others those from a severity of 50 on
+    that don't just lie outside the reference's distribution."""
+    return (F.col(label) if isinstance(label, str) else label).isin(CONFIDENCE["illegal"], CONFIDENCE["high"])
+
+
+def episode_scores(episodes: DataFrame, findings: DataFrame, soft: DataFrame | None = None) -> DataFrame:
     """A row per episode with the dimension scores, the legacy total, and the official 70 / 20 / 10 score."""
     d = dimension_scores(episodes, findings, soft)
     wide = d.groupBy("episode").agg(*(F.max(F.when(F.col("dimension") == k, F.col("score"))).alias(f"score_{k}") for k in DIMENSION_POINTS), F.round(F.sum("score"), 2).alias("legacy_score"), F.sum("soft").alias("soft_penalty"))
-    counts = findings.groupBy("episode").agg(F.count("*").alias("findings"), F.count(F.when(F.col("illegal"), 1)).alias("illegal"), F.count(F.when(F.col("severity") >= severe_from, 1)).alias("severe"))
+    counts = findings.groupBy("episode").agg(F.count("*").alias("findings"), F.count(F.when(F.col("illegal"), 1)).alias("illegal"), F.count(F.when(severe(), 1)).alias("severe"))
     e = episodes.select("episode", *((F.col(k) if k in episodes.columns else F.expr(v)).alias(k) for k, v in EPISODE_FACTS.items()))
     e = e.join(wide, "episode").join(counts, "episode", "left").na.fill(0, ["findings", "illegal", "severe"])
     c = {k: F.col(k) for k in [*EPISODE_FACTS, "severe", "illegal"]} | {"soft": F.col("soft_penalty")}
-    e = e.withColumns({"detection_quality": F.round(OFFICIAL_POINTS["detection_quality"] * F.col("legacy_score") / 100, 2), "data_value": data_value(c), "engineering_reliability": reliability(c)})
+    e = e.withColumns({"detection_quality": F.round(F.lit(Decimal(OFFICIAL_POINTS["detection_quality"]) / 100) * F.col("legacy_score").cast("decimal(10,2)"), 2).cast("double"), "data_value": data_value(c), "engineering_reliability": reliability(c)})
     return e.withColumn("official_score", F.round(F.col("detection_quality") + F.col("data_value") + F.col("engineering_reliability"), 2))
 
 
@@ -109,4 +118,4 @@ def repair_summary(before: DataFrame, after: DataFrame, key: str = "episode") ->
     """Mean gain in score and change in findings of repaired episodes."""
     b = before.select(key, F.col("official_score").alias("_b"), F.col("findings").alias("_bf"))
     d = after.select(key, "official_score", "findings").join(b, key)
-    return d.agg(F.count("*").alias("cases"), F.round(F.avg(F.col("official_score") - F.col("_b")), 3).alias("mean_gain"), F.round(F.avg(F.col("findings") - F.col("_bf")), 3).alias("mean_findings_delta"))
+    return d.agg(F.count("*").alias("cases"), F.round(F.avg((F.col("official_score") - F.col("_b")).cast("decimal(18,2)")), 3).cast("double").alias("mean_gain"), F.round(F.avg(F.col("findings") - F.col("_bf")), 3).alias("mean_findings_delta"))
