@@ -14,6 +14,7 @@ from framegauge.functions.taxonomy import INDEX_COLUMNS, VIEWS
 from framegauge.operators.findings import finding
 from framegauge.operators.islands import equal_runs, islands
 from framegauge.operators.signals import ordered
+from framegauge.operators.statistics import null_safe
 
 KEYS = ["episode", "task"]
 
@@ -161,8 +162,12 @@ def _spans(df: DataFrame, parts: list[str], gap: int, *aggs: Column) -> DataFram
     return islands(df, [*KEYS, *parts], "seq", gap, *ends, *aggs)
 
 
-def _with_before(df: DataFrame, parts: list[str]) -> DataFrame:
-    return df.withColumn("frame_before", F.coalesce(F.lag("frame").over(ordered([*KEYS, *parts], "seq")), F.col("frame")))
+def with_before(df: DataFrame, parts: list[str]) -> DataFrame:
+    """Adds the frame before each row, unless it is there; phases are parts of one series, so they don't cut it."""
+    if "frame_before" in df.columns:
+        return df
+    w = ordered([*KEYS, *(p for p in parts if p != "phase")], "seq")
+    return df.withColumn("frame_before", F.coalesce(F.lag("frame").over(w), F.col("frame")))
 
 
 def _where(parts: list[str]) -> dict:
@@ -175,7 +180,7 @@ def _named(issue: str, parts: list[str]) -> Column:
 
 def freeze_runs(df: DataFrame, value: str, threshold: Column, parts: list[str], family: str = "state_temporal", issue: str = "low_dim_freeze_run", modality: str = "state", min_run: int = 11, min_severity: float = 55.0) -> DataFrame:
     """Long runs of transitions at or under a threshold."""
-    d = _with_before(df, parts).where(finite(value) & (F.col(value) <= threshold))
+    d = with_before(df, parts).where(finite(value) & (F.col(value) <= threshold))
     runs = _spans(d, parts, 1, F.percentile(value, F.lit(0.5)).alias("mid")).where(F.col("n") >= min_run).withColumn("_sev", freeze_severity("n")).where(F.col("_sev") >= min_severity)
     return finding(runs, family, _named(issue, parts), F.col("_sev"), F.col("from"), F.col("to"), modality=modality, **_where(parts), evidence={"run_length": F.col("n"), "median": F.round("mid", 6)})
 
@@ -193,7 +198,7 @@ def low_dim_low_threshold(phase_s: Column, s: Column) -> Column:
 def fast_jumps(df: DataFrame, value: str, s: str, parts: list[str], family: str = "state_temporal", issue: str = "low_dim_fast_jump", modality: str = "state", threshold: Column | None = None, weak: float = 4.0, strong: float = 10.0) -> DataFrame:
     """Transitions at or over the reference's upper threshold; no reference, no finding."""
     high = upper_threshold(F.col(s)) if threshold is None else threshold
-    d = _with_before(df, parts).withColumn("_high", high).where(finite(value) & (F.col(value) >= F.col("_high")))
+    d = with_before(df, parts).withColumn("_high", high).where(finite(value) & (F.col(value) >= F.col("_high")))
     runs = _spans(d, parts, 1, F.max(value).alias("most"), F.first(s).alias("s"), F.max("_high").alias("limit"))
     sev = 100 * F.greatest(F.lit(0.35), upper_outlier_score("most", F.col("s"), weak, strong))
     return finding(runs, family, _named(issue, parts), sev, F.col("from"), F.col("to"), modality=modality, **_where(parts), evidence={"max": F.round("most", 6), "threshold": F.round("limit", 6)})
@@ -204,7 +209,7 @@ def jitter_clusters(df: DataFrame, value: str, s: str, parts: list[str], family:
 
     Vision takes clusters only, with a severity by their length."""
     high = threshold if threshold is not None else upper_threshold(F.col(s), "p99", 2.0, 10.0) if vision else upper_threshold(F.col(s))
-    d = _with_before(df, parts).withColumn("_high", high).where(finite(value) & (F.col(value) >= F.col("_high")))
+    d = with_before(df, parts).withColumn("_high", high).where(finite(value) & (F.col(value) >= F.col("_high")))
     runs = _spans(d, parts, gap, F.max(value).alias("most"), F.first(s).alias("s")).withColumn("len", F.col("end") - F.col("start") + 1)
     score = F.least(F.lit(85.0), 35 + 10.0 * F.col("len")) if vision else F.greatest(F.lit(35.0), 100 * upper_outlier_score("most", F.col("s"), 4.0, 10.0))
     runs = runs.withColumn("_sev", score).where((F.col("len") >= min_length) | (F.lit(not vision) & (F.col("_sev") >= single_score)))
@@ -256,7 +261,7 @@ def oscillations(windows: DataFrame, rows: DataFrame, window: int = 11, reversal
     """Islands of oscillating windows; spans are row positions. ``rows``: keys and n, the rows of each episode."""
     k = [*KEYS, "arm"]
     best = F.max(F.struct("direction_reversals", "path_length", "path_efficiency")).alias("best")
-    runs = islands(windows, k, "start", gap, best).join(rows, KEYS)
+    runs = null_safe(islands(windows, k, "start", gap, best), rows, KEYS)
     sev = F.least(F.lit(100.0), 55 + 8.0 * F.greatest(F.lit(0), F.col("best.direction_reversals") - reversals))
     issue = F.concat(F.lit("geometry_"), F.col("arm"), F.lit("_oscillatory_jitter"))
     evidence = {"direction_reversals": F.col("best.direction_reversals"), "path_length": F.round("best.path_length", 6), "path_efficiency": F.round("best.path_efficiency", 6)}
@@ -265,7 +270,7 @@ def oscillations(windows: DataFrame, rows: DataFrame, window: int = 11, reversal
 
 def hardware_limits(arms: DataFrame, metric: str, limit: float) -> DataFrame:
     """Islands of transitions beyond a limit that the user sets."""
-    d = _with_before(arms, ["arm"]).where(finite(metric) & (F.col(metric) > limit))
+    d = with_before(arms, ["arm"]).where(finite(metric) & (F.col(metric) > limit))
     runs = _spans(d, ["arm"], 1, F.max(metric).alias("most"))
     sev = F.greatest(F.lit(60.0), F.least(F.lit(100.0), 60 + 40 * (F.col("most") / limit - 1)))
     issue = F.concat(F.lit("geometry_"), F.col("arm"), F.lit(f"_{metric}_hardware_limit_exceeded"))
@@ -283,14 +288,16 @@ def distance_drifts(df: DataFrame, s: str = "s", times: float = 1.4, mads: float
 
 
 def coincidences(df: DataFrame, active: str, still: str, parts: list[str], family: str, issue: Column | str, high: float = 0.9, low: float = 0.1, min_run: int = 11) -> DataFrame:
-    """One signal in its upper tenth while the other is in its lower tenth, by episode."""
+    """One signal in its upper tenth while the other is in its lower tenth, by episode. Columns lag_gate and
+    lag, where there are any, go into the evidence."""
     w = Window.partitionBy(*KEYS, *parts)
     q = lambda x, p: F.percentile(F.when(finite(x), F.col(x)), F.lit(p)).over(w)
-    d = _with_before(df, parts).withColumns({"_hi": q(active, high), "_lo": q(still, low)})
+    d = with_before(df, parts).withColumns({"_hi": q(active, high), "_lo": q(still, low)})
     hit = d.where(finite(active) & finite(still) & (F.col(active) >= F.col("_hi")) & (F.col(still) <= F.col("_lo")))
-    runs = _spans(hit, parts, 1).where(F.col("n") >= min_run)
+    gate = [c for c in ("lag_gate", "lag") if c in df.columns]
+    runs = _spans(hit, parts, 1, *(F.first(c).alias(c) for c in gate)).where(F.col("n") >= min_run)
     sev = F.least(F.lit(85.0), 40 + 5.0 * F.col("n"))
-    return finding(runs, family, issue, sev, F.col("from"), F.col("to"), modality="state-vision", view=F.col("view") if "view" in parts else None, column=F.col("column") if "column" in parts else None, ood=True, evidence={"run_length": F.col("n")})
+    return finding(runs, family, issue, sev, F.col("from"), F.col("to"), modality="state-vision", view=F.col("view") if "view" in parts else None, column=F.col("column") if "column" in parts else None, ood=True, evidence={"run_length": F.col("n")} | {c: F.col(c) for c in gate})
 
 
 # ---- weak spatial checks ---------------------------------------------------------------------------------------------
@@ -313,15 +320,17 @@ def activity_mismatch(couplings: DataFrame, fraction: str, s: str = "s", floor:
 
 def camera_freeze(df: DataFrame, speed: str, motion: str, speed_high: Column, motion_low: Column, min_run: int = 11) -> DataFrame:
     """The main camera hardly changes while an arm is fast."""
-    d = _with_before(df, []).where(finite(speed) & finite(motion) & (F.col(speed) >= speed_high) & (F.col(motion) <= motion_low))
+    d = with_before(df, []).where(finite(speed) & finite(motion) & (F.col(speed) >= speed_high) & (F.col(motion) <= motion_low))
     runs = _spans(d, [], 1).where(F.col("n") >= min_run)
     return finding(runs, "vision_state_vision", "p1_main_camera_freeze_candidate", F.least(F.lit(92.0), 55 + 4.0 * F.col("n")), F.col("from"), F.col("to"), modality="state-vision", evidence={"run_length": F.col("n")})
 
 
 def panel_unstable(df: DataFrame, area: str, area_low: Column, valid: str, valid_low: Column, min_run: int = 11) -> DataFrame:
-    """A panel that is seen often enough and suddenly covers little."""
-    d = _with_before(df, ["view"]).where(finite(area) & (F.col(area) <= area_low) & (F.col(valid) >= F.greatest(F.lit(0.10), valid_low)))
-    runs = _spans(d, ["view"], 1).where(F.col("n") >= min_run)
+    """A panel that is seen often enough and suddenly covers little; the span ends one frame after the last hit."""
+    after = F.coalesce(F.lead("frame").over(ordered([*KEYS, "view"], "seq")), F.col("frame"))
+    d = df.withColumn("_after", after).where(finite(area) & (F.col(area) <= area_low) & (F.col(valid) >= F.greatest(F.lit(0.10), valid_low)))
+    ends = F.min_by("frame", "seq").alias("from"), F.max_by("_after", "seq").alias("to")
+    runs = islands(d, [*KEYS, "view"], "seq", 1, *ends).where(F.col("n") >= min_run)
     return finding(runs, "vision_state_vision", "p1_panel_proxy_unstable_candidate", F.least(F.lit(78.0), 45 + 2.5 * F.col("n")), F.col("from"), F.col("to"), modality="vision", view=F.col("view"), ood=True, evidence={"run_length": F.col("n")})
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegauge.functions.scalars import confidence, penalty
@@ -67,16 +67,28 @@ def top_issues(findings: DataFrame, k: int = 10) -> DataFrame:
     return counts_by(findings, "issue_type").orderBy(F.desc("n"), "issue_type").limit(k)
 
 
-def in_order(findings: DataFrame) -> DataFrame:
+def report_order() -> list[Column]:
     """K1: by episode (null first as -1), category, start (0 and null as -1), id."""
     start = F.when(F.coalesce("frame_start", F.lit(0)) == 0, -1).otherwise(F.col("frame_start"))
-    return findings.orderBy(F.coalesce("episode", F.lit(-1)), "category_id", start, "finding_id")
+    return [F.coalesce("episode", F.lit(-1)), F.col("category_id"), start, F.col("finding_id")]
+
+
+def in_order(findings: DataFrame) -> DataFrame:
+    """K1."""
+    return findings.orderBy(*report_order())
+
+
+def of_types(findings: DataFrame, *types: str) -> DataFrame:
+    """P13."""
+    return findings.where(F.col("issue_type").isin(*types))
 
 
 def by_episode(episodes: DataFrame, findings: DataFrame, most: int = 100) -> DataFrame:
-    """Each episode with its number of findings and the first ``most`` of them by start; a report, not a table to compute on."""
-    cells = F.slice(F.sort_array(F.collect_list(F.struct("frame_start", "issue_type"))), 1, most)
-    g = findings.groupBy("episode").agg(F.count("*").alias("n"), cells.alias("first"))
+    """Each episode with its number of findings and the first ``most`` of them by start; a report, not a table to compute on."""
+    w = Window.partitionBy("episode").orderBy("frame_start", "issue_type")
+    early = findings.withColumn("_nth", F.row_number().over(w)).where(F.col("_nth") <= most)
+    cells = early.groupBy("episode").agg(F.sort_array(F.collect_list(F.struct("frame_start", "issue_type"))).alias("first"))
+    g = findings.groupBy("episode").agg(F.count("*").alias("n")).join(cells, "episode")
     return episodes.select("episode").distinct().join(g, "episode", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 

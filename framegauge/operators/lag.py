@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegauge.functions.scalars import EPS, finite
+from framegauge.operators.statistics import null_safe
 
 
 def lag_pairs(df: DataFrame, keys: list[str], max_lag: int = 5, a: str = "a", b: str = "b", seq: str = "seq") -> DataFrame:
@@ -36,7 +37,7 @@ def lag_profile(df: DataFrame, keys: list[str], max_lag: int = 5, least_corr: fl
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("r")).alias("m"), "lag")))
     best = r.groupBy(*keys).agg(ranked.alias("_r")).select(*keys, F.col("_r")[0]["lag"].alias("best_lag"), (-F.col("_r")[0]["m"]).alias("best_corr"), (-F.get("_r", F.lit(1))["m"]).alias("second_best_corr"))
     ab = {k: v for k, v in cols.items() if k in ("a", "b")}
-    d = excitation(df, keys, **ab).join(best, keys, "left").withColumn("peak_margin", F.col("best_corr") - F.col("second_best_corr"))
+    d = null_safe(excitation(df, keys, **ab), best, keys, "left").withColumn("peak_margin", F.col("best_corr") - F.col("second_best_corr"))
     good = (F.col("best_corr") >= least_corr) & (F.coalesce("peak_margin", F.lit(float("inf"))) >= least_margin)
     reason = F.when(F.col("n_valid") < 12, "too_few_valid_samples").when((F.col("a_excitation") <= EPS) | (F.col("b_excitation") <= EPS), "low_motion_excitation").when(F.col("best_lag").isNull(), "correlation_unavailable").when(good, "identifiable_peak").otherwise("ambiguous_or_weak_peak")
     d = d.withColumn("reason", reason).withColumn("status", F.when(F.col("reason") == "identifiable_peak", "ok").otherwise("unavailable"))
@@ -69,7 +70,7 @@ def identifiable_lag(df: DataFrame, keys: list[str], max_lag: int = 5, window: i
     """The profile's answer with the stability of its lag."""
     whole = lag_profile(df, keys, max_lag, seq=seq, **cols)
     steady = lag_stability(df, keys, max_lag, window, step, seq, **cols).select(*keys, F.col("status").alias("stability_status"), F.col("reason").alias("stability_reason"), "window_count", "valid_window_count", "lag_median", "lag_mad", "corr_median")
-    d = whole.join(steady, keys, "left")
+    d = null_safe(whole, steady, keys, "left")
     both = F.when((F.col("status") == "ok") & (F.col("stability_status") == "ok"), "ok").otherwise("unavailable")
     return d.withColumn("identifiable", both)
 
@@ -86,10 +87,10 @@ def coupling(df: DataFrame, keys: list[str], state: str = "state", visual: str =
     best = r.groupBy(*keys).agg(F.max(F.struct(F.abs("r").alias("x"), (-F.col("lag")).alias("m"), "r")).alias("_b"), F.max(F.when(F.col("lag") == 0, F.col("r"))).alias("zero_lag_correlation"))
     q = lambda x: F.percentile(F.when(finite(x), F.col(x)), F.array(F.lit(0.25), F.lit(0.75)))
     g = df.groupBy(*keys).agg(F.count("*").alias("sample_count"), F.count(F.when(finite(state), 1)).alias("_ns"), F.count(F.when(finite(visual), 1)).alias("_nv"), q(state).alias("_qs"), q(visual).alias("_qv"))
-    d = df.select(*keys, F.col(state).alias("_s"), F.col(visual).alias("_v")).join(g, keys)
+    d = null_safe(df.select(*keys, F.col(state).alias("_s"), F.col(visual).alias("_v")), g, keys)
     both = finite("_s") & finite("_v")
     still = F.avg(F.when(both & (F.col("_s") >= F.col("_qs")[1]) & (F.col("_v") <= F.col("_qv")[0]), 1.0).otherwise(0.0))
     moves = F.avg(F.when(both & (F.col("_v") >= F.col("_qv")[1]) & (F.col("_s") <= F.col("_qs")[0]), 1.0).otherwise(0.0))
     f = d.where((F.col("sample_count") >= 11) & (F.col("_ns") >= 11) & (F.col("_nv") >= 11)).groupBy(*keys, "sample_count").agg(still.alias("state_active_visual_quiet_fraction"), moves.alias("visual_active_state_quiet_fraction"))
-    out = f.join(best, keys, "left")
+    out = null_safe(f, best, keys, "left")
     return out.select(*keys, "sample_count", F.when(F.col("_b").isNull(), "unavailable").otherwise("ok").alias("status"), (-F.col("_b.m")).alias("best_lag"), F.col("_b.x").alias("best_abs_correlation"), F.col("_b.r").alias("best_signed_correlation"), "zero_lag_correlation", "state_active_visual_quiet_fraction", "visual_active_state_quiet_fraction")

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from framegauge.functions.taxonomy import VIEWS
 
+#: The tasks of up to so many files go to the rows by broadcast (16 bytes each).
+BROADCAST_FILES = 2_000_000
 TASKS = "task_index long, task string"
 EPISODES = "episode_index long, tasks array<string>, length long"
 _IMAGE = T.StructType([T.StructField("bytes", T.BinaryType()), T.StructField("path", T.StringType())])
@@ -29,8 +31,8 @@ def real_path(path: Column) -> Column:
 
 
 def episode_of(path: Column) -> Column:
-    """The number after the last underscore of the file's stem, or null."""
-    return F.regexp_extract(path, r"_(\d+)\.[^./]+$", 1).try_cast("long")
+    """The number after the last underscore of the file's stem, or that of a folder ``episode=…``, or null."""
+    return F.coalesce(F.regexp_extract(path, r"_(\d+)\.[^./]+$", 1).try_cast("long"), F.regexp_extract(path, r"/episode=(\d+)/[^/]*$", 1).try_cast("long"))
 
 
 def relative_path(path: Column, root: str) -> Column:
@@ -80,7 +82,7 @@ class Dataset:
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """path, length, episode of every episode file, without its content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
-    return files.select("path", "length").where(real_path(F.col("path"))).withColumn("episode", episode_of(F.col("path")))
+    return files.select(F.col("_metadata.file_path").alias("path"), "length").where(real_path(F.col("path"))).withColumn("episode", episode_of(F.col("path")))
 
 
 def read_frames(spark: SparkSession, root: str, schema: T.StructType = FRAMES, columns: list[str] | None = None) -> DataFrame:
@@ -89,31 +91,28 @@ def read_frames(spark: SparkSession, root: str, schema: T.StructType = FRAMES, c
     Files that can't be read are left out; ``unread_files`` names them. Only the wanted columns are read."""
     raw = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", True).parquet(root)
     wanted = [c for c in (columns or schema.names) if c in schema.names]
-    file = F.col("_metadata.file_path")
-    d = raw.select(*wanted, *(c for c in ("task_index", "frame_index", "episode_index") if c not in wanted and c in schema.names), file.alias("file"), F.col("_metadata.row_index").alias("seq")).where(real_path(F.col("file")))
-    return d.withColumns({"episode": F.coalesce(episode_of(F.col("file")), F.col("episode_index")), "task": F.first("task_index").over(_whole("file")), "frame": F.coalesce("frame_index", "seq")})
-
-
-def _whole(key: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    file, row = F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("seq")
+    keys = [c for c in ("task_index", "frame_index", "episode_index") if c not in wanted and c in schema.names]
+    # a file's task is its first row's: read from one narrow column and joined back, so no image is shuffled
+    tasks = raw.select(file, row, "task_index").where("seq = 0").select(F.xxhash64("file").alias("_file"), F.col("task_index").alias("task"))
+    tasks = F.broadcast(tasks) if tasks.count() <= BROADCAST_FILES else tasks
+    d = raw.select(*wanted, *keys, file, row).where(real_path(F.col("file"))).withColumn("_file", F.xxhash64("file")).join(tasks, "_file", "left").drop("_file")
+    return d.withColumns({"episode": F.coalesce(episode_of(F.col("file")), F.col("episode_index")), "frame": F.coalesce("frame_index", "seq")})
 
 
 def unread_files(files: DataFrame, frames: DataFrame) -> DataFrame:
     """Listed files of which no row was read: (episode, task, file, error). An empty file is reported by its length."""
-    seen = frames.select(F.element_at(F.split("file", "/"), -1).alias("_name")).distinct()
-    d = files.withColumn("_name", F.element_at(F.split("path", "/"), -1)).join(seen, "_name", "left_anti")
+    d = files.join(frames.select(F.col("file").alias("path")).distinct(), "path", "left_anti")
     return d.select("episode", F.lit(None).cast("long").alias("task"), F.col("path").alias("file"), F.lit("no row could be read").alias("error"))
 
 
-def load_dataset(spark: SparkSession, root: str) -> Dataset:
+def load_dataset(spark: SparkSession, root: str, schema: T.StructType = FRAMES) -> Dataset:
     """Metadata and rows under a root; an error if there is no episode file."""
     meta = find_meta_root(spark, root)
     files = list_files(spark, root)
     if files.isEmpty():
         raise ValueError(f"no episode files under {root}")
-    return Dataset(read_info(spark, meta), read_jsonl(spark, f"{meta}/tasks.jsonl", TASKS), read_jsonl(spark, f"{meta}/episodes.jsonl", EPISODES), read_frames(spark, root), files)
+    return Dataset(read_info(spark, meta), read_jsonl(spark, f"{meta}/tasks.jsonl", TASKS), read_jsonl(spark, f"{meta}/episodes.jsonl", EPISODES), read_frames(spark, root, schema), files)
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import json
 import re
 import zipfile
 from xml.etree import ElementTree
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framegauge.functions.storage import write_file
+
 
 def run_root(root: str, run_id: str) -> str:
     """A folder of its own for each run."""
@@ -35,6 +38,18 @@ def write_parquet(df: DataFrame, path: str, by: list[str] | None = None) -> None
     (w.partitionBy(*by) if by else w).parquet(path)
 
 
+def write_episodes(frames: DataFrame, root: str, info: dict, tasks: list[str]) -> None:
+    """A dataset of episodes that ``sources.episodes`` reads: rows by ``episode`` in folders of their own, in order of
+    ``seq``, and the metadata. Everything but the small metadata files is written by the workers."""
+    spark = frames.sparkSession
+    rows = frames.repartition("episode").sortWithinPartitions("episode", "seq")
+    rows.drop("seq").write.partitionBy("episode").parquet(f"{root}/data")
+    lengths = frames.groupBy(F.col("episode").alias("episode_index")).agg(F.array(F.lit(tasks[0])).alias("tasks"), F.count("*").alias("length"))
+    lengths.write.json(f"{root}/meta/episodes.jsonl")
+    write_file(spark, f"{root}/meta/tasks.jsonl", "".join(json.dumps({"task_index": i, "task": t}) + "\n" for i, t in enumerate(tasks)).encode())
+    write_file(spark, f"{root}/meta/info.json", json.dumps(info).encode())
+
+
 def write_text(spark: SparkSession, text: str, path: str) -> None:
     """A small report as one file in the folder ``path``, through Spark's file systems."""
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
