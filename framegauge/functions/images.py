@@ -101,9 +101,25 @@ def decode(data: bytes | None) -> np.ndarray:
 
 
 def luma(image: np.ndarray) -> np.ndarray:
-    """The weighted gray of video signals, whole numbers."""
+    """The weighted gray of video signals, rounded; the weights 0.299, 0.587, 0.114 in 65536ths."""
     i = image.astype(np.int64)
-    return ((i[:, :, 0] * 299 + i[:, :, 1] * 587 + i[:, :, 2] * 114) // 1000).astype(np.uint8)
+    return ((i[:, :, 0] * 19595 + i[:, :, 1] * 38470 + i[:, :, 2] * 7471 + 32768) >> 16).astype(np.uint8)
+
+
+def resize_gray(gray: np.ndarray, limit: int = 320) -> np.ndarray:
+    """shrinks by area so that the longer side has ``limit`` pixels at most; smaller images stay. A pixel is the mean of
+    what it covers, parts of pixels by their share, rounded."""
+    height, width = gray.shape
+    if max(height, width) <= limit:
+        return gray
+
+    def shares(size: int) -> np.ndarray:
+        new = max(1, round(size * limit / max(height, width)))
+        edge = np.arange(new + 1) * size / new
+        cover = np.minimum(edge[1:, None], np.arange(1, size + 1)) - np.maximum(edge[:-1, None], np.arange(size))
+        return np.maximum(cover, 0) * new / size
+
+    return np.floor(shares(height) @ gray.astype(np.float64) @ shares(width).T + 0.5).astype(np.uint8)
 
 
 def gray_grid(image: np.ndarray, stride: int = 8) -> np.ndarray:
@@ -119,7 +135,7 @@ def shannon(counts: np.ndarray) -> float:
 def metrics(image: np.ndarray, density: bool = False) -> dict[str, float]:
     """Mean, std, Laplacian variance, black and white fractions, 32-bin entropy; A10 with ``density``: the entropy
     formula over bin densities instead of probabilities."""
-    x = image.astype(np.float32)
+    x = image.astype(np.float64)
     gray = x.mean(axis=2)
     inner = gray[1:-1, 1:-1]
     edges = gray[:-2, 1:-1] + gray[2:, 1:-1] + gray[1:-1, :-2] + gray[1:-1, 2:] - 4 * inner
@@ -180,3 +196,103 @@ def flower(seed: int = 1, height: int = 32, width: int = 32, block: int = 8) ->
     out = np.repeat(np.repeat(small, block, axis=0), block, axis=1)[:height, :width].copy()
     out[height // 2 : height // 2 + 2] = 255 - out[height // 2 : height // 2 + 2]
     return out
+
+
+# ---- clips and boards ------------------------------------------------------------------------------------------------
+
+
+def _riff(kind: bytes, data: bytes) -> bytes:
+    return kind + struct.pack("<I", len(data)) + data + b"\0" * (len(data) % 2)
+
+
+def avi(frames: list[np.ndarray], fps: float = 10.0) -> bytes:
+    """An AVI of frames of one size, each a PNG (codec MPNG), with an index."""
+    height, width = frames[0].shape[:2]
+    if any(f.shape[:2] != (height, width) for f in frames):
+        raise ValueError("frames differ in size")
+    chunks = [_riff(b"00dc", encode_png(f)) for f in frames]
+    most = max(map(len, chunks))
+    main = struct.pack("<14I", round(1e6 / fps), int(most * fps), 0, 0x10, len(frames), 0, 1, most, width, height, 0, 0, 0, 0)
+    stream = struct.pack("<4s4sIHHIIIIIIII4H", b"vids", b"MPNG", 0, 0, 0, 0, 1000, round(fps * 1000), 0, len(frames), most, 0xFFFFFFFF, 0, 0, 0, width, height)
+    kind = struct.pack("<IiiHH4sIiiII", 40, width, height, 1, 24, b"MPNG", width * height * 3, 0, 0, 0, 0)
+    head = _riff(b"LIST", b"hdrl" + _riff(b"avih", main) + _riff(b"LIST", b"strl" + _riff(b"strh", stream) + _riff(b"strf", kind)))
+    at, index = 4, b""
+    for c in chunks:
+        index += struct.pack("<4sIII", b"00dc", 0x10, at, struct.unpack("<I", c[4:8])[0])
+        at += len(c)
+    return _riff(b"RIFF", b"AVI " + head + _riff(b"LIST", b"movi" + b"".join(chunks)) + _riff(b"idx1", index))
+
+
+def avi_frames(data: bytes) -> list[np.ndarray]:
+    """The frames of a file that ``avi`` wrote."""
+    if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
+        raise ValueError("not an AVI")
+    at, out = data.index(b"movi") + 4, []
+    while data[at : at + 4] == b"00dc":
+        size = struct.unpack("<I", data[at + 4 : at + 8])[0]
+        out.append(decode_png(data[at + 8 : at + 8 + size]))
+        at += 8 + size + size % 2
+    return out
+
+
+def _packed_codes(codes: list[tuple[int, int]]) -> bytes:
+    """(code, bits) from the lowest bit on."""
+    out, held, bits = bytearray(), 0, 0
+    for code, width in codes:
+        held |= code << bits
+        bits += width
+        while bits >= 8:
+            out.append(held & 255)
+            held >>= 8
+            bits -= 8
+    return bytes(out) + (bytes([held]) if bits else b"")
+
+
+def _lzw(pixels: bytes) -> bytes:
+    """The variable-width codes of 8-bit pixels; the table starts anew when it is full."""
+    codes: list[tuple[int, int]] = [(256, 9)]
+    table, width, run = {bytes([i]): i for i in range(256)}, 9, b""
+    for p in pixels:
+        new = run + bytes([p])
+        if new in table:
+            run = new
+            continue
+        codes.append((table[run], width))
+        if len(table) + 2 < 4096:
+            table[new] = len(table) + 2
+            if len(table) + 2 > 1 << width and width < 12:
+                width += 1
+        else:
+            codes.append((256, width))
+            table, width = {bytes([i]): i for i in range(256)}, 9
+        run = bytes([p])
+    if run:
+        codes.append((table[run], width))
+    return _packed_codes([*codes, (257, width)])
+
+
+def gif(frames: list[np.ndarray], fps: float = 10.0) -> bytes:
+    """A looping GIF; colors are cut to six levels each."""
+    height, width = frames[0].shape[:2]
+    level = [0, 51, 102, 153, 204, 255]
+    palette = bytes(x for r in level for g in level for b in level for x in (r, g, b)) + bytes(3 * 40)
+    out = b"GIF89a" + struct.pack("<HHBBB", width, height, 0xF7, 0, 0) + palette + b"\x21\xff\x0bNETSCAPE2.0\x03\x01\0\0\0"
+    for f in frames:
+        c = (f.astype(np.int64) + 25) // 51
+        data = _lzw((c[:, :, 0] * 36 + c[:, :, 1] * 6 + c[:, :, 2]).astype(np.uint8).tobytes())
+        blocks = b"".join(bytes([len(data[i : i + 255])]) + data[i : i + 255] for i in range(0, len(data), 255))
+        out += b"\x21\xf9\x04\0" + struct.pack("<H", max(2, round(100 / fps))) + b"\0\0" + b"\x2c" + struct.pack("<HHHHB", 0, 0, width, height, 0) + b"\x08" + blocks + b"\0"
+    return out + b"\x3b"
+
+
+def board(frames: list[np.ndarray], columns: int = 4, gap: int = 2, marked: list[bool] | None = None) -> np.ndarray:
+    """Frames of one size side by side in rows on white; marked ones have a red frame around them."""
+    height, width = frames[0].shape[:2]
+    rows = -(-len(frames) // columns)
+    out = np.full((rows * (height + 2 * gap), min(columns, len(frames)) * (width + 2 * gap), 3), 255, np.uint8)
+    for i, f in enumerate(frames):
+        y, x = i // columns * (height + 2 * gap), i % columns * (width + 2 * gap)
+        if marked and marked[i]:
+            out[y : y + height + 2 * gap, x : x + width + 2 * gap] = [255, 0, 0]
+        out[y + gap : y + gap + height, x + gap : x + gap + width] = f
+    return out

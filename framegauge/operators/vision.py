@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framegauge.functions import images as I
+from framegauge.functions import tracks
 from framegauge.operators.signals import ordered
+from framegauge.operators.statistics import null_safe
 
+#: The row counts of up to so many episodes go to the frames by broadcast (16 bytes each).
+BROADCAST_EPISODES = 2_000_000
 _FEATURES = "episode long, task long, seq long, frame long, view string, decoded boolean, height int, width int, channels int, mean double, std double, sharpness double, black_fraction double, white_fraction double, entropy double, pixel_hash string, grid array<float>, luma_grid array<float>, panel_area double, panel_aspect double, panel_x double, panel_y double"
 
 
@@ -58,14 +62,25 @@ def duplicate_fraction(features: DataFrame) -> DataFrame:
     return features.withColumn("_same", same).groupBy("episode", "task", "view").agg(F.avg(F.col("_same").cast("double")).alias("duplicate_fraction"), F.avg(F.col("decoded").cast("double")).alias("valid_fraction"))
 
 
-def panel_summary(features: DataFrame) -> DataFrame:
-    """C4 by episode and view: valid fraction, medians of area and aspect, median jump of the center, status."""
+def fallback_motion(features: DataFrame) -> DataFrame:
+    """What the plain change of images says where feature tracks are needed: ``(episode, view, status, reason, valid_fraction)``."""
+    g = features.where("seq > 0").groupBy("episode", "view").agg(F.avg(F.coalesce(F.abs("motion") < float("inf"), F.lit(False)).cast("double")).alias("valid_fraction"))
+    all_ = features.select("episode", "view").distinct().join(g, ["episode", "view"], "left")
+    return all_.select("episode", "view", F.lit("unavailable").alias("status"), F.when(F.col("valid_fraction").isNull(), "visual_motion_unavailable").otherwise("feature_tracks_required").alias("reason"), "valid_fraction")
+
+
+def panel_jumps(features: DataFrame) -> DataFrame:
+    """Rows with panel_center_delta: how far the panel's center is from where it was last seen."""
     w = ordered(["episode", "task", "view"], "seq")
     last = lambda c: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
     d = features.withColumns({"_x": last("panel_x"), "_y": last("panel_y")})
-    d = d.withColumn("_jump", F.sqrt(F.pow(F.col("panel_x") - F.col("_x"), 2) + F.pow(F.col("panel_y") - F.col("_y"), 2)))
+    return d.withColumn("panel_center_delta", F.sqrt(F.pow(F.col("panel_x") - F.col("_x"), 2) + F.pow(F.col("panel_y") - F.col("_y"), 2))).drop("_x", "_y")
+
+
+def panel_summary(features: DataFrame) -> DataFrame:
+    """C4 by episode and view: valid fraction, medians of area and aspect, median jump of the center, status."""
     mid = lambda c: F.percentile(c, F.lit(0.5))
-    g = d.groupBy("episode", "task", "view").agg(F.count("panel_area").alias("valid"), F.avg(F.col("panel_area").isNotNull().cast("double")).alias("valid_fraction"), mid("panel_area").alias("median_area"), mid("panel_aspect").alias("median_aspect_ratio"), mid("_jump").alias("median_center_delta"))
+    g = panel_jumps(features).groupBy("episode", "task", "view").agg(F.count("panel_area").alias("valid"), F.avg(F.col("panel_area").isNotNull().cast("double")).alias("valid_fraction"), mid("panel_area").alias("median_area"), mid("panel_aspect").alias("median_aspect_ratio"), mid("panel_center_delta").alias("median_center_delta"))
     return g.withColumn("status", F.when(F.col("valid") >= 5, "ok").otherwise("unavailable"))
 
 
@@ -85,7 +100,7 @@ def overlap_gates(features: DataFrame, parts: int = 30, least_corr: float = 0.75
     dense = pairs.where(F.size("a") == F.size("b")).select("episode", "task", "seq", "view_a", "view_b", cells.alias("_c"))
     r = dense.groupBy("episode", "task", "seq", "view_a", "view_b").agg(F.covar_pop("_c.x", "_c.y").alias("_xy"), F.stddev_pop("_c.x").alias("_sx"), F.stddev_pop("_c.y").alias("_sy"))
     r = r.withColumn("r", F.when((F.col("_sx") >= 1e-6) & (F.col("_sy") >= 1e-6), F.col("_xy") / (F.col("_sx") * F.col("_sy")))).drop("_xy", "_sx", "_sy")
-    sampled = pairs.select("episode", "task", "seq", "view_a", "view_b").join(r, ["episode", "task", "seq", "view_a", "view_b"], "left")
+    sampled = null_safe(pairs.select("episode", "task", "seq", "view_a", "view_b"), r, ["episode", "task", "seq", "view_a", "view_b"], "left")
     g = sampled.groupBy("episode", "task", "view_a", "view_b").agg(F.count("*").alias("sampled_frames"), F.count(F.when(F.col("r") >= least_corr, 1)).alias("ok_frames"), F.percentile(F.when(~F.isnan("r"), F.col("r")), F.lit(0.5)).alias("median_correlation"))
     g = g.withColumn("ok_fraction", F.col("ok_frames") / F.col("sampled_frames"))
     return g.withColumn("status", F.when((F.col("ok_frames") >= least_frames) & (F.col("ok_fraction") >= least_share), "ok").otherwise("unavailable"))
@@ -95,3 +110,87 @@ def grid_coverage(points: DataFrame, keys: list[str], x: str, y: str, width: flo
     """Share of the cells of a grid that hold a point."""
     cell = lambda v, size: F.least(F.lit(cells - 1), F.floor(F.col(v) / size * cells))
     return points.groupBy(*keys).agg((F.count_distinct(F.struct(cell(x, width), cell(y, height))) / (cells * cells)).alias("coverage"))
+
+
+# ---- features of the image itself, without small grids ---------------------------------------------------------------
+
+_KEYS = "episode long, task long, seq long, frame long"
+
+
+def _gray_images(batch: pa.RecordBatch, column: int):
+    """The luma of each image, None for what can't be read."""
+    for data in batch.column(column).to_pylist():
+        try:
+            yield I.luma(I.decode(data))
+        except Exception:  # noqa: BLE001 - whatever is wrong with an image
+            yield None
+
+
+def track_motion(frames: DataFrame, view: str) -> DataFrame:
+    """``(episode, task, seq, frame, view, motion, tracks, inliers, same)``: how far tracked corners moved from the image
+    before; null after an unreadable image. Images are shuffled by episode and stream in order, one before the other in
+    memory; the grid's motion (``visual_motion``) needs no such shuffle."""
+    rows = frames.select("episode", "task", "seq", "frame", F.col(f"{view}.bytes").alias("bytes")).repartition("episode").sortWithinPartitions("episode", "task", "seq")
+
+    def run(batches):
+        episode, before = None, None
+        for batch in batches:
+            out = []
+            for i, gray in enumerate(_gray_images(batch, 4)):
+                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                before, episode = (before if key == episode else None), key
+                pair = before is not None and gray is not None
+                out.append((tracks.track_motion(before, gray) if pair else {"motion": None, "tracks": None, "inliers": None}) | {"same": bool(before.shape == gray.shape and (before == gray).all()) if pair else None})
+                before = gray
+            cols = [pa.array([r[k] for r in out], t) for k, t in (("motion", pa.float64()), ("tracks", pa.int64()), ("inliers", pa.int64()), ("same", pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *cols], ["episode", "task", "seq", "frame", "motion", "tracks", "inliers", "same"])
+
+    return rows.mapInArrow(run, f"{_KEYS}, motion double, tracks long, inliers long, same boolean").withColumn("view", F.lit(view))
+
+
+def track_summary(moves: DataFrame, least: int = 8) -> DataFrame:
+    """C1 by episode and view: status, share of transitions with a motion, medians, repeated images."""
+    t = moves.where("tracks is not null")
+    mid = lambda c: F.percentile(c, F.lit(0.5))
+    g = t.groupBy("episode", "view").agg(F.count("motion").alias("valid"), F.avg(F.col("motion").isNotNull().cast("double")).alias("valid_fraction"), mid("tracks").alias("median_track_count"), mid("inliers").alias("median_inlier_count"), F.avg(F.col("same").cast("double")).alias("duplicate_fraction"))
+    return g.withColumn("status", F.when(F.col("valid") >= least, "ok").otherwise("unavailable")).withColumn("reason", F.when(F.col("valid") >= least, "feature_tracks").otherwise("too_few_feature_tracks"))
+
+
+def panels(frames: DataFrame, view: str) -> DataFrame:
+    """``(episode, task, seq, frame, view, panel_area, panel_aspect, panel_x, panel_y, panel_angle)``; nulls where no panel is seen."""
+    rows = frames.select("episode", "task", "seq", "frame", F.col(f"{view}.bytes").alias("bytes"))
+    names = {"panel_area": "area", "panel_aspect": "aspect", "panel_x": "cx", "panel_y": "cy", "panel_angle": "angle"}
+
+    def run(batches):
+        for batch in batches:
+            found = [None if g is None else tracks.panel(g) for g in _gray_images(batch, 4)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *(pa.array([p and p[k] for p in found], pa.float64()) for k in names.values())], ["episode", "task", "seq", "frame", *names])
+
+    return rows.mapInArrow(run, f"{_KEYS}, " + ", ".join(f"{n} double" for n in names)).withColumn("view", F.lit(view))
+
+
+def feature_overlaps(frames: DataFrame, views: list[str], parts: int = 30, least_frames: int = 3, least_share: float = 0.2) -> DataFrame:
+    """Pairs of views whose descriptors match on enough sampled rows, by episode. Only sampled rows are decoded; views
+    of a row stand in it, so no image is shuffled."""
+    n = frames.groupBy("episode").agg(F.count("*").alias("_n"))
+    d = frames.select("episode", "task", "seq", "frame", *(F.col(f"{v}.bytes").alias(v) for v in views)).join(F.broadcast(n) if n.count() <= BROADCAST_EPISODES else n, "episode")
+    d = d.where((F.col("_n") >= 4) & (F.col("seq") % F.greatest(F.lit(1), F.floor(F.col("_n") / parts)) == 0)).drop("_n")
+    pairs = [(i, j) for i in range(len(views)) for j in range(i + 1, len(views))]
+
+    def run(batches):
+        for batch in batches:
+            grays = [list(_gray_images(batch, 4 + k)) for k in range(len(views))]
+            rows = []
+            for r, e in enumerate(batch.column(0).to_pylist()):
+                for i, j in pairs:
+                    a, b = grays[i][r], grays[j][r]
+                    x = {"matches": 0, "inliers": 0, "coverage": 0.0} if a is None or b is None else tracks.overlap(a, b)
+                    rows.append({"episode": e, "view_a": views[i], "view_b": views[j]} | x)
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("episode", pa.int64()), ("view_a", pa.string()), ("view_b", pa.string()), ("matches", pa.int64()), ("inliers", pa.int64()), ("coverage", pa.float64())]))
+
+    r = d.mapInArrow(run, "episode long, view_a string, view_b string, matches long, inliers long, coverage double")
+    good = (F.col("inliers") >= 8) & (F.col("inliers") >= 0.5 * F.col("matches")) & (F.col("coverage") >= 0.2)
+    mid = lambda c: F.percentile(F.when(F.col("inliers") > 0, F.col(c)), F.lit(0.5))
+    g = r.groupBy("episode", "view_a", "view_b").agg(F.count("*").alias("sampled_frames"), F.count(F.when(good, 1)).alias("ok_frames"), mid("matches").alias("median_matches"), mid("inliers").alias("median_inliers"), mid("coverage").alias("median_coverage"))
+    g = g.withColumn("ok_fraction", F.col("ok_frames") / F.col("sampled_frames"))
+    return g.withColumn("status", F.when((F.col("ok_frames") >= least_frames) & (F.col("ok_fraction") >= least_share), "ok").otherwise("unavailable"))
