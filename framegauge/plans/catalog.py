@@ -46,10 +46,13 @@ def r6(x: Column | str, name: str | None = None) -> Column:
 
 
 def queries() -> dict[str, Query]:
+    from framegauge.plans import catalog_images, catalog_sources, catalog_weak  # noqa: F401  they add theirs
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)
 
 
@@ -83,7 +86,7 @@ REF = "episode % 3 = 0"
 
 
 def _deltas(spark: SparkSession, sf: str) -> DataFrame:
-    return signals.scalar_accel(signals.scalar_delta(T.events(spark, sf), ["episode"], "value"), ["episode"], "value")
+    return signals.scalar_accel(signals.scalar_delta(D.with_before(T.events(spark, sf), []), ["episode"], "value"), ["episode"], "value")
 
 
 def _reference(df: DataFrame, value: str) -> DataFrame:
@@ -633,13 +636,29 @@ def lag_windows(spark, sf):
     return d.join(n, "episode").select("episode", "window_count", (F.col("window_count") * F.least(F.lit(21), F.greatest(F.lit(11), F.col("n")))).alias("n_rows"))
 
 
-@query()
+# Windows of 21 rows every five, and the profile of each: the largest correlation and its lead over the second.
+PROFILE = """pr{i} as (select y.episode, y.ws, lag, x.a, y.b from lg, {w} y join {w} x on x.episode = y.episode and x.ws = y.ws and x.seq = y.seq + lag), lc{i} as (select episode, ws, lag, corr(a, b) as r from pr{i} group by 1, 2, 3 having count(*) >= 8 and stddev_pop(a) >= 1e-9 and stddev_pop(b) >= 1e-9),
+be{i} as (select episode, ws, max(case when k = 1 then lag end) as lag, max(case when k = 1 then r end) as c1, max(case when k = 2 then r end) as c2 from (select *, row_number() over (partition by episode, ws order by r desc, lag) as k from lc{i}) group by 1, 2),
+pf{i} as (select e.episode, e.ws, lag, c1, n >= 12 and ea > 1e-9 and eb > 1e-9 and c1 is not null as told, coalesce(n >= 12 and ea > 1e-9 and eb > 1e-9 and c1 >= 0.35 and coalesce(c1 - c2, 1e9) >= 0.08, false) as ok from (select episode, ws, count(*) as n, quantile_cont(a, 0.9) - quantile_cont(a, 0.1) as ea, quantile_cont(b, 0.9) - quantile_cont(b, 0.1) as eb from {w} group by 1, 2) e left join be{i} on be{i}.episode = e.episode and be{i}.ws = e.ws)"""
+LS = f"""{SG}, lg as (select range - 5 as lag from range(11)), w as (select n.*, s.range * 5 as ws from (select *, count(*) over (partition by episode) as n from sg) n, range(0, 200) s where n >= 11 and s.range * 5 <= seq and seq < s.range * 5 + greatest(11, least(21, n)) and s.range * 5 + greatest(11, least(21, n)) <= n),
+{PROFILE.format(i=1, w="w")}, gs as (select episode, count(*) as window_count, count(*) filter (ok) as valid, quantile_cont(lag, 0.5) filter (ok) as lm, mad(lag) filter (ok) as ld, quantile_cont(c1, 0.5) filter (ok) as cm from pf1 group by 1),
+st as (select *, case when valid < 3 then 'too_few_stable_windows' when ld <= 1 and cm >= 0.35 then 'stable_peak' else 'unstable_peak' end as reason from gs)"""
+
+
+@query(f"with {LS} select episode, case when reason = 'stable_peak' then 'ok' else 'unavailable' end as status, reason, window_count, valid as valid_window_count, case when valid >= 3 then cast(lm as double) end as lag_median, case when valid >= 3 then cast(ld as double) end as lag_mad, case when valid >= 3 then round(cm, 6) end as corr_median from st")
 def lag_stability(spark, sf):
     """W19, A24."""
     d = lag.lag_stability(_two(spark, sf), ["episode"])
     return d.select("episode", "status", "reason", "window_count", "valid_window_count", "lag_median", "lag_mad", r6("corr_median"))
 
 
+@query(f"with {LS}, w0 as (select *, 0 as ws from sg), {PROFILE.format(i=0, w='w0')} select pf0.episode, case when pf0.told then pf0.lag end as best_lag, pf0.ok as peak, coalesce(st.reason = 'stable_peak', false) as stable, case when pf0.ok and coalesce(st.reason = 'stable_peak', false) then 'ok' else 'unavailable' end as identifiable from pf0 left join st on st.episode = pf0.episode")
+def identifiable_lags(spark, sf):
+    """A lag counts where the whole episode has a peak and its windows agree on it."""
+    d = lag.identifiable_lag(_two(spark, sf), ["episode"])
+    return d.select("episode", "best_lag", (F.col("status") == "ok").alias("peak"), F.coalesce(F.col("stability_reason") == "stable_peak", F.lit(False)).alias("stable"), "identifiable")
+
+
 @query(f"""with {SG}, q as (select *, lag(frame) over (partition by episode order by seq) as fb, quantile_cont(a, 0.6) over (partition by episode) as hi, quantile_cont(b, 0.4) over (partition by episode) as lo from sg), h as (select episode, seq, frame, coalesce(fb, frame) as fb from q where a >= hi and b <= lo)
 select episode, x as frame_start, y as frame_end, n from ({islands_sql("h", "episode", "seq", 1, "arg_min(fb, seq) as x, arg_max(frame, seq) as y")}) where n >= 2""")
 def state_vision_static_moves(spark, sf):
@@ -651,15 +670,20 @@ def state_vision_static_moves(spark, sf):
 # ---- scores ----------------------------------------------------------------------------------------------------------
 
 TG = "tg as (select episode, 0.65 * 25.0 as p from (select *, quantile_cont(diff, 0.5) over (partition by episode) as period from (select *, lead(timestamp) over (partition by episode order by seq) - timestamp as diff from ev)) where diff <= 0 or abs(diff - period) > greatest(0.02, 8.0 * period))"
-SC = f"""{FJ}, {TG}, t as (select episode, sum(penalty) as lost, count(*) as n, count(*) filter (severity >= 80) as sv from fp group by 1), g as (select episode, count(*) as n from tg group by 1),
-sc as (select e.episode, e.len, greatest(0.0, 25.0 - least(25.0, 25.0 * coalesce(g.n, 0))) as structural, round(greatest(0.0, 15.0 - least(15.0, coalesce(t.lost, 0.0))), 2) as temporal, coalesce(g.n, 0) as ill, coalesce(t.n, 0) + coalesce(g.n, 0) as findings, coalesce(t.sv, 0) + coalesce(g.n, 0) as sv
- from (select episode, count(*) as len from ev group by 1) e left join t on t.episode = e.episode left join g on g.episode = e.episode),
-os as (select episode, findings, round(structural + temporal + 60.0, 2) as legacy_score, structural, temporal, round(20.0 - least(3.0, 0.25 * sv) - 2.0 - 2.5 - case when len < 32 then 3.0 else 0.0 end, 2) as data_value, round(10.0 - least(2.0, 0.35 * ill) - 1.0, 2) as engineering_reliability from sc),
-official as (select *, round(round(70.0 * legacy_score / 100, 2) + data_value + engineering_reliability, 2) as official_score from os)"""
+# Moves before a still gap: every one is outside the distribution, none is severe.
+CX = f"""ca as (select *, lag(frame) over (partition by episode order by seq) as fb, quantile_cont(a, 0.6) over (partition by episode) as hi, quantile_cont(b, 0.4) over (partition by episode) as lo from (select episode, frame, seq, value as a, coalesce(timestamp - lag(timestamp) over (partition by episode order by seq), 0) as b from ev)), cb as (select episode, seq, frame, coalesce(fb, frame) as fb from ca where a >= hi and b <= lo),
+cx as (select episode, round(least(15.0, 15.0 * least(85.0, 40 + 5.0 * n) / 100 * least(1.5, 1 + greatest(0, y - x) / 200.0)), 3) as penalty from ({islands_sql("cb", "episode", "seq", 1, "arg_min(fb, seq) as x, arg_max(frame, seq) as y")}) where n >= 2)"""
+SC = f"""{FJ}, {TG}, {CX}, t as (select episode, sum(cast(penalty as decimal(18, 3))) as lost, count(*) as n, count(*) filter (raw >= 50) as sv from fp group by 1), g as (select episode, count(*) as n from tg group by 1), c as (select episode, sum(cast(penalty as decimal(18, 3))) as lost, count(*) as n from cx group by 1),
+sc as (select e.episode, e.len, greatest(0.0, 25.0 - least(25.0, 25.0 * coalesce(g.n, 0))) as structural, cast(round(greatest(0.000, 15.000 - coalesce(t.lost, 0.000)), 2) as double) as temporal, cast(round(greatest(0.000, 15.000 - coalesce(c.lost, 0.000)), 2) as double) as cross_modal, coalesce(g.n, 0) as ill, coalesce(t.n, 0) + coalesce(g.n, 0) + coalesce(c.n, 0) as findings, coalesce(t.sv, 0) + coalesce(g.n, 0) as sv
+ from (select episode, count(*) as len from ev group by 1) e left join t on t.episode = e.episode left join g on g.episode = e.episode left join c on c.episode = e.episode),
+os as (select episode, findings, sv, round(structural + temporal + cross_modal + 45.0, 2) as legacy_score, structural, temporal, cross_modal, round(20.0 - least(3.0, 0.25 * sv) - 2.0 - 2.5 - case when len < 32 then 3.0 else 0.0 end, 2) as data_value, round(10.0 - least(2.0, 0.35 * ill) - 1.0, 2) as engineering_reliability from sc),
+official as (select *, round(cast(round(0.7 * cast(legacy_score as decimal(10, 2)), 2) as double) + data_value + engineering_reliability, 2) as official_score from os)"""
 
 
 def _episode_findings(spark, sf):
-    return union_findings([_fast_jumps(spark, sf), D.timestamp_steps(T.events(spark, sf), share=8.0)])
+    """Illegal steps of time, jumps of high and of doubtful confidence, and moves that only lie outside the distribution."""
+    moves = D.coincidences(_two(spark, sf), "a", "b", [], "vision_state_vision", "geometry_wrist_state_moves_visual_static", 0.6, 0.4, 2)
+    return union_findings([_fast_jumps(spark, sf), D.timestamp_steps(T.events(spark, sf), share=8.0), moves])
 
 
 def _scores(spark, sf):
@@ -667,10 +691,10 @@ def _scores(spark, sf):
     return scoring.episode_scores(episodes, _episode_findings(spark, sf))
 
 
-@query(f"with {SC} select episode, findings, cast(structural as double) as score_structural, temporal as score_temporal, legacy_score, cast(data_value as double) as data_value, cast(engineering_reliability as double) as engineering_reliability, cast(official_score as double) as official_score from official")
+@query(f"with {SC} select episode, findings, sv as severe, cast(structural as double) as score_structural, temporal as score_temporal, cross_modal as score_cross_modal, legacy_score, cast(data_value as double) as data_value, cast(engineering_reliability as double) as engineering_reliability, cast(official_score as double) as official_score from official")
 def episode_scores(spark, sf):
-    """X14, §2.10."""
-    return _scores(spark, sf).select("episode", "findings", "score_structural", "score_temporal", "legacy_score", "data_value", "engineering_reliability", "official_score")
+    """X14, A17, §2.10: severe findings are the illegal ones and jumps of 50 or more that lie within the distribution."""
+    return _scores(spark, sf).select("episode", "findings", "severe", "score_structural", "score_temporal", "score_cross_modal", "legacy_score", "data_value", "engineering_reliability", "official_score")
 
 
 @query(f"with {SC} select count(*) as episodes, cast(sum(findings) as bigint) as findings, round(avg(official_score), 2) as official_score, round(avg(legacy_score), 2) as legacy_score, min(official_score) as min_score, max(official_score) as max_score from official")
@@ -679,7 +703,9 @@ def dataset_score(spark, sf):
     return scoring.dataset_score(_scores(spark, sf)).select("episodes", "findings", "official_score", "legacy_score", "min_score", "max_score")
 
 
-@query("select * from (values ('findings_match', true), ('scores_in_range', true), ('parts_add_up', true), ('episodes_unique', true), ('no_orphans', true)) t(rule, ok)")
+@query(f"""with {SC}, fs as (select episode from fp union all select episode from tg union all select episode from cx), pe as (select episode, count(*) as n from fs group by 1)
+select 'findings_match' as rule, (select count(*) = 0 from official left join pe using (episode) where findings <> coalesce(n, 0)) as ok union all select 'scores_in_range', (select min(official_score) >= 0 and max(official_score) <= 100 from official)
+union all select 'parts_add_up', (select max(abs(official_score - 0.7 * legacy_score - data_value - engineering_reliability)) <= 0.016 from official) union all select 'episodes_unique', (select count(*) = count(distinct episode) from official) union all select 'no_orphans', (select count(*) = 0 from fs where episode not in (select episode from official))""")
 def readiness_invariants(spark, sf):
     """I21, U7."""
     f = written(_episode_findings(spark, sf), "findings")
@@ -687,13 +713,13 @@ def readiness_invariants(spark, sf):
     return gates.invariants(f, written(scoring.episode_scores(episodes, f), "scores"))
 
 
-@query(f"with {FJ}, {TG} select issue_type, n from (select 'low_dim_fast_jump' as issue_type, count(*) as n from fp union all select 'timestamp_gap_or_reorder', count(*) from tg) order by n desc, issue_type limit 10")
+@query(f"with {FJ}, {TG}, {CX} select issue_type, n from (select 'low_dim_fast_jump' as issue_type, count(*) as n from fp union all select 'timestamp_gap_or_reorder', count(*) from tg union all select 'geometry_wrist_state_moves_visual_static', count(*) from cx) order by n desc, issue_type limit 10")
 def top_issue_types(spark, sf):
     """K3, A13."""
     return top_issues(_episode_findings(spark, sf))
 
 
-@query(f"with {FJ}, {TG} select confidence, count(*) as n from (select case when raw >= 50 then '高置信异常' else '疑似异常' end as confidence from fp union all select '确定异常' from tg) group by 1")
+@query(f"with {FJ}, {TG}, {CX} select confidence, count(*) as n from (select case when raw >= 50 then '高置信异常' else '疑似异常' end as confidence from fp union all select '确定异常' from tg union all select '分布外样本' from cx) group by 1")
 def confidence_counts(spark, sf):
     """A13, F15."""
     return counts_by(_episode_findings(spark, sf), "confidence")
@@ -751,7 +777,7 @@ def status_rollup(spark, sf):
 
 
 @query(f"""with {EV}, s as (select episode, seq, {ST} as st from ev where seq < 5), n as (select episode, seq, case when st in ('ok', 'warning', 'unavailable', 'fail') then st else 'fail' end as st from s), g as (select episode, list(st) filter (seq < 2) as core, list(st) filter (seq >= 2) as more from n group by 1)
-select episode, case when list_contains(core, 'fail') then 'fail' when list_contains(core, 'unavailable') then 'unavailable' when list_contains(more, 'fail') then 'fail' when list_contains(core, 'warning') or list_contains(more, 'warning') or list_contains(more, 'unavailable') then 'warning' else 'ok' end as status from g""")
+select episode, case when list_contains(core, 'fail') then 'fail' when list_contains(core, 'unavailable') then 'unavailable' when list_contains(more, 'fail') then 'fail' when list_contains(more, 'warning') or list_contains(more, 'unavailable') then 'warning' else 'ok' end as status from g""")
 def module_status(spark, sf):
     """the first two events are the core modules, the next three the others."""
     d = T.events(spark, sf).where("seq < 5").withColumn("status", S.normalize_status(F.expr(ST)))
@@ -965,66 +991,14 @@ def clip_stats(spark, sf):
     return clips.clip_stats(T.events(spark, sf), ["event_type"], "value").select("event_type", r6("p05"), r6("median"), r6("p95"))
 
 
-# ---- images ----------------------------------------------------------------------------------------------------------
-
-
-def _frames(spark):
-    """Two episodes of forty rows with three small views, made on the spot: a moving square, and one that stops."""
-    import numpy as np
-
-    from framegauge.functions.images import encode_png
-
-    rows = []
-    for e in range(2):
-        for t in range(40):
-            views = []
-            for v in range(3):
-                x = np.full((32, 32, 3), 90 + 40 * v, np.uint8)
-                at = (t if e == 0 or t < 20 else 20) % 24
-                x[8:20, at : at + 8] = 10 + 20 * v
-                views.append({"bytes": bytearray(encode_png(x)), "path": None})
-            rows.append((e, 0, t, t, *views))
-    kind = "struct<bytes:binary,path:string>"
-    return spark.createDataFrame(rows, f"episode long, task long, seq long, frame long, image {kind}, left_wrist_image {kind}, right_wrist_image {kind}")
-
-
-VIEWS3 = ["image", "left_wrist_image", "right_wrist_image"]
-
-
-@query()
-def image_metrics(spark, sf):
-    """S12, A9, C4 on made images."""
-    f = vision.image_features(_frames(spark), VIEWS3)
-    return f.select("episode", "frame", "view", "decoded", r6("mean"), r6("std"), r6("sharpness"), "black_fraction", "white_fraction", r6("entropy"), "pixel_hash", "panel_area")
-
-
-@query()
-def image_motion(spark, sf):
-    """W4, C2."""
-    d = vision.visual_motion(vision.image_features(_frames(spark), VIEWS3))
-    return d.select("episode", "frame", "view", r6("motion"))
-
-
-@query()
-def overlap_pairs(spark, sf):
-    """C6, C7, J11."""
-    return vision.overlap_gates(vision.image_features(_frames(spark), VIEWS3))
-
+# ---- first generation: defects ---------------------------------------------------------------------------------------
 
-@query()
-def image_freeze(spark, sf):
-    """The second episode stops half way."""
-    f = vision.image_features(_frames(spark), VIEWS3)
-    return D.exact_repeats(f, "pixel_hash", ["view"], min_severity=30.0).select("episode", "view", "frame_start", "frame_end", "severity")
 
-
-@query()
-def v1_image_rules(spark, sf):
-    """D39, P9, W12."""
-    return D.v1_images(vision.image_features(_frames(spark), VIEWS3), 32, 32)
-
-
-@query()
+@query("""with t as (select cast(range as bigint) as seq, range / 10.0 as t0, sin(range / 20.0) + case when range = 80 then 5 else 0 end as x, case when range = 100 then -1 when range between 120 and 129 then 119 else range end as img from range(150)),
+u as (select *, case when seq = 50 then lag(t0) over (order by seq) + 0.8 else t0 end as ts, abs(x - 2 * lag(x) over (order by seq) + lag(x, 2) over (order by seq)) as acc, lag(seq) over (order by seq) as mid_at from t), d as (select *, lead(ts) over (order by seq) - ts as diff, lead(seq) over (order by seq) as nxt from u), m as (select quantile_cont(diff, 0.5) as e, quantile_cont(acc, 0.5) as am, mad(acc) as ad from d),
+r as (select *, sum(case when img = p then 0 else 1 end) over (order by seq) as i from (select *, lag(img) over (order by seq) as p from t))
+select cast(0 as bigint) as episode, cast(0 as bigint) as task, 'timestamp_interval' as issue_type, seq as frame_start, nxt as frame_end from d, m where diff <= 0 or abs(diff - e) > greatest(0.02, 0.25 * e)
+union all select 0, 0, 'state_continuity_spike', mid_at, mid_at from d, m where acc > greatest(am + 12 * ad, 0.25) union all select 0, 0, 'frozen_frame_run', min(seq), max(seq) from r group by i having count(*) >= 8""")
 def v1_four_defects(spark, sf):
     """The four defects in one made episode, and what the first generation's rules report."""
     d = spark.range(150).select(F.lit(0).cast("long").alias("episode"), F.lit(0).cast("long").alias("task"), F.col("id").alias("seq"), F.col("id").alias("frame"), (F.col("id") / 10).alias("timestamp"), F.array(F.sin(F.col("id") / 20)).alias("state"), F.col("id").cast("string").alias("image"))
@@ -1042,13 +1016,40 @@ def v1_four_defects(spark, sf):
 select user_id, min(ts) as "start", max(ts) + interval 12 hour as "end", count(*) as n from r group by user_id, i""")
 def stream_session_runs(spark, sf):
     """Islands on a stream: the events table read as a stream, sessions of twelve hours."""
-    import uuid
-
     from framegauge.streaming.live import session_runs
 
+    return _streamed(spark, session_runs(_event_stream(spark, sf), ["user_id"], "ts", "12 hours"), "complete")
+
+
+def _event_stream(spark, sf) -> DataFrame:
     schema = T.table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    name = f"sessions_{uuid.uuid4().hex}"
-    q = session_runs(stream, ["user_id"], "ts", "12 hours").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _streamed(spark, df: DataFrame, mode: str) -> DataFrame:
+    """What a stream gave when it had read all there is."""
+    import uuid
+
+    name = f"rows_{uuid.uuid4().hex}"
+    df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
     return spark.table(name)
+
+
+@query("""with w as (select user_id, value, unnest([cast(floor(epoch_us(ts) / 86400e6) as bigint), cast(floor(epoch_us(ts) / 86400e6) as bigint) - 1]) as d from events)
+select user_id, d as day, count(*) as n, round(avg(value), 6) as mean, min(value) as min, max(value) as max from w group by 1, 2""")
+def stream_rolling_stats(spark, sf):
+    """Sliding windows of two days, one each day, on a stream."""
+    from framegauge.streaming.live import rolling_stats
+
+    d = _streamed(spark, rolling_stats(_event_stream(spark, sf), ["user_id"], "ts", "value", "2 days", "1 day"), "complete")
+    return d.select("user_id", F.floor(F.unix_micros("start") / 86400e6).alias("day"), "n", r6("mean"), "min", "max")
+
+
+@query(f"""with {EV}, s as ({stats_sql("ev", "value", "event_type")}), z as (select event_id, value, e.event_type, median, {Z.format(v="value")} as z from events e join s on s.event_type = e.event_type)
+select event_id, event_type, value, round({score_sql("z", 4.0, 8.0)}, 6) as score from z where value > median and {score_sql("z", 4.0, 8.0)} >= 0.01""")
+def stream_outliers(spark, sf):
+    """F5 on a stream: rows joined with frozen statistics of their kind."""
+    from framegauge.streaming.live import outliers
+
+    s = robust_stats(T.events(spark, sf), ["event_type"], "value").select("event_type", F.struct(*FIELDS).alias("s"))
+    return _streamed(spark, outliers(_event_stream(spark, sf), s, ["event_type"], "value", 0.01), "append").select("event_id", "event_type", "value", r6("score"))

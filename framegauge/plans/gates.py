@@ -34,6 +34,27 @@ def preflight(summary: DataFrame) -> DataFrame:
     return summary.select("*", F.round(F.greatest(2 * F.col("bytes") / gib, F.lit(2.0)), 2).alias("disk_gib"), F.round(F.greatest(6 * F.col("largest") / gib, F.lit(2.0)), 2).alias("memory_gib"))
 
 
+def isolated(df: DataFrame, key: str, work, seconds: bool = False) -> DataFrame:
+    """``work(pandas rows)`` for every case of ``key``; a case that fails is a row with its error and stops no other:
+    ``(key, status, error)``, and the time with ``seconds``. A case's rows are one task's memory."""
+    import time
+
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(k, rows):
+        import pandas as pd
+
+        start, error = time.perf_counter(), None
+        try:
+            work(rows)
+        except Exception as e:  # noqa: BLE001 - whatever goes wrong with a case is its result
+            error = f"{type(e).__name__}: {e}"
+        out = {key: [k[0]], "status": ["ok" if error is None else "failed"], "error": [error]}
+        return pd.DataFrame(out | ({"seconds": [time.perf_counter() - start]} if seconds else {}))
+
+    return df.groupBy(key).applyInPandas(run, f"{key} {kind}, status string, error string" + ", seconds double" * seconds)
+
+
 def text_problems(text: str, forbidden: list[str], required: list[str]) -> list[str]:
     """Stale strings that a text has, and facts that it lacks."""
     return [f"has {x}" for x in forbidden if x in text] + [f"lacks {x}" for x in required if x not in text]
@@ -44,8 +65,19 @@ def ranked_findings(findings: DataFrame, k: int = 1) -> DataFrame:
     return findings.orderBy(F.desc("illegal"), F.desc("severity"), F.desc("penalty"), "finding_id").limit(k)
 
 
+def missing_files(files: DataFrame, expected: DataFrame) -> DataFrame:
+    """The ``name`` of every expected file that no ``path`` ends with."""
+    have = files.select(F.element_at(F.split("path", "/"), -1).alias("name")).distinct()
+    return expected.select("name").join(have, "name", "left_anti")
+
+
+def abnormal_episodes(findings: DataFrame) -> DataFrame:
+    """Every episode with findings and their number; a table, as there may be as many as episodes."""
+    return findings.groupBy("episode").agg(F.count("*").alias("findings"))
+
+
 def metrics(findings: DataFrame, scores: DataFrame) -> DataFrame:
     """One row: score, findings, abnormal episodes."""
-    f = findings.agg(F.count("*").alias("findings"), F.array_sort(F.collect_set("episode")).alias("abnormal_episodes"))
+    f = findings.agg(F.count("*").alias("findings"), F.count_distinct("episode").alias("abnormal_episodes"))
     s = scores.agg(F.round(F.avg("official_score"), 2).alias("score"), F.count("*").alias("episodes"))
     return s.crossJoin(F.broadcast(f))  # one row each

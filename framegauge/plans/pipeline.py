@@ -15,13 +15,14 @@ from framegauge.functions.scalars import finite, freeze_severity, lower_tail_pre
 from framegauge.functions.storage import written
 from framegauge.functions.taxonomy import INDEX_COLUMNS, LOW_DIM, VIEWS
 from framegauge.operators import detectors as D
-from framegauge.operators import lag, scoring, signals, vision
+from framegauge.operators import geometry, lag, scoring, signals, vision
 from framegauge.operators.findings import merged, union_findings, with_ids
 from framegauge.operators.islands import islands
-from framegauge.operators.statistics import robust_stats, scoped_stats, with_baseline, with_phase_baseline
+from framegauge.operators.statistics import scoped_stats, with_baseline, with_baselines, with_phase_baseline
 
 METRICS = ["mean", "std", "sharpness", "black_fraction", "white_fraction", "entropy"]
-ARM_METRICS = ["step", "speed", "accel", "omega"]
+#: What a reference knows about each arm: name -> column of ``signals.arm_features``.
+ARM_METRICS = {"position_step": "step", "linear_speed": "speed", "linear_accel": "accel", "angular_speed": "omega", "rot6d_n1": "check.n1", "rot6d_n2": "check.n2", "rot6d_sin_angle": "check.sin_angle"}
 KEYS = ["episode", "task"]
 
 
@@ -74,6 +75,7 @@ def low_dim(frames: DataFrame, columns: list[str]) -> DataFrame:
     cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), V.doubles(c).alias("vec")) for c in columns)))
     d = frames.select(*KEYS, "seq", "frame", cells.alias("_c")).select(*KEYS, "seq", "frame", "_c.*")
     k = [*KEYS, "column"]
+    d = D.with_before(d, ["column"])
     return signals.vector_accel(signals.vector_delta(d, k, "vec"), k, "vec")
 
 
@@ -82,13 +84,13 @@ def features(frames: DataFrame, cfg: Config) -> Features:
     images = None
     if views:
         images = vision.visual_motion(written(vision.image_features(frames, views), "features"))
-        images = signals.scalar_delta(images, [*KEYS, "view"], "motion", "motion_accel")
+        images = written(signals.scalar_delta(images, [*KEYS, "view"], "motion", "motion_accel"), "motions")
     columns = [c for c in LOW_DIM if c in frames.columns]
     arms = None
     if "state" in columns:
         wide = frames.select(*KEYS, "seq", "frame", V.doubles("state").alias("state")).where(F.size("state") >= 20)
-        arms = signals.arm_features(wide, KEYS, "state", fps=cfg.fps, layout=cfg.rotation_layout, min_norm=cfg.min_norm, min_sin=cfg.min_sin)
-    return Features(images, low_dim(frames, columns), arms)
+        arms = written(signals.arm_features(wide, KEYS, "state", fps=cfg.fps, layout=cfg.rotation_layout, min_norm=cfg.min_norm, min_sin=cfg.min_sin), "arms")
+    return Features(images, written(low_dim(frames, columns), "low"), arms)
 
 
 def fit_reference(frames: DataFrame, cfg: Config) -> dict[str, DataFrame]:
@@ -110,14 +112,21 @@ def fit_reference(frames: DataFrame, cfg: Config) -> dict[str, DataFrame]:
     out["phase_delta"] = written(scoped_stats(phased, ["column", "phase"], "task", "delta"), "phase_delta")
     out["phase_accel"] = written(scoped_stats(phased, ["column", "phase"], "task", "accel"), "phase_accel")
     if f.arms is not None:
-        long = f.arms.select(*KEYS, "arm", F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in ARM_METRICS))).alias("_m")).select(*KEYS, "arm", "_m.*")
-        out["arms"] = written(scoped_stats(long, ["arm", "metric"], "task", "value"), "arms")
+        out["arms"] = written(scoped_stats(arm_values(f.arms), ["arm", "metric"], "task", "value"), "arms")
     if cfg.state_frame_mode == "common_world" and "state" in frames.columns:
         wide = frames.select(*KEYS, "seq", "frame", V.doubles("state").alias("state")).where(F.size("state") >= 20)
-        out["drift"] = written(scoped_stats(signals.bimanual(wide, KEYS, layout=cfg.rotation_layout), [], "task", "drift"), "drift")
+        both = signals.bimanual(wide, KEYS, layout=cfg.rotation_layout)
+        out["drift"] = written(scoped_stats(both, [], "task", "drift"), "drift")
+        out["distance"] = written(scoped_stats(both, [], "task", "distance"), "distance")
     return out
 
 
+def arm_values(arms: DataFrame) -> DataFrame:
+    """A row per row, arm and metric with a finite value."""
+    long = arms.select(*KEYS, "arm", F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in ARM_METRICS.items()))).alias("_m"))
+    return long.select(*KEYS, "arm", "_m.*").where(finite("value"))
+
+
 def with_phases(low: DataFrame, delta_stats: DataFrame, cfg: Config) -> DataFrame:
     """The state's transitions with their phase."""
     d = with_baseline(low.where("column = 'state' and delta is not null"), delta_stats, ["column"], "task")
@@ -141,11 +150,9 @@ def inspect_indices(frames: DataFrame, cfg: Config) -> list[DataFrame]:
 def inspect_images(f: Features, base: dict[str, DataFrame], cfg: Config) -> list[DataFrame]:
     """X4, X5."""
     images = f.images
-    d = images.where("decoded")
-    stats = {}
-    for m in METRICS[:3] + ["entropy"]:
-        d = with_baseline(d, base["image_metrics"].where(F.col("metric") == m).drop("metric"), ["view"], "task", f"s_{m}")
-        stats[m] = F.col(f"s_{m}")
+    names = {m: f"s_{m}" for m in [*METRICS[:3], "entropy"]}
+    d = with_baselines(images.where("decoded"), base["image_metrics"], ["view"], "task", "metric", names)
+    stats = {m: F.col(n) for m, n in names.items()}
     t = with_baseline(with_baseline(images, base["image_motion"], ["view"], "task", "sm"), base["image_accel"], ["view"], "task", "sa")
     low = D.static_threshold(F.col("sm"))
     v = ["view"]
@@ -193,15 +200,25 @@ def inspect_geometry(frames: DataFrame, f: Features, base: dict[str, DataFrame],
         drift = signals.bimanual(wide, KEYS, layout=cfg.rotation_layout)
         out.append(D.distance_drifts(with_baseline(drift, base["drift"], [], "task")))
     if f.images is not None:
-        view = F.when(F.col("arm") == "left", "left_wrist_image").otherwise("right_wrist_image")
-        moves = f.arms.select(*k, "seq", "frame", "speed", view.alias("view")).join(f.images.select("episode", "view", "seq", "motion"), ["episode", "view", "seq"])
-        few = vision.duplicate_fraction(f.images).where("duplicate_fraction < 0.35").select("episode", "view")
-        moves = moves.where("speed is not null and motion is not null").join(few, ["episode", "view"], "left_semi")
+        moves = wrist_moves(f, cfg)
         out.append(D.coincidences(moves, "speed", "motion", ["view"], "vision_state_vision", "geometry_wrist_state_moves_visual_static", min_run=cfg.min_run))
         out.append(D.coincidences(moves, "motion", "speed", ["view"], "state_vision_state", "geometry_wrist_visual_moves_state_static", min_run=cfg.min_run))
     return out
 
 
+def wrist_moves(f: Features, cfg: Config) -> DataFrame:
+    """An arm's speed beside its wrist view's motion, where the view is usable and both have enough values, with the
+    answer of the lag gate (W21), which is evidence and rejects nothing."""
+    view = F.when(F.col("arm") == "left", geometry.WRIST_VIEWS["left"]).otherwise(geometry.WRIST_VIEWS["right"])
+    moves = f.arms.select(*KEYS, "seq", "frame", "speed", view.alias("view")).join(f.images.select("episode", "view", "seq", "motion"), ["episode", "view", "seq"])
+    usable = geometry.view_statuses(f.images).where("status = 'ok'").select("episode", "view")
+    moves = written(moves.where("speed is not null and motion is not null").join(usable, ["episode", "view"], "left_semi"), "moves")
+    many = moves.groupBy("episode", "view").agg(F.count(F.when(finite("speed"), 1)).alias("_s"), F.count(F.when(finite("motion"), 1)).alias("_m"))
+    gate = lag.identifiable_lag(moves, ["episode", "view"], cfg.max_lag, cfg.lag_window, cfg.lag_step, a="motion", b="speed")
+    many = many.where((F.col("_s") >= cfg.min_run) & (F.col("_m") >= cfg.min_run)).join(gate.select("episode", "view", F.col("identifiable").alias("lag_gate"), F.col("best_lag").alias("lag")), ["episode", "view"], "left")
+    return moves.join(many.drop("_s", "_m"), ["episode", "view"])
+
+
 def pressures(f: Features, base: dict[str, DataFrame]) -> DataFrame:
     """Soft pressures of an episode against the reference: (episode, dimension, pressure)."""
     out = []
@@ -215,12 +232,15 @@ def pressures(f: Features, base: dict[str, DataFrame]) -> DataFrame:
         return g.select("episode", F.lit("temporal").alias("dimension"), (weight * upper_tail_pressure("v", F.col("s"), "p99")).alias("pressure"))
 
     if f.images is not None:
+        points, tests = [], []
         for m in METRICS:
             q = {"mean": 0.5, "black_fraction": 0.95, "white_fraction": 0.95}.get(m, 0.05)
             test = {"mean": two_sided_tail_pressure, "black_fraction": upper_tail_pressure, "white_fraction": upper_tail_pressure}.get(m, lower_tail_pressure)
-            g = f.images.where("decoded").groupBy(*KEYS, "view").agg(F.percentile(m, F.lit(q)).alias("v"))
-            g = with_baseline(g, base["image_metrics"].where(F.col("metric") == m).drop("metric"), ["view"], "task")
-            out.append(g.select("episode", F.lit("vision_single").alias("dimension"), test("v", F.col("s")).alias("pressure")))
+            points.append(F.percentile(m, F.lit(q)).alias(f"v_{m}"))
+            tests.append(F.struct(test(f"v_{m}", F.col(f"s_{m}")).alias("pressure")))
+        g = f.images.where("decoded").groupBy(*KEYS, "view").agg(*points)
+        g = with_baselines(g, base["image_metrics"], ["view"], "task", "metric", {m: f"s_{m}" for m in METRICS})
+        out.append(g.select("episode", F.lit("vision_single").alias("dimension"), F.explode(F.array(*tests)).alias("_t")).select("episode", "dimension", "_t.pressure"))
         t = with_baseline(with_baseline(f.images, base["image_motion"], ["view"], "task", "sm"), base["image_accel"], ["view"], "task", "sa")
         out += [peak(t, "motion", "sm", ["view"], 0.5), peak(t, "motion_accel", "sa", ["view"], 0.75), longest_static(t.withColumns({"_v": F.col("motion"), "_low": D.static_threshold(F.col("sm"))}), ["view"])]
     d = with_baseline(with_baseline(f.low.where("column = 'state'"), base["delta"], ["column"], "task", "sd"), base["accel"], ["column"], "task", "sa")
@@ -251,41 +271,21 @@ def inspect(frames: DataFrame, base: dict[str, DataFrame], cfg: Config, episodes
         parts.append(D.length_mismatch(known))
     if unread is not None:
         parts.append(D.unreadable_files(unread))
+        known = known.join(unread.select("episode").where("episode is not null").distinct(), "episode", "full")
     found = written(merged(with_ids(union_findings(parts))), "findings")
     phases = with_phases(f.low, base["delta"], cfg)
     seg = phases.groupBy("episode").agg(F.first("phase_status").alias("phase_status"), F.count_distinct(F.when(F.col("phase") != "unknown", F.col("phase"))).alias("segments"))
     facts = known.select("episode", "task", F.coalesce("rows", F.lit(0)).alias("length")).join(seg, "episode", "left").withColumn("phase_status", F.coalesce("phase_status", F.lit("unavailable")))
     missing = set(expected) - set(frames.columns)
-    unavailable = (cfg.state_frame_mode != "common_world") + (f.images is None)
-    facts = facts.withColumns({"missing_state": F.lit(len(missing & set(LOW_DIM))), "missing_views": F.lit(len(missing & set(cfg.views))), "geometry_unavailable": F.lit(unavailable), "geometry_fail": F.lit(0), "geometry_status": F.lit("warning" if unavailable else "ok"), "module_statuses": F.array(*[F.lit("unavailable")] * unavailable).cast("array<string>")})
+    statuses = geometry.geometry_statuses(geometry.core_statuses(frames), geometry.view_statuses(f.images) if f.images is not None else None, cfg.state_frame_mode == "common_world")
+    facts = facts.withColumns({"missing_state": F.lit(len(missing & set(LOW_DIM))), "missing_views": F.lit(len(missing & set(cfg.views)))}).join(statuses.drop("core_status"), "episode", "left")
+    # an episode without rows never came to the geometry: no module is judged
+    facts = facts.withColumns({"geometry_status": F.coalesce("geometry_status", F.lit("ok")), "module_statuses": F.coalesce("module_statuses", F.array().cast("array<string>")), "geometry_unavailable": F.coalesce("geometry_unavailable", F.lit(0)), "geometry_fail": F.coalesce("geometry_fail", F.lit(0))})
     soft = scoring.soft_penalties(pressures(f, base), ["episode"])
     scores = written(scoring.episode_scores(facts, found, soft), "scores")
     return Result(found, scores, scoring.dataset_score(scores))
 
 
-def coupling_report(frames: DataFrame, reference: DataFrame, cfg: Config) -> DataFrame:
-    """Weak spatial findings from the coupling of the arms' speed with the main view's motion."""
-    main = cfg.views[0]
-
-    def couplings(d: DataFrame) -> DataFrame:
-        f = features(d, replace(cfg, views=(main,)))
-        speed = f.arms.groupBy(*KEYS, "seq").agg(F.max("speed").alias("state"), F.max("frame").alias("frame"))
-        both = speed.join(f.images.select("episode", "seq", F.col("motion").alias("visual")), ["episode", "seq"]).where("state is not null or visual is not null")
-        return both
-
-    target, ref = couplings(frames), couplings(reference)
-    c, r = lag.coupling(target, KEYS, max_lag=cfg.max_lag), written(lag.coupling(ref, KEYS, max_lag=cfg.max_lag), "coupling")
-    one = lambda column: F.broadcast(robust_stats(r, [], column).select(F.struct("*").alias("s")))  # noqa: E731  a single row
-    quiet = robust_stats(ref, [], "visual").select(F.col("p05").alias("_low"))
-    fast = robust_stats(ref, [], "state").select(F.col("p95").alias("_high"))
-    watched = target.crossJoin(F.broadcast(quiet)).crossJoin(F.broadcast(fast))
-    return with_ids(union_findings([
-        D.decoupled(c.crossJoin(one("best_abs_correlation"))),
-        D.activity_mismatch(c.crossJoin(one("state_active_visual_quiet_fraction")), "state_active_visual_quiet_fraction"),
-        D.camera_freeze(watched, "state", "visual", F.col("_high"), F.col("_low"), cfg.min_run),
-    ]), "P1F")
-
-
 def run(target: str, reference: str, spark, cfg: Config | None = None, allow_same: bool = False) -> Result:
     """Two dataset folders; calibrating and inspecting the same one must be asked for."""
     from framegauge.sources.episodes import load_dataset, unread_files

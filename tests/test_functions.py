@@ -43,7 +43,7 @@ def test_penalty(spark):
     assert (r.a, r.b, r.c, r.d, r.e) == (15.0, 13.0, 20.0, 10.0, 10.0)
 
 
-@pytest.mark.parametrize(("core", "others", "want"), [(["ok"], ["ok"], "ok"), (["ok"], ["unavailable"], "warning"), (["warning"], ["ok"], "warning"), (["ok"], ["fail"], "fail"), (["unavailable"], ["fail"], "unavailable"), (["fail", "unavailable"], ["ok"], "fail")])
+@pytest.mark.parametrize(("core", "others", "want"), [(["ok"], ["ok"], "ok"), (["ok"], ["unavailable"], "warning"), (["warning"], ["ok"], "ok"), (["ok"], ["fail"], "fail"), (["unavailable"], ["fail"], "unavailable"), (["fail", "unavailable"], ["ok"], "fail")])
 def test_status_table(spark, core, others, want):
     lit = lambda x: F.array(*map(F.lit, x))
     assert one(spark, s=S.aggregate_status(lit(core), lit(others))).s == want
@@ -95,3 +95,88 @@ def test_png_filters():
         before = cur
     png = b"\x89PNG\r\n\x1a\n" + I._chunk(b"IHDR", struct.pack(">IIBBBBB", 4, 5, 8, 2, 0, 0, 0)) + I._chunk(b"IDAT", zlib.compress(b"".join(rows))) + I._chunk(b"IEND", b"")
     assert (I.decode(png) == x).all()
+
+
+def test_resized_gray():
+    g = np.arange(64, dtype=np.uint8).reshape(8, 8)
+    assert (I.resize_gray(g, 8) == g).all() and (I.resize_gray(g, 4)[0] == [5, 7, 9, 11]).all()
+    half = I.resize_gray(np.repeat(np.repeat(g, 3, 0), 3, 1), 8)
+    assert (half == g).all() and I.resize_gray(np.zeros((10, 40), np.uint8), 7).shape == (2, 7)
+
+
+def test_clips_read_back():
+    rng = np.random.default_rng(3)
+    frames = [rng.integers(0, 256, (9, 14, 3), dtype=np.uint8) for _ in range(5)]
+    assert all((a == b).all() for a, b in zip(I.avi_frames(I.avi(frames)), frames, strict=True))
+    b = I.board(frames, 2, 1, [False, True, False, False, False])
+    assert b.shape == (33, 32, 3) and (b[1:10, 1:15] == frames[0]).all() and (b[0, 16] == [255, 0, 0]).all() and (b[0, 0] == 255).all()
+    with pytest.raises(ValueError):
+        I.avi([frames[0], frames[1][:5]])
+
+
+def unpacked_gif(data):
+    """The pixels of each image of a GIF with a full palette, by the plain rules of its codes."""
+    w, h = int.from_bytes(data[6:8], "little"), int.from_bytes(data[8:10], "little")
+    palette = np.frombuffer(data[13 : 13 + 768], np.uint8).reshape(256, 3)
+    at, out = data.index(b"\x2c", 13 + 768 + 19), []
+    while data[at : at + 1] == b"\x2c":
+        at += 11
+        body = b""
+        while data[at]:
+            body, at = body + data[at + 1 : at + 1 + data[at]], at + 1 + data[at]
+        bits, table, width, before, pixels, held, n = 0, {}, 9, None, bytearray(), 0, 0
+        table = {i: bytes([i]) for i in range(256)}
+        size = 258
+        for byte in body:
+            held |= byte << n
+            n += 8
+            while n >= width:
+                code, held, n = held & ((1 << width) - 1), held >> width, n - width
+                if code == 256:
+                    table, size, width, before = {i: bytes([i]) for i in range(256)}, 258, 9, None
+                    continue
+                if code == 257:
+                    break
+                run = table[code] if code in table else before + before[:1]
+                pixels += run
+                if before is not None and size < 4096:
+                    table[size] = before + run[:1]
+                    size += 1
+                    if size == 1 << width and width < 12:
+                        width += 1
+                before = run
+        out.append(palette[np.frombuffer(bytes(pixels), np.uint8)].reshape(h, w, 3))
+        at += 1 + 8
+        if data[at - 8 : at - 7] == b"\x3b":
+            break
+    return out
+
+
+def test_gif_reads_back():
+    rng = np.random.default_rng(4)
+    frames = [(rng.integers(0, 6, (70, 90, 3)) * 51).astype(np.uint8) for _ in range(3)]
+    got = unpacked_gif(I.gif(frames))
+    assert len(got) == 3 and all((a == b).all() for a, b in zip(got, frames, strict=True))
+
+
+def test_tracks_panels_overlaps():
+    from framegauge.functions import tracks as K
+    from framegauge.plans.catalog_images import _texture
+
+    a = _texture(1)
+    for shift in (1, 3, 6):
+        r = K.track_motion(a.astype(np.uint8), np.roll(a, shift, 0).astype(np.uint8))
+        assert abs(r["motion"] - shift) < 0.1 and r["inliers"] >= 20
+    assert K.track_motion(np.zeros((40, 40), np.uint8), np.zeros((40, 40), np.uint8))["motion"] is None
+    assert K.track_motion(a.astype(np.uint8), a[:50].astype(np.uint8))["motion"] is None
+    box = np.full((96, 128), 225, np.uint8)
+    assert K.panel(box) is None
+    box[10:80, 20:120] = 30
+    p = K.panel(box)
+    assert abs(p["cx"] - 69.5) < 1 and abs(p["cy"] - 44.5) < 1 and abs(p["aspect"] - 100 / 70) < 0.05
+    same, other = K.overlap(a.astype(np.uint8), np.roll(a, 4, 1).astype(np.uint8)), K.overlap(a.astype(np.uint8), _texture(9).astype(np.uint8))
+    assert same["inliers"] >= 0.8 * same["matches"] >= 8 and same["coverage"] > 0.5 and other["inliers"] == 0
+    label = K.regions(np.array([[1, 0, 1], [0, 1, 0], [0, 0, 0], [1, 1, 0]], bool))
+    assert label[0, 0] == label[0, 2] == label[1, 1] != label[3, 0] == label[3, 1]
+    (cx, cy), sides, _ = K.least_box(np.array([[0, 0], [4, 0], [4, 2], [0, 2], [2, 1]]))
+    assert (cx, cy) == (2, 1) and sorted(sides) == [2, 4]
