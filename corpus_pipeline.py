@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from framegauge.llm import decontaminate, mixing, near_dedup, quality, sharding
-from framegauge.llm.common import written
+from framegauge.llm.common import discard, written
+from framegauge.llm.queries import pipeline_sql
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +34,14 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality_rules), ("near-dedup", near_duplicates), ("decontamination", decontamination), ("mixing", source_mixing), ("sharding", shards)]
 
-#: The rows hang on 64-bit hashes only in near-dedup's candidates; tests/llm compare the whole run with brute force.
-ORACLE_SQL = None
+ORACLE_SQL = pipeline_sql()
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
