@@ -37,7 +37,6 @@ ALLOW = [
     r"EXAMPLE|example|xxxx|XXXX",
     r"0123456789|123456789|abcdefghij",
 ]
-KINDS = [*BASE, *CLASSES]
 #: Candidates split at / _ - as well: each piece is judged by its own character class and against ``ALLOW`` on its own.
 PIECE = r"[A-Za-z0-9+]{20,}"
 #: kind -> (pattern of the whole piece, alphabet, least entropy in bits of some window); the first class that fits counts.
@@ -47,8 +46,11 @@ PIECE_CLASSES = {
     "single_case_piece": ("^([0-9a-z]+|[0-9A-Z]+)$", "abcdefghijklmnopqrstuvwxyz0123456789", 3.3),
     "base64_piece": ("", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+", 3.5),
 }
+KINDS = [*BASE, *CLASSES, *PIECE_CLASSES]
 #: A piece without digits that changes case like this (two inner runs of capitals) is no run of words.
 _MIXED = "[a-z][A-Z]{2,}[a-z].*[A-Z]{2}"
+#: A piece that matches this is never reported: the patterns of ``ALLOW`` without the one for words.
+SAMPLE = "|".join(ALLOW[1:])
 _SCALE = 1_000_000
 #: c * log2(c), scaled to whole numbers, for every count that a window can hold.
 XLOGX = [round(_SCALE * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
@@ -105,7 +107,7 @@ def _least_sum(value: Column, alphabet: str) -> Column:
 
 
 def _pieces(text: Column) -> Column:
-    """Array of (start, end, kind, value) of the pieces that pass for their character class."""
+    """Array of (start, order, end, kind, value) of the pieces that pass for their character class."""
     order = list(PIECE_CLASSES)
 
     def high(x):
@@ -120,24 +122,24 @@ def _pieces(text: Column) -> Column:
         out = F.lit(order[-1])
         for name in reversed(order[:-1]):
             out = F.when(x["value"].rlike(PIECE_CLASSES[name][0]), F.lit(name)).otherwise(out)
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), out.alias("kind"), x["value"].alias("value"))
+        place = F.array_position(F.array(*map(F.lit, KINDS)), out).cast("int") - 1
+        return F.struct(x["start"].alias("start"), place.alias("order"), x["end"].alias("end"), out.alias("kind"), x["value"].alias("value"))
 
-    sample = "|".join(ALLOW[1:])
-    judged = lambda x: (x["value"].rlike("[0-9]") | x["value"].rlike(_MIXED)) & ~x["value"].rlike(sample)
+    judged = lambda x: (x["value"].rlike("[0-9]") | x["value"].rlike(_MIXED)) & ~x["value"].rlike(SAMPLE)
     found = F.filter(_spans(text, PIECE, "hex_entropy"), judged)
     return F.transform(F.filter(found, high), named)
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with n_assign, n_access, n_hex (long), base_spans, spans and piece_spans (arrays of start, end, kind, value).
+    """``docs`` with n_assign, n_access, n_hex (long), base_spans and spans (arrays of start, end, kind, value).
 
-    ``spans`` judges whole runs, joined over / _ -, by two classes, as the query's SQL does; ``piece_spans`` judges what
-    stands between / _ - by its own class and finds keys that the run around them hides.
+    Beside the base kinds, spans has whole runs, joined over / _ -, judged by two classes, and the pieces between / _ -,
+    each judged by its own class and against the allow-list on its own, so that the run around a key doesn't hide it.
 
     Spans are ordered by start, then by kind in the order of ``KINDS``; a string may be reported as several kinds. A
     null text counts as empty and has no spans. Repeated rows are scanned one by one; an empty table gives no rows;
     columns of the input with the new names are replaced."""
-    names = [*(f"n_{kind}" for kind in BASE), "base_spans", "spans", "piece_spans"]
+    names = [*(f"n_{kind}" for kind in BASE), "base_spans", "spans"]
     df = packed(docs, names, _text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
     text = F.col("_text")
     df = df.withColumns({f"_{kind}": _spans(text, _QUICK.get(kind, pattern), kind, group, 0 if kind in _QUICK else least) for kind, (pattern, group, least) in BASE.items()} | {"_cand": _spans(text, CANDIDATE, "hex_entropy")})
@@ -148,10 +150,11 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     is_hex = lambda x: x["value"].rlike("^[0-9A-Fa-f]+$")
     df = df.withColumn("_hexes", F.filter("_cand", lambda x: is_hex(x) & (_least_sum(F.lower(x["value"]), hex_abc) <= most_repeated(hex_bits))))
     df = df.withColumn("_b64s", F.filter("_cand", lambda x: ~is_hex(x) & (_least_sum(x["value"], b64_abc) <= most_repeated(b64_bits))))
+    df = df.withColumn("_pieces", _pieces(text))
     base = F.array_sort(F.concat("_assign", "_access", "_hex"))
-    every = F.array_sort(F.concat("_assign", "_access", "_hex", F.transform("_hexes", lambda x: renamed(x, hex_kind)), F.transform("_b64s", lambda x: renamed(x, b64_kind))))
+    every = F.array_sort(F.concat("_assign", "_access", "_hex", "_pieces", F.transform("_hexes", lambda x: renamed(x, hex_kind)), F.transform("_b64s", lambda x: renamed(x, b64_kind))))
     plain = lambda a: F.transform(a, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["value"].alias("value")))
-    df = df.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE} | {"base_spans": plain(base), "spans": F.when(F.monotonically_increasing_id() >= 0, plain(every)), "piece_spans": _pieces(text)})
+    df = df.withColumns({f"n_{kind}": F.size(f"_{kind}").cast("long") for kind in BASE} | {"base_spans": plain(base), "spans": F.when(F.monotonically_increasing_id() >= 0, plain(every))})
     return df.select("_row.*", *names)
 
 
