@@ -3,7 +3,8 @@
 Every assistant turn is an example: all turns before it are its context and only its reply is trainable. Written out,
 the examples of one conversation grow with the square of its length, so ``format_turns`` keeps them as references: a
 row per turn with its piece of the conversation's formatted text, and for assistant turns the example's number, the
-length of its context and the span of its reply in that text. ``full_examples`` writes examples out.
+length of its context and the span of its reply in that text. ``full_examples`` writes examples out; ``digests`` reads each
+of them as well, all turns before the reply included, by a digest that is carried along the conversation.
 
 A turn is ``### role: text </turn>\\n``. In roles and texts a backslash goes before every backslash, before each ``#``
 of ``###`` and after the ``<`` of ``</turn>``; in roles before every colon too. Taking each backslash away and keeping
@@ -114,37 +115,41 @@ def full_examples(turns: DataFrame) -> DataFrame:
 
 def digests(turns: DataFrame) -> DataFrame:
     """What each conversation says, read back from its formatted text: ``(conv_id, n_turns, n_examples, turns_sha256,
-    loss_chars, loss_sha256, formatted_chars)``. ``turns`` comes straight from ``format_turns``; the digests grow as
-    the pieces stream by."""
+    loss_chars, loss_sha256, examples_sha256, formatted_chars)``. ``turns`` comes straight from ``format_turns``; the digests
+    grow as the pieces stream by. examples_sha256 is the digest of the digests of all examples' texts, context and reply,
+    as hex digits joined by commas."""
 
     def run(batches):
-        conv, n, k, size, said, chars, loss = None, 0, 0, 0, None, 0, None
+        conv, n, k, size, said, chars, loss, whole, examples = None, 0, 0, 0, None, 0, None, None, None
         done = []
         for batch in batches:
             for r in batch.to_pylist():
                 if r["turn_no"] == 0:
                     if said is not None:
-                        done.append((conv, n, k, said.hexdigest(), chars, loss.hexdigest(), size))
-                    conv, n, k, size, said, chars, loss = r["conv_id"], 0, 0, 0, hashlib.sha256(), 0, hashlib.sha256()
+                        done.append((conv, n, k, said.hexdigest(), chars, loss.hexdigest(), examples.hexdigest(), size))
+                    conv, n, k, size, chars = r["conv_id"], 0, 0, 0, 0
+                    said, loss, whole, examples = (hashlib.sha256() for _ in range(4))
                 role, text = read_turn(r["piece"])
                 said.update(f"{role}\n{text}\n".encode())
+                whole.update(r["piece"].encode())
                 n, size = n + 1, size + len(r["piece"])
                 if r["example"] is not None:
                     reply = unescape(r["piece"][r["loss_start"] - r["start"] : r["loss_end"] - r["start"]])
                     loss.update(reply.encode())
+                    examples.update(("," * (k > 0) + whole.hexdigest()).encode())
                     k, chars = k + 1, chars + len(reply)
             if len(done) >= 1000:
                 yield _rows(done)
                 done = []
         if said is not None:
-            done.append((conv, n, k, said.hexdigest(), chars, loss.hexdigest(), size))
+            done.append((conv, n, k, said.hexdigest(), chars, loss.hexdigest(), examples.hexdigest(), size))
         if done:
             yield _rows(done)
 
-    names = ["conv_id", "n_turns", "n_examples", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    names = ["conv_id", "n_turns", "n_examples", "turns_sha256", "loss_chars", "loss_sha256", "examples_sha256", "formatted_chars"]
 
     def _rows(rows):
         cols = list(zip(*rows, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k in (3, 5) else pa.int64()) for k, v in enumerate(cols)], names)
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k in (3, 5, 6) else pa.int64()) for k, v in enumerate(cols)], names)
 
     return turns.mapInArrow(run, ", ".join(f"{k} {'string' if 'sha' in k else 'long'}" for k in names))

@@ -19,20 +19,26 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), n=2, percent=80)
 
 
-OP1_SQL = r"""
-with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from documents),
-s as (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) = 1 then [ws[1]] else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) end) as sh from w),
+def near_dedup_sql(n: int, table: str = "documents") -> str:
+    """Components of n-word shingle sets by all pairs that share a shingle."""
+    grams = " || ' ' || ".join(f"ws[i + {k}]" for k in range(n))
+    return rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws from {table}),
+s as (select doc_id, list_distinct(case when len(ws) = 0 then [] when len(ws) < {n} then [array_to_string(ws, ' ')] else list_transform(range(1, len(ws) - {n - 2}), lambda i: {grams}) end) as sh from w),
 n as (select doc_id, len(sh) as n from s),
 t as (select doc_id, unnest(sh) as sh from s),
 p as (select a.doc_id as a, b.doc_id as b, count(*) as k from t a join t b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
 e as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * k >= 80 * (na.n + nb.n - k)),
 u as (select a, b from e union all select b, a from e),
-r as (select doc_id as id, doc_id as c from documents union select u.b, r.c from r join u on u.a = r.id)
+r as (select doc_id as id, doc_id as c from {table} union select u.b, r.c from r join u on u.a = r.id)
 select n.doc_id, cast(n.n as bigint) as n_shingles, m.c as component_id, n.doc_id = m.c as kept
 from n join (select id, min(c) as c from r group by id) m on m.id = n.doc_id
 """
 
 
+OP1_SQL = near_dedup_sql(2)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the archives and the index, then asks the index for the captures of every page's url and reads their ranges."""
     pages, path = _table(spark, sf_dir, "pages"), f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -59,21 +65,25 @@ def _op3_sql() -> str:
     """One list of matches per kind with summed positions; windows counted from scratch."""
     quoted = lambda x: x.replace("'", "''")
     found = lambda kind, pattern, group, least: f"select doc_id, t, '{kind}' as kind, {secrets.KINDS.index(kind) if kind in secrets.KINDS else 9} as o, regexp_extract_all(t, '{quoted(pattern)}') as hits, regexp_extract_all(t, '{quoted(pattern)}', {group}) as counted, regexp_split_to_array(t, '{quoted(pattern)}') as gaps, {least} as least from d"
-    kinds = [found(k, *secrets.BASE[k]) for k in secrets.BASE] + [found("candidate", secrets.CANDIDATE, 0, 0)]
+    kinds = [found(k, *secrets.BASE[k]) for k in secrets.BASE] + [found("candidate", secrets.CANDIDATE, 0, 0), found("piece", secrets.PIECE, 0, 0)]
     allow = " or ".join(f"regexp_matches(v, '{quoted(p)}')" for p in secrets.ALLOW)
     table = "[" + ", ".join(map(str, secrets.XLOGX)) + "]"
     hex_kind, b64_kind = secrets.CLASSES
+    (hex_piece, (hex_pattern, *_)), (one_case, (one_pattern, *_)), (mixed, _) = secrets.PIECE_CLASSES.items()
+    bits = {k: v[-1] for k, v in (secrets.CLASSES | secrets.PIECE_CLASSES).items()}
+    limit = "case kind " + " ".join(f"when '{k}' then {secrets.most_repeated(b)}" for k, b in bits.items()) + " end"
     return f"""
 with d as (select doc_id, coalesce(text, '') as t from documents),
 m as ({" union all ".join(kinds)}),
 p as (select doc_id, kind, o, least, counted, hits, gaps, unnest(range(1, len(hits) + 1)) as i from m),
 s as (select doc_id, kind, o, hits[i] as v, length(counted[i]) >= least as good, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as a from p),
-b as (select doc_id, kind, o, a, a + length(v) as e from s where kind <> 'candidate' and good),
-c as (select doc_id, a, v, a + length(v) as e, regexp_matches(v, '^[0-9A-Fa-f]+$') as hexed from s where kind = 'candidate' and not ({allow})),
-x as (select doc_id, a, e, hexed, w, unnest(string_split(substr(case when hexed then lower(v) else v end, w, {secrets.WINDOW}), '')) as ch from (select *, unnest(range(1, length(v) - {secrets.WINDOW - 2})) as w from c)),
-y as (select doc_id, a, e, hexed, w, count(*) as k from x group by doc_id, a, e, hexed, w, ch),
-z as (select doc_id, a, e, hexed, sum({table}[k + 1]) as q from y group by doc_id, a, e, hexed, w),
-h as (select doc_id, case when hexed then '{hex_kind}' else '{b64_kind}' end as kind, case when hexed then {secrets.KINDS.index(hex_kind)} else {secrets.KINDS.index(b64_kind)} end as o, a, e from z group by doc_id, a, e, hexed having min(q) <= case when hexed then {secrets.most_repeated(secrets.CLASSES[hex_kind][1])} else {secrets.most_repeated(secrets.CLASSES[b64_kind][1])} end),
+b as (select doc_id, kind, o, a, a + length(v) as e from s where kind not in ('candidate', 'piece') and good),
+c as (select doc_id, a, v, case when regexp_matches(v, '^[0-9A-Fa-f]+$') then '{hex_kind}' else '{b64_kind}' end as kind from s where kind = 'candidate' and not ({allow})
+ union all select doc_id, a, v, case when regexp_matches(v, '{hex_pattern}') then '{hex_piece}' when regexp_matches(v, '{one_pattern}') then '{one_case}' else '{mixed}' end from s where kind = 'piece' and (regexp_matches(v, '[0-9]') or regexp_matches(v, '{secrets._MIXED}')) and not regexp_matches(v, '{secrets.SAMPLE}')),
+x as (select doc_id, a, kind, a + length(v) as e, w, unnest(string_split(substr(case when kind in ('{hex_kind}', '{hex_piece}', '{one_case}') then lower(v) else v end, w, {secrets.WINDOW}), '')) as ch from (select *, unnest(range(1, length(v) - {secrets.WINDOW - 2})) as w from c)),
+y as (select doc_id, a, e, kind, w, count(*) as k from x group by doc_id, a, e, kind, w, ch),
+z as (select doc_id, a, e, kind, sum({table}[k + 1]) as q from y group by doc_id, a, e, kind, w),
+h as (select doc_id, kind, list_position({secrets.KINDS}, kind) - 1 as o, a, e from z group by doc_id, a, e, kind having min(q) <= {limit}),
 j as (select doc_id, string_agg(kind || ':' || a || ':' || e, ',' order by a, o) as text, count(*) filter (kind = 'assign') as n1, count(*) filter (kind = 'access') as n2, count(*) filter (kind = 'hex') as n3 from b group by doc_id),
 k as (select doc_id, string_agg(kind || ':' || a || ':' || e, ',' order by a, o) as text from (select * from b union all select * from h) group by doc_id)
 select d.doc_id, coalesce(n1, 0) as n_assign, coalesce(n2, 0) as n_access, coalesce(n3, 0) as n_hex, sha256(coalesce(j.text, '')) as base_sha256, coalesce(k.text, '') as spans
@@ -85,15 +95,18 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    return chat.digests(chat.format_turns(rows.union(more))).drop("n_examples")
+    return chat.digests(chat.format_turns(rows.union(more)))
 
 
 OP4_SQL = r"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
-e as (select *, replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>') as body from c)
-select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+e as (select *, replace(replace(replace(text, '\', '\\'), '###', '\#\#\#'), '</turn>', '<\/turn>') as body from c),
+p as (select conv_id, list('### ' || role || ': ' || body || ' </turn>' || chr(10) order by turn, role, text) as pieces, list(role order by turn, role, text) as roles from e group by conv_id),
+x as (select conv_id, list_transform(list_filter(range(1, len(roles) + 1), lambda i: roles[i] = 'assistant'), lambda i: sha256(array_to_string(pieces[1:i], ''))) as shas from p),
+t as (select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars, sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
- cast(sum(length(role) + length(body) + 15) as bigint) as formatted_chars from e group by conv_id
+ cast(sum(length(role) + length(body) + 15) as bigint) as formatted_chars from e group by conv_id)
+select t.*, len(shas) as n_examples, sha256(array_to_string(shas, ',')) as examples_sha256 from t join x on x.conv_id = t.conv_id
 """
 
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -219,6 +232,18 @@ def queries() -> dict:
     return {f.__name__: f for f in _QUERIES}
 
 
+def pipeline_sql() -> str:
+    """The stages of the corpus pipeline one after the other, each on what the one before it kept."""
+    on = lambda sql, table: sql.replace("from documents", f"from {table}")
+    return f"""
+with s1 as materialized (select * from documents where doc_id in (select doc_id from ({OP6_SQL}) where kept)),
+s2 as materialized (select * from s1 where doc_id in (select doc_id from ({near_dedup_sql(5, "s1")}) where kept)),
+s3 as materialized (select * from s2 where doc_id not in (select doc_id from ({on(OP7_SQL, "s2")}))),
+s4 as materialized (select s3.* from s3 join ({on(OP10_SQL, "s3")}) m on m.doc_id = s3.doc_id)
+select * from ({on(OP8_SQL, "s4")})
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql = (OP1_SQL, OP2_SQL, _op3_sql(), OP4_SQL, OP5_SQL, OP6_SQL, OP7_SQL, OP8_SQL, OP9_SQL, OP10_SQL)
     return {f.__name__: x for f, x in zip(_QUERIES, sql, strict=True)}

@@ -117,6 +117,9 @@ def test_each_reply_is_an_example_with_all_before_it(spark):
     turns = chat.format_turns(df)
     full = chat.full_examples(turns).collect()
     assert len(full) == 5
+    for r in chat.digests(turns).collect():
+        shas = [hashlib.sha256(x.text.encode()).hexdigest() for x in sorted(full, key=lambda x: x.example) if x.conv_id == r.conv_id]
+        assert (r.n_examples, r.examples_sha256) == (len(shas), hashlib.sha256(",".join(shas).encode()).hexdigest())
     for r in full:
         assert r.text.endswith(" </turn>\n") and "### " in r.text[: r.loss_start]
         assert "### " not in r.text[r.loss_start : r.loss_end] and "</turn>" not in r.text[r.loss_start : r.loss_end]
