@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import packed
+from framegauge.llm.common import packed, written
 
 #: Up to so many sources, the table of rates is joined by broadcast; a rate row has a few hundred bytes.
 BROADCAST_SOURCES = 10_000
@@ -36,7 +36,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
 
     Without weights all sources weigh the same; without a total it is the number of rows. A null source is a source of
     its own; its weight is the one of ``None``."""
-    counts = docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n_rows"))
+    counts = written(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n_rows")), "sources")
     if weights is None:
         counts = counts.withColumn("weight", F.lit(1.0))
     else:
@@ -47,7 +47,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
     goal, w = float(total if total is not None else whole.rows or 0), float(whole.w or 0) or 1.0
     df = counts.withColumn("rate", F.lit(goal) * F.col("weight") / (F.lit(w) * F.col("n_rows")))
     df = df.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_MEAN)).cast("int"))
-    return df.withColumn("cdf", _cdf(F.col("rate") / F.col("draws"))).drop("weight")
+    return written(df.withColumn("cdf", _cdf(F.col("rate") / F.col("draws"))).drop("weight"), "rates")
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", total: int | None = None, seed: int = 1) -> DataFrame:
@@ -58,7 +58,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     as an id of its own. An empty table gives no rows. Columns of the input with the new names are replaced."""
     table = rates(docs, weights, source_col, total).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "draws", "cdf")
     table = table.withColumnsRenamed({"draws": "_draws", "cdf": "_cdf"})
-    if docs.select(source_col).distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+    if table.count() <= BROADCAST_SOURCES:
         table = F.broadcast(table)
     new = ["rate", "copies", "copy", "shuffle_key"]
     rows = packed(docs, new, _key=F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null")), _of=F.col(f"`{source_col}`"))
