@@ -35,7 +35,8 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("null"))).cast("binary"))
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), (F.length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), key.alias("key"))
     narrow = narrow.withColumn("grp", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
-    r = _placed(narrow, ["grp", "key", "id", "crc"])
+    # the texts are read once; both sorts sample and read the narrow table
+    r = _placed(written(narrow, "narrow"), ["grp", "key", "id", "crc"])
     parts = r.groupBy("grp", "part").agg(F.count("*").alias("k"), F.min("row").alias("first"))
     w = Window.partitionBy("grp")
     before = F.coalesce(F.sum("k").over(w.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
