@@ -77,8 +77,8 @@ def probe(levels: list, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
     """Which keys of the universe are listed."""
     out, alive = np.zeros(h1.size, bool), np.arange(h1.size)
     for k, (probes, bits, packed) in enumerate(levels):
-        table = np.unpackbits(np.frombuffer(packed, np.uint8), count=bits).astype(bool)
-        passed = table[_places(h1[alive], h2[alive], k, probes, bits)].all(axis=0)
+        at, table = _places(h1[alive], h2[alive], k, probes, bits), np.frombuffer(packed, np.uint8)
+        passed = (table[at >> 3] << (at & 7).astype(np.uint8) & 128 > 0).all(axis=0)
         out[alive[~passed]] = k % 2 == 1
         alive = alive[passed]
     out[alive] = len(levels) % 2 == 1
