@@ -182,7 +182,7 @@ def _ask(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.Re
     """A row for each hash range of which the block holds keys."""
     range_ = ((keys >> U64(32)) * U64(ranges)) >> U64(32)
     start = np.flatnonzero(np.diff(range_, prepend=U64(2**64 - 1)))
-    end = np.append(start[1:], keys.size)
+    end = np.append(start[1:], keys.size)[: start.size]
     cols = [[block] * start.size, range_[start].astype(np.int64), [_packed(_steps(keys[a:b])) for a, b in zip(start, end, strict=True)], [_packed(counts[:, a:b].ravel()) for a, b in zip(start, end, strict=True)]]
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "range", "keys", "counts"])
 
