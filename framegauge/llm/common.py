@@ -26,6 +26,20 @@ def packed(df: DataFrame, replaced: list[str], **extra: Column) -> DataFrame:
     return df.select(F.struct(*kept).alias("_row"), *(v.alias(k) for k, v in extra.items()))
 
 
+def bitmap(places: DataFrame, bits: int) -> bytes:
+    """A bit for every place (column ``place``, 0 to bits - 1); bits is a multiple of 32768."""
+    parts = places.groupBy(F.expr("bitmap_bucket_number(place + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place + 1))").alias("bits")).toArrow()
+    out = np.zeros((bits // 32768, 4096), np.uint8)
+    for k, x in zip(parts.column("k").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        out[k - 1] = np.frombuffer(x, np.uint8)
+    return out.tobytes()
+
+
+def marked(marks: bytes, places: np.ndarray) -> np.ndarray:
+    """Which places have a bit."""
+    return (np.frombuffer(marks, np.uint8)[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x ^ (x >> U64(30))
@@ -41,12 +55,24 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
 _BASE = 0x9E6C63D0876A9A47 | 1
-_POW = np.cumprod(np.full(1 << 12, _BASE, U64)).astype(U64)
-_POW_HI = np.cumprod(np.full(1 << 16, _POW[-1], U64)).astype(U64)
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base to the powers 1 to n, and its inverse (modulo 2^64) to the powers 0 to n - 1."""
+    if not _POWERS or _POWERS[0].size < n:
+        size = max(n, (1 << 20) + 4096)
+        up = np.cumprod(np.full(size, _BASE, U64))
+        down = np.cumprod(np.concatenate([[U64(1)], np.full(size - 1, pow(_BASE, -1, 1 << 64), U64)]))
+        if size > 1 << 24:  # not kept for a rare huge word
+            return up[:n], down[:n]
+        _POWERS[:] = [up, down]
+    return _POWERS[0][:n], _POWERS[1][:n]
 
 
 def _block(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and word starts of one block of bytes; a word also ends at an offset."""
+    """Word hashes and word starts of one block of bytes; a word also ends at an offset. A word's hash is a polynomial of its
+    bytes: the difference of two running sums, times a power that takes the word's place out."""
     solid = ~_SPACE[data]
     start = solid.copy()
     start[1:] &= ~solid[:-1]
@@ -55,14 +81,15 @@ def _block(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(start)
     if not starts.size:
         return np.empty(0, U64), starts
-    pos = np.flatnonzero(solid)
-    first = np.searchsorted(pos, starts)
-    length = np.diff(np.append(first, pos.size))
-    k = pos - np.repeat(starts, length)
-    v = _BYTE[data[pos]] * _POW[k & 0xFFF]
-    if length.max() > 0x1000:
-        v *= np.where(k >> 12, _POW_HI[(k >> 12) & 0xFFFF], U64(1))
-    return mix(np.add.reduceat(v, first) + length.astype(U64)), starts
+    stop = ~solid
+    stop |= start
+    ends = np.flatnonzero(solid[:-1] & stop[1:]) + 1
+    if solid[-1]:
+        ends = np.append(ends, data.size)
+    up, down = _powers(data.size)
+    sums = np.zeros(data.size + 1, U64)
+    np.cumsum(_BYTE[data] * up, out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64)), starts
 
 
 def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -126,5 +153,8 @@ def shingle_sets(column: pa.Array, n: int, lower: bool = True):
     """(row, sorted distinct shingle hashes) of every row of an Arrow text column."""
     for lo, hi, data, offsets in text_chunks(column):
         words, at = hash_words(data, offsets, lower)
+        whole = shingle_hashes(words, n)  # also across rows, which are left out below
         for i in range(hi - lo):
-            yield lo + i, np.unique(shingle_hashes(words[at[i] : at[i + 1]], n))
+            a, b = at[i], at[i + 1]
+            x = np.sort(whole[a : b - n + 1] if b - a >= n else shingle_hashes(words[a:b], n))
+            yield lo + i, x[np.concatenate([[True], x[1:] != x[:-1]])] if x.size > 1 else x
