@@ -7,7 +7,9 @@ distinct shingles, and the partition's upper bound sets how many of its smallest
 candidates are complete however long the document is. (A sketch of the document itself can't do that: 26 shingles among
 20,000 have a Jaccard similarity of 0.001.) Exact shingle containment then decides.
 
-Items are taken in blocks of a bounded number of hashes; each block is one pass over the documents, without a shuffle."""
+Items of up to ``BLOCK`` hashes go to the workers: one pass over the documents, without a shuffle. More are dealt out: a
+bitmap of all minima goes to the workers, the shingles that pass it meet the minima by a join, and the texts of the
+candidates, each once, meet the full sets of their items."""
 
 from __future__ import annotations
 
@@ -15,13 +17,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import U64, hash_words, mix, packed, shingle_hashes, shingle_sets, text_chunks, written
+from framegauge.llm.common import U64, bitmap, hash_words, marked, mix, packed, shingle_hashes, shingle_sets, text_chunks, written
 
-#: Hashes of items in one block: 16 MB on the driver and in each Python worker.
+#: Up to so many hashes of items, the index goes to the workers: 16 MB on the driver and in each Python worker.
 BLOCK = 1 << 21
+#: The bitmap of minima has two to the power of this many bits at most (32 MB); a fuller one lets more shingles pass, and loses none.
+MOST_POWER = 28
+#: What tells texts apart: 96 bits of hashes, and the length.
+_TEXT = ["h", "crc", "size"]
 
 
 def sketch_length(n: int, percent: int) -> int:
@@ -30,6 +36,10 @@ def sketch_length(n: int, percent: int) -> int:
     return min(n, u - math.ceil(u * percent / 100) + 1)
 
 
+def minima(x: np.ndarray, percent: int) -> np.ndarray:
+    return x[np.argsort(mix(x))[: sketch_length(x.size, percent)]]
+
+
 def _items(benchmark: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
     """One row per distinct non-empty shingle set: its smallest item id, how many items have it, the set."""
 
@@ -52,7 +62,7 @@ class Index:
         self.sets = [np.asarray(r.set, np.int64).view(U64) for r in rows]
         keys, owners = [np.empty(0, U64)], [np.empty(0, np.int64)]
         for k, x in enumerate(self.sets):
-            keys.append(x[np.argsort(mix(x))[: sketch_length(x.size, percent)]])
+            keys.append(minima(x, percent))
             owners.append(np.full(keys[-1].size, k))
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         order = np.argsort(keys, kind="stable")
@@ -80,12 +90,52 @@ class Index:
                         yield lo + int(i), int(k), shared
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, n: int, percent: int):
-    items = written(_items(benchmark, id_col, text_col, n), "items")
+def _index(items: DataFrame, percent: int) -> Index | None:
+    """The items as an index for the workers, or None where they are too many."""
     total = items.agg(F.sum(F.size("set"))).first()[0] or 0
-    blocks = -(-total // BLOCK)
-    for k in range(blocks):
-        yield Index(items.where(F.pmod(F.xxhash64("set"), F.lit(blocks)) == k).collect(), percent)
+    return Index(items.collect(), percent) if total <= BLOCK else None
+
+
+def _told_apart(docs: DataFrame, text: Column) -> DataFrame:
+    t = F.coalesce(text.cast("string"), F.lit(""))
+    return docs.withColumns({"h": F.xxhash64(t), "crc": F.crc32(t.cast("binary")), "size": F.length(t)})
+
+
+def _dealt(texts: DataFrame, items: DataFrame, n: int, percent: int) -> DataFrame:
+    """``(h, crc, size, item, n_items, n_shingles, n_shared)`` of the texts (text and ``_TEXT``) that contain an item."""
+
+    def keys_of(batches):
+        for batch in batches:
+            for item, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                key = minima(x.values.to_numpy().view(U64), percent)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array([item] * key.size, pa.int64())], ["key", "item"])
+
+    keys = written(items.select("item_id", "set").mapInArrow(keys_of, "key long, item long"), "minima")
+    power = min(MOST_POWER, max(15, (64 * keys.count()).bit_length()))
+    marks = bitmap(keys.select(F.shiftrightunsigned("key", 64 - power).alias("place")), 1 << power)
+
+    def passing(batches):
+        for batch in batches:
+            got = [(i, x[marked(marks, (x >> U64(64 - power)).astype(np.int64))]) for i, x in shingle_sets(batch.column(0), n)]
+            rows = pa.array(np.repeat([i for i, _ in got], [x.size for _, x in got]).astype(np.int64))
+            key = pa.array(np.concatenate([x for _, x in got] or [np.empty(0, U64)]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([key, *(batch.column(k).take(rows) for k in (1, 2, 3))], ["key", *_TEXT])
+
+    hits = texts.select("text", *_TEXT).mapInArrow(passing, "key long, h long, crc long, size int")
+    candidates = written(hits.join(keys, "key").select("item", *_TEXT).distinct(), "candidates")
+    chosen = texts.select("text", *_TEXT).join(candidates.select(*_TEXT).distinct(), _TEXT, "left_semi").groupBy(*_TEXT).agg(F.first("text").alias("text"))
+    sets = items.select(F.col("item_id").alias("item"), "n_items", "set")
+
+    def shared(batches):
+        for batch in batches:
+            own = [x for _, x in shingle_sets(batch.column(0), n)]
+            item = [x.values.to_numpy().view(U64) for x in batch.column(1)]
+            k = pa.array([int(np.isin(b, a, assume_unique=True).sum()) for a, b in zip(own, item, strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(2, batch.num_columns)), pa.array([x.size for x in item], pa.int64()), k], [*_TEXT, "item", "n_items", "n_shingles", "n_shared"])
+
+    both = candidates.join(chosen, _TEXT).join(sets, "item").select("text", "set", *_TEXT, "item", "n_items")
+    found = both.mapInArrow(shared, "h long, crc long, size int, item long, n_items long, n_shingles long, n_shared long")
+    return written(found.where(f"100 * n_shared >= {percent} * n_shingles"), "contained")
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -94,40 +144,39 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
 
     Items with equal sets are one item: the smallest id stands for all n_items. Null and empty texts contain nothing
     and are contained in nothing; repeated rows give repeated matches; an empty table on either side gives no rows."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
+    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     names = ["doc", "item", "n_items", "n_shingles", "n_shared"]
+    items = written(_items(benchmark, item_col, item_text_col, n), "items")
+    index = _index(items, percent)
+    if index is None:
+        texts = _told_apart(src, F.col("text"))
+        out = texts.drop("text").join(_dealt(texts, items, n, percent), _TEXT).select(*names)
+        return out.toDF(id_col, item_col, *names[2:])
 
-    def search(index):
-        def run(batches):
-            for batch in batches:
-                got = list(index.matches(batch.column(1), n))
-                rows = pa.array([r for r, _, _ in got], pa.int64())
-                cols = [[index.item[k] for _, k, _ in got], [index.items[k] for _, k, _ in got], [index.sets[k].size for _, k, _ in got], [s for _, _, s in got]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *(pa.array(c, pa.int64()) for c in cols)], names)
-
-        return src.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    def run(batches):
+        for batch in batches:
+            got = list(index.matches(batch.column(1), n))
+            rows = pa.array([r for r, _, _ in got], pa.int64())
+            cols = [[index.item[k] for _, k, _ in got], [index.items[k] for _, k, _ in got], [index.sets[k].size for _, k, _ in got], [s for _, _, s in got]]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), *(pa.array(c, pa.int64()) for c in cols)], names)
 
-    out, previous = None, None
-    for index in _blocks(benchmark, item_col, item_text_col, n, percent):
-        if previous is not None:
-            done = written(previous, "contained")
-            out = done if out is None else out.union(done)
-        previous = search(index)
-    if previous is None:
-        return docs.sparkSession.createDataFrame([], "doc long, item long, n_items long, n_shingles long, n_shared long").toDF(id_col, item_col, *names[2:])
-    return (previous if out is None else out.union(previous)).toDF(id_col, item_col, *names[2:])
+    return src.mapInArrow(run, ", ".join(f"{c} long" for c in names)).toDF(id_col, item_col, *names[2:])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
-    """The documents that contain no item, with all their columns; filtered while they stream, not joined."""
-    rows = packed(docs, [], _text=F.col(f"`{text_col}`").cast("string"))
-    for index in _blocks(benchmark, item_col, item_text_col, n, percent):
-
-        def run(batches, index=index):
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[[r for r, _, _ in index.matches(batch.column(1), n)]] = False
-                yield batch.filter(pa.array(keep))
-
-        rows = rows.mapInArrow(run, rows.schema)
-    return rows.select("_row.*")
+    """The documents that contain no item, with all their columns; with an index of up to ``BLOCK`` hashes filtered while they
+    stream, not joined."""
+    rows = packed(docs, [], text=F.col(f"`{text_col}`").cast("string"))
+    items = written(_items(benchmark, item_col, item_text_col, n), "items")
+    index = _index(items, percent)
+    if index is None:
+        texts = _told_apart(rows, F.col("text"))
+        return texts.join(_dealt(texts, items, n, percent).select(*_TEXT).distinct(), _TEXT, "left_anti").select("_row.*")
+
+    def run(batches):
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[[r for r, _, _ in index.matches(batch.column(1), n)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return rows.mapInArrow(run, rows.schema).select("_row.*")
