@@ -21,28 +21,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framegauge.llm.common import U64, mix, packed, shingle_sets, written
+from framegauge.llm.common import U64, bitmap, discard, marked, mix, packed, shingle_sets, written
 from framegauge.llm.components import connected_components
 
+#: Sets are sketched together up to so many shingles.
+TOGETHER = 1 << 19
 #: Ids up to so many are marked in a bitmap of 16 bits an id at most (32 MB), which the workers get; more are joined.
 BITMAP_IDS = 1 << 24
 #: Rows of one shingle above this are dealt out over several tasks.
 SPLIT = 10_000
 
 
-def sketch(x: np.ndarray, t: int = 128, seed: int = 1) -> np.ndarray:
-    """The t coordinates of a non-empty set of 64-bit hashes; t is a power of two of at most 128."""
-    shift, full = U64(64 - int(math.log2(t))), U64(2**64 - 1)
-    out = np.full(t, full)
-    at, step = 0, max(1, -(-6 * t // x.size))
-    while at < t and (out == full).any():
-        rounds = np.arange(at, min(t, at + step), dtype=U64)
-        h = mix(x[None, :] + mix(rounds + U64(seed * 1000003))[:, None])
-        np.minimum.at(out, (h >> shift).ravel().astype(np.intp), (((h << U64(16)) >> U64(16)) | (rounds[:, None] << U64(48))).ravel())
-        at += step
-    for j in np.flatnonzero(out == full):
-        h = mix(x + mix(np.array([t + j + seed * 1000003], U64)))
-        out[j] = ((h << U64(16)) >> U64(16)).min() | (U64(t + j) << U64(48))
+def sketches(x: np.ndarray, at: np.ndarray, t: int = 128, seed: int = 1) -> np.ndarray:
+    """The t coordinates of each set of 64-bit hashes, a row per set: set i is x[at[i]:at[i + 1]]; t is a power of two of at
+    most 128. An empty set's coordinates are all 2^64 - 1. Rounds run over all sets that still have empty bins."""
+    shift, full, size = U64(64 - int(math.log2(t))), U64(2**64 - 1), np.diff(at)
+    low = U64((1 << 48) - 1)
+    out = np.full((size.size, t), full)
+    owner, open_ = np.repeat(np.arange(size.size), size), size > 0
+    for r in range(t):
+        if not open_.all():
+            x, owner = x[open_[owner]], owner[open_[owner]]
+        if not x.size:
+            break
+        h = mix(x + mix(np.array([r + seed * 1000003], U64)))
+        np.minimum.at(out.reshape(-1), owner * t + (h >> shift).astype(np.int64), (h & low) | U64(r << 48))
+        open_ = (out == full).any(axis=1)
+    open_ = (out == full) & (size > 0)[:, None]
+    for j in np.flatnonzero(open_.any(axis=0)):
+        pick = open_[owner, j]
+        first = np.flatnonzero(np.diff(owner[pick], prepend=-1))
+        h = mix(x[pick] + mix(np.array([t + int(j) + seed * 1000003], U64)))
+        out[open_[:, j], j] = np.minimum.reduceat(h & low, first) | U64((t + int(j)) << 48)
     return out
 
 
@@ -55,38 +65,36 @@ def rows_per_band(t: int, percent: int, miss: float = 1e-6) -> int:
 def _sketches(docs: DataFrame, id_col: str, text_col: str, n: int, lower: bool, t: int, rows: int) -> DataFrame:
     bands = t // rows
 
+    def rows_of(ids, sets):
+        size = np.array([x.size for x in sets])
+        at, some = np.concatenate([[0], np.cumsum(size)]), size > 0
+        x = np.concatenate(sets)
+        sums = np.zeros((2, size.size), U64)
+        if some.any():
+            sums[:, some] = np.add.reduceat(np.vstack([x, mix(x)]), at[:-1][some], axis=1)
+        c = mix(sketches(x, at, t))
+        sigs, keys = (c & U64(255)).astype(np.uint8), np.tile(np.arange(bands, dtype=U64), (size.size, 1))
+        for j in range(rows):
+            keys = mix(keys * U64(0x9FB21C651E98DF25) + c[:, j : bands * rows : rows])
+        band = [k if good else None for k, good in zip(keys.view(np.int64), some, strict=True)]
+        sig = [g.tobytes() if good else None for g, good in zip(sigs, some, strict=True)]
+        return pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(size, pa.int64()), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)), pa.array(band, pa.list_(pa.int64())), pa.array(sig, pa.binary())], ["id", "n", "s1", "s2", "bands", "sig"])
+
     def run(batches):
         for batch in batches:
-            ids, size, s1, s2, keys, sigs = batch.column(0), [], [], [], [], []
-            for _, x in shingle_sets(batch.column(1), n, lower):
-                size.append(x.size)
-                s1.append(int(x.sum(dtype=U64).view(np.int64)) if x.size else 0)
-                s2.append(int(mix(x).sum(dtype=U64).view(np.int64)) if x.size else 0)
-                if not x.size:
-                    keys.append(None)
-                    sigs.append(None)
-                    continue
-                c = mix(sketch(x, t))
-                sigs.append((c & U64(255)).astype(np.uint8).tobytes())
-                acc = np.arange(bands, dtype=U64)
-                for j in range(rows):
-                    acc = mix(acc * U64(0x9FB21C651E98DF25) + c[j : bands * rows : rows])
-                keys.append(acc.view(np.int64))
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(size, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["id", "n", "s1", "s2", "bands", "sig"])
+            sets, held, done = [], 0, 0
+            for i, x in shingle_sets(batch.column(1), n, lower):
+                sets.append(x)
+                held += x.size
+                if held > TOGETHER:
+                    yield rows_of(batch.column(0)[done : i + 1], sets)
+                    sets, held, done = [], 0, i + 1
+            if sets:
+                yield rows_of(batch.column(0)[done:], sets)
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id long, n long, s1 long, s2 long, bands array<long>, sig binary")
 
 
-def _bitmap(ids: DataFrame, bits: int) -> bytes:
-    """A bit for ``pmod(xxhash64(id), bits)`` of every id."""
-    h = F.pmod(F.xxhash64("id"), F.lit(bits))
-    parts = ids.select(h.alias("h")).groupBy(F.expr("bitmap_bucket_number(h + 1)").alias("k")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h + 1))").alias("bits")).toArrow()
-    out = np.zeros((bits // 32768, 4096), np.uint8)
-    for k, x in zip(parts.column("k").to_pylist(), parts.column("bits").to_pylist(), strict=True):
-        out[k - 1] = np.frombuffer(x, np.uint8)
-    return out.tobytes()
-
-
 def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n: int, lower: bool) -> DataFrame:
     """``(id, set)`` of the documents in ``ids``, and of a few others that share a bit of a bitmap that grows with their number."""
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).where("id is not null")
@@ -96,14 +104,13 @@ def _sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, n: int, l
         src, bits, marks = src.join(ids, "id", "left_semi"), None, None
     else:
         bits = max(1 << 15, 1 << (8 * size).bit_length())
-        marks = _bitmap(ids, bits)
+        marks = bitmap(ids.select(F.pmod(F.xxhash64("id"), F.lit(bits)).alias("place")), bits)
         src = src.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(bits)))
 
     def run(batches):
         for batch in batches:
             if marks is not None:
-                h = batch.column(2).to_numpy()
-                batch = batch.filter(pa.array((np.frombuffer(marks, np.uint8)[h >> 3] >> (h & 7) & 1).astype(bool)))
+                batch = batch.filter(pa.array(marked(marks, batch.column(2).to_numpy())))
             if not batch.num_rows:
                 continue
             sets = [x.view(np.int64) for _, x in shingle_sets(batch.column(1), n, lower)]
@@ -153,32 +160,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = sk.where("n > 0 and id is not null")
     classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
     member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member")
+    discard(classes)
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))
     # written before it meets its buckets again: the engine then knows its size, and can send it or split a hot bucket
-    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs")
+    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs", narrow=True)
     shared = written(band.join(hubs, "bh"), "bucket")
+    discard(hubs)
 
     star = shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    sig = written(_alike(star, reps, percent, t), "pairs")
-    links = written(_verified(docs, sig, percent, *how), "links")
+    sig = written(_alike(star, reps, percent, t), "pairs", narrow=True)
+    links = written(_verified(docs, sig, percent, *how), "links", narrow=True)
+    discard(sig)
     # one id with several sets: all of them belong to one document
     several = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    same = written(member.select("id", "rep").join(several, "id").select("a", F.col("rep").alias("b")).distinct(), "same")
+    same = written(member.select("id", "rep").join(several, "id").select("a", F.col("rep").alias("b")).distinct(), "same", narrow=True)
     edges = links.select("a", "b").union(same)
-    found = written(connected_components(edges), "found")
-    more = written(_alike(_unsettled(docs, shared.select("bh", "id"), found, percent, *how), reps, percent, t), "rest")
+    found = written(connected_components(edges), "found", narrow=True)
+    pairs, tables = _unsettled(docs, shared.select("bh", "id"), found, percent, *how)
+    more = written(_alike(pairs, reps, percent, t), "rest", narrow=True)
+    discard(shared, *tables)
     if not more.isEmpty():
-        rest = written(_verified(docs, more, percent, *how), "links2")
-        found = written(connected_components(edges.union(rest.select("a", "b"))), "found2")
+        rest = written(_verified(docs, more, percent, *how), "links2", narrow=True)
+        found = written(connected_components(edges.union(rest.select("a", "b"))), "found2", narrow=True)
+        discard(rest)
+    discard(more, links, same)
 
     whole = member.groupBy("id").agg(F.min("rep").alias("rep")).join(found.withColumnRenamed("id", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("component"))
     out = sk.select("id", "n").join(whole, "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
 
 
-def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: int, *how) -> DataFrame:
-    """The pairs in different components that prefixes and positions allow, among documents of unsettled buckets.
+def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: int, *how) -> tuple[DataFrame, list[DataFrame]]:
+    """The pairs in different components that prefixes and positions allow, among documents of unsettled buckets; and the
+    tables to delete when they have been read.
 
     Order all shingles: first those of a single component, then the others by rarity. Two sets that reach the threshold
     have one of the first ``n - ceil(n * percent / 100) + 1`` shingles of the larger and of the first
@@ -187,15 +202,17 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     fill prefixes and are compared with nothing. Of the others, the rows of a shingle's largest component meet the rest of
     its rows only, never one another; a shingle of many rows is dealt out."""
     c = shared.join(found, "id", "left").select("bh", "id", F.coalesce("component", "id").alias("c"))
-    open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets")
-    ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open")
-    token = _sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh"))
+    open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets", narrow=True)
+    ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open", narrow=True)
+    token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens")
     between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between")
     w = Window.partitionBy("id")
     ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
     prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix")
     of = prefix.groupBy("sh", "c").agg(F.count("*").alias("k")).groupBy("sh").agg(F.max_by("c", "k").alias("main"), F.ceil(F.sum("k") / SPLIT).cast("int").alias("parts"), F.count("*").alias("components"))
-    dealt = written(prefix.join(written(of.where("components > 1").drop("components"), "main"), "sh"), "dealt")
+    main = written(of.where("components > 1").drop("components"), "main", narrow=True)
+    dealt = written(prefix.join(main, "sh"), "dealt")
+    discard(open_, ids, token, between, prefix, main)
     x, y = (dealt.select("sh", "parts", (F.col("c") == F.col("main")).alias("in_main"), *(F.col(v).alias(v + k) for v in ("id", "c", "n", "r"))) for k in "xy")
     x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1")
     every = lambda d: d.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts", "in_main")
@@ -203,7 +220,7 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     near = f"cx != cy and (nx < ny or nx = ny and idx < idy) and 100 * nx >= {percent} * ny and 1 + least(nx - rx, ny - ry) >= ceil((nx + ny) * {percent} / (100 + {percent}))"
     met = [every(x.where("not in_main")).join(some(y, "idy"), ["sh", "part"]), some(x.where("in_main"), "idx").join(every(y.where("not in_main")), ["sh", "part"])]
     a, b = (m.where(near).select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")) for m in met)
-    return a.union(b).distinct()
+    return a.union(b).distinct(), [dealt]
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -213,8 +230,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_kept")).distinct()
     rows = packed(docs, [], _id=F.col(f"`{id_col}`").cast("long"), _own=F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
     best = rows.groupBy("_id").agg(F.count("*").alias("_times"), F.min("_own").alias("_best")).withColumnRenamed("_id", "_kept")
-    best = written(kept.join(best, "_kept"), "kept")
+    best = written(kept.join(best, "_kept"), "kept", narrow=True)
     known = rows.where("_id is not null").join(best, F.col("_id") == F.col("_kept")).where("_own = _best")
-    once = known.where("_times = 1").select("_row.*")
-    again = known.where("_times > 1").groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*")
-    return rows.where("_id is null").select("_row.*").union(once).union(again)
+    out = rows.where("_id is null").select("_row.*").union(known.where("_times = 1").select("_row.*"))
+    if best.where("_times > 1").isEmpty():
+        return out
+    return out.union(known.where("_times > 1").groupBy("_id").agg(F.first("_row").alias("_row")).select("_row.*"))

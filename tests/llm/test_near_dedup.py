@@ -5,7 +5,7 @@ import pytest
 
 from framegauge.llm.common import U64, hash_words
 from framegauge.llm.components import connected_components
-from framegauge.llm.near_dedup import keep_one, near_duplicates, rows_per_band, sketch
+from framegauge.llm.near_dedup import keep_one, near_duplicates, rows_per_band, sketches
 from tests.llm.plain import SCHEMA, awkward, components, shingles, with_clashes
 
 
@@ -58,15 +58,58 @@ def test_empty_table(spark):
     assert near_duplicates(empty).collect() == [] and keep_one(empty).collect() == []
 
 
-@pytest.mark.parametrize("size", [1, 2, 7, 128, 3000])
-def test_sketch_is_full_and_estimates(size):
-    rng = np.random.default_rng(size)
-    x = rng.integers(0, 2**63, size, dtype=np.uint64)
-    s = sketch(x)
-    assert (s != U64(2**64 - 1)).all() and (s == sketch(x[::-1])).all()
-    if size >= 128:
-        y = np.concatenate([x[: size // 2], rng.integers(0, 2**63, size - size // 2, dtype=np.uint64)])
-        assert abs((s == sketch(y)).mean() - 1 / 3) < 0.2
+def plain_sketch(x, t=128, seed=1):
+    """One ball an element and round into a random bin; then all into one bin a round."""
+    mask = 2**64 - 1
+
+    def mixed(v):
+        v ^= v >> 30
+        v = v * 0xBF58476D1CE4E5B9 & mask
+        v ^= v >> 27
+        v = v * 0x94D049BB133111EB & mask
+        return v ^ v >> 31
+
+    out = [None] * t
+    for r in range(2 * t):
+        for e in x:
+            h = mixed((int(e) + mixed(r + seed * 1000003)) & mask)
+            j, v = (h >> 57, (r << 48) | (h & ((1 << 48) - 1))) if r < t else (r - t, (r << 48) | (h & ((1 << 48) - 1)))
+            if out[j] is None or (out[j] >> 48 == r and v < out[j]):
+                out[j] = v
+    return out
+
+
+def test_sketches_are_full_and_estimate():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (1, 0, 2, 7, 128, 3000, 40, 0)]
+    at = np.concatenate([[0], np.cumsum([x.size for x in sets])])
+    got = sketches(np.concatenate(sets), at)
+    for x, s in zip(sets, got, strict=True):
+        assert (s == U64(2**64 - 1)).all() if not x.size else s.tolist() == plain_sketch(x)
+        assert (s == sketches(x[::-1], np.array([0, x.size]))[0]).all()
+    x = sets[5]
+    y = np.concatenate([x[:1500], rng.integers(0, 2**63, 1500, dtype=np.uint64)])
+    assert abs((got[5] == sketches(y, np.array([0, 3000]))[0]).mean() - 1 / 3) < 0.2
+
+
+def test_many_copies_beside_foreign_texts(spark):
+    """A large cluster whose buckets also hold texts that are half alike: all copies are one component, the others stay apart,
+    and members of the cluster don't meet each other (a pair of each two of 3,000 would be 4.5 million)."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    rows = []
+    for i in range(3000):
+        v = list(base)
+        for k in rng.sample(range(100), 2):
+            v[k] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(v), "en", "s", 1))
+    for i in range(3000, 3040):
+        rows.append((i, " ".join(base[:86] + [f"y{rng.randrange(10**6)}" for _ in range(14)]), "en", "s", 1))
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, SCHEMA), n=2).collect()}
+    assert {got[i] for i in range(3000)} == {0}
+    sets = {i: shingles(rows[i][1], 2) for i in (*range(0, 3000, 30), *range(3000, 3040))}
+    linked = {i for i in range(3000, 3040) if any(100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j in range(0, 3000, 30))}
+    assert all(got[i] == 0 for i in linked)
 
 
 def test_bands_miss_little():
