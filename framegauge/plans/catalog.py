@@ -46,7 +46,7 @@ def r6(x: Column | str, name: str | None = None) -> Column:
 
 
 def queries() -> dict[str, Query]:
-    from framegauge.plans import catalog_images, catalog_sources, catalog_weak  # noqa: F401  they add theirs
+    from framegauge.plans import catalog_images, catalog_run, catalog_sources, catalog_weak  # noqa: F401  they add theirs
 
     return dict(QUERIES)
 
