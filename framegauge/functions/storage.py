@@ -23,14 +23,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, per_core: int | None = None) -> DataFrame:
     """``df`` as a Parquet table: cuts the lineage and survives lost executors. ``discard`` deletes it.
 
-    ``narrow`` is for small numbers of short rows: two files a core at most instead of one a shuffle partition, as each file
-    costs several calls of the store, whatever is in it. Its rows stream through as many tasks."""
+    ``per_core``: so many files a core at most, instead of one a shuffle partition, for tables of short rows: each file costs
+    several calls of the store, whatever is in it. Partitions that come together stream through one task."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    if narrow:
-        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    if per_core:
+        df = df.coalesce(per_core * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     setattr(out, _PATH, path)

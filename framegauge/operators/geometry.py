@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framegauge.functions.scalars import aggregate_status, finite
 from framegauge.functions.taxonomy import ARMS
+from framegauge.functions.vectors import all_finite
 from framegauge.operators.vision import duplicate_fraction
 
 #: The modules in the order of ``module_statuses``.
@@ -23,6 +24,15 @@ def core_statuses(frames: DataFrame, state: str = "state", width: int = 20, keys
     return g.select(keys, F.when((F.col("_lo") != F.col("_hi")) | (F.col("_lo") < width), "unavailable").otherwise("ok").alias("core_status"))
 
 
+def unfit_for_reference(frames: DataFrame, state: str = "state") -> DataFrame:
+    """``(episode)`` of what a reference leaves out: episodes without a usable core or with a number that isn't finite."""
+    d = frames.select("episode", state) if state in frames.columns else frames.select("episode")
+    out = core_statuses(d, state).where("core_status <> 'ok'").select("episode")
+    if state in frames.columns:
+        out = out.union(d.where(~all_finite(F.col(state))).select("episode"))
+    return out.distinct()
+
+
 def view_statuses(images: DataFrame, least: int = 8, most_repeats: float = 0.35) -> DataFrame:
     """``(episode, view, status)``: ok with ``least`` finite changes between images and fewer repeats than ``most_repeats``."""
     moved = images.groupBy("episode", "view").agg(F.count(F.when(finite("motion"), 1)).alias("_n"))

@@ -111,10 +111,12 @@ def fit_reference(frames: DataFrame, cfg: Config) -> dict[str, DataFrame]:
     phased = with_phases(f.low, out["delta"], cfg)
     out["phase_delta"] = written(scoped_stats(phased, ["column", "phase"], "task", "delta"), "phase_delta")
     out["phase_accel"] = written(scoped_stats(phased, ["column", "phase"], "task", "accel"), "phase_accel")
-    if f.arms is not None:
-        out["arms"] = written(scoped_stats(arm_values(f.arms), ["arm", "metric"], "task", "value"), "arms")
-    if cfg.state_frame_mode == "common_world" and "state" in frames.columns:
-        wide = frames.select(*KEYS, "seq", "frame", V.doubles("state").alias("state")).where(F.size("state") >= 20)
+    if f.arms is None:
+        return out
+    unfit = written(geometry.unfit_for_reference(frames), "unfit")
+    out["arms"] = written(scoped_stats(arm_values(f.arms.join(unfit, "episode", "left_anti")), ["arm", "metric"], "task", "value"), "arm-statistics")
+    if cfg.state_frame_mode == "common_world":
+        wide = frames.select(*KEYS, "seq", "frame", V.doubles("state").alias("state")).where(F.size("state") >= 20).join(unfit, "episode", "left_anti")
         both = signals.bimanual(wide, KEYS, layout=cfg.rotation_layout)
         out["drift"] = written(scoped_stats(both, [], "task", "drift"), "drift")
         out["distance"] = written(scoped_stats(both, [], "task", "distance"), "distance")

@@ -133,8 +133,9 @@ def signals_of(frames: DataFrame, cfg: Config) -> dict[str, DataFrame | None]:
 
 
 def fit(frames: DataFrame, cfg: Config) -> DataFrame:
-    """The reference's buckets; rows of episodes whose states can't be read don't count."""
-    return written(bucket_stats(buckets(**signals_of(readable(frames), cfg))), "weak-reference")
+    """The reference's buckets; episodes whose states can't be read or aren't finite don't count."""
+    unfit = written(geometry.unfit_for_reference(frames), "unfit")
+    return written(bucket_stats(buckets(**signals_of(frames.join(unfit, "episode", "left_anti"), cfg))), "weak-reference")
 
 
 def readable(frames: DataFrame) -> DataFrame:

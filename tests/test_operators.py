@@ -142,3 +142,40 @@ def test_view_pairs_of_many_views(spark):
     df = spark.range(1003).select(F.lit(1).alias("episode"), F.col("id").alias("view"), F.col("id").alias("value"))
     r = vision.view_pairs(df, ["episode"]).agg(F.count("*").alias("n"), F.count_distinct("view_a", "view_b").alias("d"), F.max(F.col("view_b") - F.col("view_a")).alias("far")).first()
     assert (r.n, r.d, r.far) == (1003 * 1002 // 2, 1003 * 1002 // 2, 1002)
+
+
+def test_written_tables_can_be_discarded(spark):
+    from framegauge.functions import storage
+
+    t = storage.written(spark.range(100).repartition(50), "some", per_core=2)
+    files = spark.read.format("binaryFile").load(t._framegauge_path).count()
+    assert t.count() == 100 and files <= 2 * spark.sparkContext.defaultParallelism + 1
+    storage.discard(t, None, spark.range(3))
+    fs, where = storage._file_system(spark, t._framegauge_path)
+    assert not fs.exists(where)
+    path = f"{storage.shared_dir(spark)}/one/small.bin"
+    storage.write_file(spark, path, bytes(range(256)))
+    assert bytes(spark.read.format("binaryFile").load(path).first().content) == bytes(range(256))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from framegauge.functions import storage
+
+    class Bare:
+        conf = SimpleNamespace(get=lambda *a: None)
+        sparkContext = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+
+    with pytest.raises(ValueError):
+        storage.shared_dir(Bare())
+
+
+def test_statistics_leave_unfit_episodes_out(spark):
+    from framegauge.operators import geometry
+
+    good, odd = [1.0] * 20, [1.0] * 19 + [float("nan")]
+    rows = [(0, good), (0, good), (1, good), (1, good[:19]), (2, good), (2, odd), (3, None), (3, good)]
+    d = spark.createDataFrame(rows, "episode long, state array<double>")
+    assert sorted(r.episode for r in geometry.unfit_for_reference(d).collect()) == [1, 2, 3]
+    assert sorted(r.episode for r in geometry.unfit_for_reference(d.select("episode")).collect()) == [0, 1, 2, 3]
