@@ -12,7 +12,7 @@ from framegauge.llm.common import discard, written
 
 
 def _smallest(edges: DataFrame) -> DataFrame:
-    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima", narrow=True)
+    return written(edges.groupBy("u").agg(F.min("v").alias("m")), "minima", per_core=2)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -22,14 +22,14 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", rounds: i
     Each round is written to the shared folder, and the one before it deleted. A round multiplies the reach of a link, so the number of rounds grows
     with the logarithm of the longest chain."""
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b))).distinct()
-    e, before = written(e, "cc", narrow=True), None
+    e, before = written(e, "cc", per_core=2), None
     for _ in range(rounds):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _smallest(both)
-        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large", narrow=True)
+        large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large", per_core=2)
         least2 = _smallest(large)
         small = large.join(least2, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u != v").distinct()
-        new = written(small, "cc", narrow=True)
+        new = written(small, "cc", per_core=2)
         discard(e, least, large, least2)
         e = new
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

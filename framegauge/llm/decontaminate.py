@@ -110,7 +110,7 @@ def _dealt(texts: DataFrame, items: DataFrame, n: int, percent: int) -> DataFram
                 key = minima(x.values.to_numpy().view(U64), percent)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array([item] * key.size, pa.int64())], ["key", "item"])
 
-    keys = written(items.select("item_id", "set").mapInArrow(keys_of, "key long, item long"), "minima")
+    keys = written(items.select("item_id", "set").mapInArrow(keys_of, "key long, item long"), "minima", per_core=8)
     power = min(MOST_POWER, max(15, (64 * keys.count()).bit_length()))
     marks = bitmap(keys.select(F.shiftrightunsigned("key", 64 - power).alias("place")), 1 << power)
 
@@ -122,7 +122,7 @@ def _dealt(texts: DataFrame, items: DataFrame, n: int, percent: int) -> DataFram
             yield pa.RecordBatch.from_arrays([key, *(batch.column(k).take(rows) for k in (1, 2, 3))], ["key", *_TEXT])
 
     hits = texts.select("text", *_TEXT).mapInArrow(passing, "key long, h long, crc long, size int")
-    candidates = written(hits.join(keys, "key").select("item", *_TEXT).distinct(), "candidates")
+    candidates = written(hits.join(keys, "key").select("item", *_TEXT).distinct(), "candidates", per_core=4)
     chosen = texts.select("text", *_TEXT).join(candidates.select(*_TEXT).distinct(), _TEXT, "left_semi").groupBy(*_TEXT).agg(F.first("text").alias("text"))
     sets = items.select(F.col("item_id").alias("item"), "n_items", "set")
 
@@ -135,7 +135,7 @@ def _dealt(texts: DataFrame, items: DataFrame, n: int, percent: int) -> DataFram
 
     both = candidates.join(chosen, _TEXT).join(sets, "item").select("text", "set", *_TEXT, "item", "n_items")
     found = both.mapInArrow(shared, "h long, crc long, size int, item long, n_items long, n_shingles long, n_shared long")
-    return written(found.where(f"100 * n_shared >= {percent} * n_shingles"), "contained")
+    return written(found.where(f"100 * n_shared >= {percent} * n_shingles"), "contained", per_core=4)
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -146,7 +146,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     and are contained in nothing; repeated rows give repeated matches; an empty table on either side gives no rows."""
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").cast("string").alias("text"))
     names = ["doc", "item", "n_items", "n_shingles", "n_shared"]
-    items = written(_items(benchmark, item_col, item_text_col, n), "items")
+    items = written(_items(benchmark, item_col, item_text_col, n), "items", per_core=2)
     index = _index(items, percent)
     if index is None:
         texts = _told_apart(src, F.col("text"))
@@ -167,7 +167,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The documents that contain no item, with all their columns; with an index of up to ``BLOCK`` hashes filtered while they
     stream, not joined."""
     rows = packed(docs, [], text=F.col(f"`{text_col}`").cast("string"))
-    items = written(_items(benchmark, item_col, item_text_col, n), "items")
+    items = written(_items(benchmark, item_col, item_text_col, n), "items", per_core=2)
     index = _index(items, percent)
     if index is None:
         texts = _told_apart(rows, F.col("text"))

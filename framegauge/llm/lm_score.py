@@ -274,7 +274,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
                     yield _ask(row["block"], block.vocab, block.word_counts(), word_ranges)
 
     asked = "block long, range long, keys binary, counts binary"
-    words = written(_answered(blocks.select("block", *_CODED).mapInArrow(ask_words, asked), word_ranges, least), "word-totals")
+    words = written(_answered(blocks.select("block", *_CODED).mapInArrow(ask_words, asked), word_ranges, least), "word-totals", per_core=8)
     totals = words.where("block = -1").agg(*(F.coalesce(F.sum(F.col("sums")[i]), F.lit(0)).alias(c) for i, c in enumerate(_SUMS))).first()
     all_ = whole | totals.asDict()
     words = words.where("block >= 0")

@@ -36,7 +36,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
 
     Without weights all sources weigh the same; without a total it is the number of rows. A null source is a source of
     its own; its weight is the one of ``None``."""
-    counts = written(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n_rows")), "sources")
+    counts = written(docs.groupBy(F.col(source_col).alias("source")).agg(F.count("*").alias("n_rows")), "sources", per_core=1)
     if weights is None:
         counts = counts.withColumn("weight", F.lit(1.0))
     else:
@@ -47,7 +47,7 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
     goal, w = float(total if total is not None else whole.rows or 0), float(whole.w or 0) or 1.0
     df = counts.withColumn("rate", F.lit(goal) * F.col("weight") / (F.lit(w) * F.col("n_rows")))
     df = df.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MAX_MEAN)).cast("int"))
-    return written(df.withColumn("cdf", _cdf(F.col("rate") / F.col("draws"))).drop("weight"), "rates")
+    return written(df.withColumn("cdf", _cdf(F.col("rate") / F.col("draws"))).drop("weight"), "rates", per_core=1)
 
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", source_col: str = "source", total: int | None = None, seed: int = 1) -> DataFrame:

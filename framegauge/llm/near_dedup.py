@@ -158,31 +158,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     how = (id_col, text_col, n, lower)
     sk = written(_sketches(docs, *how, t, rows), "sketch")
     sets = sk.where("n > 0 and id is not null")
-    classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
-    member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member")
+    classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes", per_core=2)
+    member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member", per_core=8)
     discard(classes)
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))
     # written before it meets its buckets again: the engine then knows its size, and can send it or split a hot bucket
-    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs", narrow=True)
-    shared = written(band.join(hubs, "bh"), "bucket")
+    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs", per_core=2)
+    shared = written(band.join(hubs, "bh"), "bucket", per_core=8)
     discard(hubs)
 
     star = shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
-    sig = written(_alike(star, reps, percent, t), "pairs", narrow=True)
-    links = written(_verified(docs, sig, percent, *how), "links", narrow=True)
+    sig = written(_alike(star, reps, percent, t), "pairs", per_core=2)
+    links = written(_verified(docs, sig, percent, *how), "links", per_core=8)
     discard(sig)
     # one id with several sets: all of them belong to one document
     several = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
-    same = written(member.select("id", "rep").join(several, "id").select("a", F.col("rep").alias("b")).distinct(), "same", narrow=True)
+    same = written(member.select("id", "rep").join(several, "id").select("a", F.col("rep").alias("b")).distinct(), "same", per_core=2)
     edges = links.select("a", "b").union(same)
-    found = written(connected_components(edges), "found", narrow=True)
+    found = written(connected_components(edges), "found", per_core=2)
     pairs, tables = _unsettled(docs, shared.select("bh", "id"), found, percent, *how)
-    more = written(_alike(pairs, reps, percent, t), "rest", narrow=True)
+    more = written(_alike(pairs, reps, percent, t), "rest", per_core=2)
     discard(shared, *tables)
     if not more.isEmpty():
-        rest = written(_verified(docs, more, percent, *how), "links2", narrow=True)
-        found = written(connected_components(edges.union(rest.select("a", "b"))), "found2", narrow=True)
+        rest = written(_verified(docs, more, percent, *how), "links2", per_core=8)
+        found = written(connected_components(edges.union(rest.select("a", "b"))), "found2", per_core=2)
         discard(rest)
     discard(more, links, same)
 
@@ -202,16 +202,16 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     fill prefixes and are compared with nothing. Of the others, the rows of a shingle's largest component meet the rest of
     its rows only, never one another; a shingle of many rows is dealt out."""
     c = shared.join(found, "id", "left").select("bh", "id", F.coalesce("component", "id").alias("c"))
-    open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets", narrow=True)
-    ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open", narrow=True)
-    token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens")
-    between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between")
+    open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets", per_core=2)
+    ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open", per_core=2)
+    token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens", per_core=8)
+    between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between", per_core=2)
     w = Window.partitionBy("id")
     ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
-    prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix")
+    prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix", per_core=4)
     of = prefix.groupBy("sh", "c").agg(F.count("*").alias("k")).groupBy("sh").agg(F.max_by("c", "k").alias("main"), F.ceil(F.sum("k") / SPLIT).cast("int").alias("parts"), F.count("*").alias("components"))
-    main = written(of.where("components > 1").drop("components"), "main", narrow=True)
-    dealt = written(prefix.join(main, "sh"), "dealt")
+    main = written(of.where("components > 1").drop("components"), "main", per_core=2)
+    dealt = written(prefix.join(main, "sh"), "dealt", per_core=4)
     discard(open_, ids, token, between, prefix, main)
     x, y = (dealt.select("sh", "parts", (F.col("c") == F.col("main")).alias("in_main"), *(F.col(v).alias(v + k) for v in ("id", "c", "n", "r"))) for k in "xy")
     x = x.where(f"rx <= nx - ceil(2 * nx * {percent} / (100 + {percent})) + 1")
@@ -230,7 +230,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     kept = near_duplicates(docs, id_col, text_col, **how).where("kept").select(F.col(id_col).alias("_kept")).distinct()
     rows = packed(docs, [], _id=F.col(f"`{id_col}`").cast("long"), _own=F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
     best = rows.groupBy("_id").agg(F.count("*").alias("_times"), F.min("_own").alias("_best")).withColumnRenamed("_id", "_kept")
-    best = written(kept.join(best, "_kept"), "kept", narrow=True)
+    best = written(kept.join(best, "_kept"), "kept", per_core=2)
     known = rows.where("_id is not null").join(best, F.col("_id") == F.col("_kept")).where("_own = _best")
     out = rows.where("_id is null").select("_row.*").union(known.where("_times = 1").select("_row.*"))
     if best.where("_times > 1").isEmpty():

@@ -20,7 +20,7 @@ _ROW = (1 << 33) - 1
 def _placed(df: DataFrame, by: list[str]) -> DataFrame:
     """``df`` in global order, as a written table, with its range ``part`` and the ``row`` in it."""
     out = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_mid", F.monotonically_increasing_id())
-    out = written(out, "sorted")
+    out = written(out, "sorted", per_core=8)
     return out.withColumn("part", F.shiftright("_mid", 33)).withColumn("row", F.col("_mid").bitwiseAND(F.lit(_ROW))).drop("_mid")
 
 
@@ -36,7 +36,7 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").alias("source"), (F.length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"), key.alias("key"))
     narrow = narrow.withColumn("grp", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
     # the texts are read once; both sorts sample and read the narrow table
-    r = _placed(written(narrow, "narrow"), ["grp", "key", "id", "crc"])
+    r = _placed(written(narrow, "narrow", per_core=8), ["grp", "key", "id", "crc"])
     parts = r.groupBy("grp", "part").agg(F.count("*").alias("k"), F.min("row").alias("first"))
     w = Window.partitionBy("grp")
     before = F.coalesce(F.sum("k").over(w.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -91,7 +91,7 @@ def cascade(universe: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
     A key with several rows is listed if any of them says so; a null key counts as the empty one; a null flag as not listed."""
     h1, h2 = hashes(F.col("key"))
     keys = universe.groupBy(h1.alias("h1"), h2.alias("h2")).agg(F.max(F.coalesce("listed", F.lit(False))).alias("listed"))
-    keys = written(keys, "universe")
+    keys = written(keys, "universe", per_core=8)
     shards = max(1, -(-keys.count() // shard_keys))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -102,7 +102,7 @@ def cascade(universe: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
         return pd.DataFrame([(shard, k, *x) for k, x in enumerate(levels)] or [(shard, -1, 0, 0, b"")], columns=["shard", "level", "probes", "bits", "packed"])
 
     dealt = keys.withColumn("shard", F.pmod("h1", F.lit(shards)))
-    return written(dealt.groupBy("shard").applyInPandas(run, "shard long, level long, probes long, bits long, packed binary"), "cascade")
+    return written(dealt.groupBy("shard").applyInPandas(run, "shard long, level long, probes long, bits long, packed binary"), "cascade", per_core=2)
 
 
 def _by_shard(rows) -> dict[int, list]:

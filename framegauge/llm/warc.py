@@ -81,11 +81,11 @@ def _id(urn: str | None) -> int | None:
 
 def _revisits(own: DataFrame, least: int) -> DataFrame:
     """``(_id, _sha, _first)`` of the payloads that are not the first of their digest: the smallest page_id with it."""
-    ids = written(own.where(F.length("body") >= least).select("page_id", "sha").distinct(), "digests")
+    ids = written(own.where(F.length("body") >= least).select("page_id", "sha").distinct(), "digests", per_core=8)
     first = ids.groupBy("sha").agg(F.min("page_id").alias("_first"), F.count("*").alias("n")).where("n > 1 and _first is not null")
-    first = written(first.select(F.col("sha").alias("_sha"), "_first"), "repeated-digests")
+    first = written(first.select(F.col("sha").alias("_sha"), "_first"), "repeated-digests", per_core=2)
     again = ids.join(first, F.col("sha") == F.col("_sha")).where("page_id is null or page_id > _first")
-    return written(again.select(F.col("page_id").alias("_id"), "_sha", "_first"), "revisits")
+    return written(again.select(F.col("page_id").alias("_id"), "_sha", "_first"), "revisits", per_core=2)
 
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -150,7 +150,7 @@ def index_archives(spark: SparkSession, path: str, lines: int = BLOCK_LINES) ->
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k in (0, 2) else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in _ENTRY.split(", ")])
 
     by = ["key", "page_id", "file", "offset"]
-    entries = written(_files(spark, path).mapInArrow(scan, _ENTRY), "captures")
+    entries = written(_files(spark, path).mapInArrow(scan, _ENTRY), "captures", per_core=8)
     lines = max(lines, -(-entries.count() // MOST_BLOCKS))
     ordered = entries.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("part", F.spark_partition_id().cast("long"))
 
@@ -168,7 +168,7 @@ def index_archives(spark: SparkSession, path: str, lines: int = BLOCK_LINES) ->
     def _packed(part, block, kept):
         return pa.RecordBatch.from_pylist([{"part": part, "block": block, "first_key": kept[0].split("\t")[0], "n": len(kept), "packed": zlib.compress("\n".join(kept).encode())}])
 
-    return written(ordered.mapInArrow(pack, "part long, block long, first_key string, n long, packed binary"), "capture-index")
+    return written(ordered.mapInArrow(pack, "part long, block long, first_key string, n long, packed binary"), "capture-index", per_core=8)
 
 
 def unpack(packed: bytes) -> list[tuple]:
@@ -273,11 +273,11 @@ def read(captures: DataFrame, path: str) -> DataFrame:
     record_type, refers_to, payload, payload_bytes, payload_digest)``. A revisit has a null payload; its size and digest
     are those of the full payload. Ranges are brought to the archive they lie in; an archive and its ranges are one task's
     work, bounded by ``ARCHIVE_BYTES``."""
-    captures = written(captures.select("file", "offset", "length"), "ranges")
+    captures = written(captures.select("file", "offset", "length"), "ranges", per_core=8)
     ranges = captures.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
     if captures.count() <= BROADCAST_RANGES:
         ranges = F.broadcast(ranges)
-    files = _files(captures.sparkSession, path).withColumn("file", F.element_at(F.split("path", "/"), -1)).join(ranges, "file").select("content", "ranges")
+    files = _files(captures.sparkSession, path).withColumn("file", F.element_at(F.split("path", "/"), -1)).join(ranges, "file").select("content", "ranges", per_core=8)
 
     def records(batches):
         for batch in batches:
