@@ -121,11 +121,11 @@ def length_stats(spark, sf):
 EXPECTED = ["event_id", "ts", "user_id", "event_type", "value", "props", "image", "state", "timestamp"]
 
 
-@query("""select * from (values ('vision_illegal', 'missing_required_column', 'image'), ('state_illegal', 'missing_required_column', 'state'), ('state_illegal', 'missing_required_column', 'timestamp'), ('temporal_illegal', 'missing_temporal_column', 'timestamp')) t(family, issue_type, "column")""")
+@query("""select episode, family, issue_type, "column" from (select distinct user_id as episode from events), (values ('vision_illegal', 'missing_required_column', 'image'), ('state_illegal', 'missing_required_column', 'state'), ('state_illegal', 'missing_required_column', 'timestamp'), ('temporal_illegal', 'missing_temporal_column', 'timestamp')) t(family, issue_type, "column")""")
 def schema_missing_columns(spark, sf):
-    """P2, U1, D2, D5."""
-    one = spark.range(1).select(F.lit(0).cast("long").alias("episode"), F.lit(None).cast("long").alias("task"))
-    return union_findings(D.missing_columns(one, T.table(spark, sf, "events").columns, EXPECTED)).select("family", "issue_type", "column")
+    """Of every episode."""
+    e = T.events(spark, sf).select("episode", "task").distinct()
+    return union_findings(D.missing_columns(e, T.table(spark, sf, "events").columns, EXPECTED)).select("episode", "family", "issue_type", "column")
 
 
 @query("""select o_orderkey as episode, case when coalesce(n, 0) = 0 then 'empty_episode' else 'metadata_length_mismatch' end as issue_type, coalesce(n, 0) as n_rows, m as declared
@@ -405,11 +405,12 @@ def freeze_runs_low(spark, sf):
     return f.select("episode", "frame_start", "frame_end", F.get_json_object("evidence", "$.run_length").cast("long").alias("n"))
 
 
-@query("""select range as run, case when range <= 10 then 0.0 when range <= 50 then 20 + (range - 10) / 40.0 * 25 when range <= 100 then 45 + (range - 50) / 50.0 * 35 else 80 + least(1.0, (range - 100) / 100.0) * 15 end as approximate,
-case when range <= 10 then 0.0 when range <= 50 then 30 + (range - 10) / 40.0 * 25 when range <= 100 then 55 + (range - 50) / 50.0 * 30 else 85 + least(1.0, (range - 100) / 100.0) * 15 end as exact from range(0, 260)""")
+@query("""with r as (select l_orderkey, l_linenumber, l_quantity * 5 as run from lineitem) select l_orderkey, l_linenumber, run, case when run <= 10 then 0.0 when run <= 50 then 20 + (run - 10) / 40.0 * 25 when run <= 100 then 45 + (run - 50) / 50.0 * 35 else 80 + least(1.0, (run - 100) / 100.0) * 15 end as approximate,
+case when run <= 10 then 0.0 when run <= 50 then 30 + (run - 10) / 40.0 * 25 when run <= 100 then 55 + (run - 50) / 50.0 * 30 else 85 + least(1.0, (run - 100) / 100.0) * 15 end as exact from r""")
 def freeze_severity(spark, sf):
-    """F14."""
-    return spark.range(260).select(F.col("id").alias("run"), S.freeze_severity("id").alias("approximate"), S.freeze_severity("id", True).alias("exact"))
+    """five times the quantity stands for a run's length."""
+    r = T.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") * 5).alias("run"))
+    return r.select("*", S.freeze_severity("run").alias("approximate"), S.freeze_severity("run", True).alias("exact"))
 
 
 @query(f"""with {EV}, x as (select *, case when event_type = lag(event_type) over (partition by episode order by seq) then 0 else 1 end as fresh from ev), y as (select *, sum(fresh) over (partition by episode order by seq rows unbounded preceding) as i from x)
@@ -776,12 +777,14 @@ def status_rollup(spark, sf):
     return status_counts(d, ["episode"], "status", STATUSES)
 
 
-@query(f"""with {EV}, s as (select episode, seq, {ST} as st from ev where seq < 5), n as (select episode, seq, case when st in ('ok', 'warning', 'unavailable', 'fail') then st else 'fail' end as st from s), g as (select episode, list(st) filter (seq < 2) as core, list(st) filter (seq >= 2) as more from n group by 1)
+@query(f"""with {EV}, s as (select episode, event_type, case when value > 90 then 'broken' when value > 60 then 'unavailable' when value > 30 then 'warning' when value > 0.5 then 'ok' end as st from ev), n as (select episode, event_type, case when st is null then 'ok' when st in ('ok', 'warning', 'unavailable', 'fail') then st else 'fail' end as st from s), g as (select episode, list(st) filter (event_type = 'purchase') as core, list(st) filter (event_type <> 'purchase') as more from n group by 1)
 select episode, case when list_contains(core, 'fail') then 'fail' when list_contains(core, 'unavailable') then 'unavailable' when list_contains(more, 'fail') then 'fail' when list_contains(more, 'warning') or list_contains(more, 'unavailable') then 'warning' else 'ok' end as status from g""")
 def module_status(spark, sf):
-    """the first two events are the core modules, the next three the others."""
-    d = T.events(spark, sf).where("seq < 5").withColumn("status", S.normalize_status(F.expr(ST)))
-    g = d.groupBy("episode").agg(F.collect_list(F.when(F.col("seq") < 2, F.col("status"))).alias("core"), F.collect_list(F.when(F.col("seq") >= 2, F.col("status"))).alias("more"))
+    """an episode's purchases are the core, all other events the modules; the value stands for the status."""
+    st = F.when(F.col("value") > 90, "broken").when(F.col("value") > 60, "unavailable").when(F.col("value") > 30, "warning").when(F.col("value") > 0.5, "ok")
+    d = T.events(spark, sf).withColumn("status", S.normalize_status(st))
+    of = lambda test: F.collect_set(F.when(test, F.col("status")))  # noqa: E731  four values at most
+    g = d.groupBy("episode").agg(of(F.col("event_type") == "purchase").alias("core"), of(F.col("event_type") != "purchase").alias("more"))
     return g.select("episode", S.aggregate_status(F.col("core"), F.col("more")).alias("status"))
 
 
@@ -950,10 +953,11 @@ def view_summary(spark, sf):
     return d.select("event_type", r6("value_median"), r6("value_min"), r6("value_max"))
 
 
-@query("""select * from (values (0.0, '0'), (2.5, '2.5'), (100.0, '100'), (0.1234567, '0.123457')) t(x, shown)""".replace("(0.0,", "(0.0::double,"))
+@query(r"with e as (select event_id, value / 7 as x, round(value) as y from events) select event_id, regexp_replace(cast(cast(round(x, 6) as decimal(28, 6)) as varchar), '\.?0+$', '') as shown, regexp_replace(cast(cast(y as decimal(28, 6)) as varchar), '\.?0+$', '') as whole from e")
 def number_format(spark, sf):
-    """F35."""
-    return spark.createDataFrame([(0.0,), (2.5,), (100.0,), (0.1234567,)], "x double").withColumn("shown", S.shortest("x"))
+    """the events' values, divided by seven and rounded to whole numbers."""
+    e = T.table(spark, sf, "events")
+    return e.select("event_id", S.shortest(F.col("value") / 7).alias("shown"), S.shortest(F.round("value", 0)).alias("whole"))
 
 
 @query("select l_linenumber % 4 as part, round(avg(case when l_quantity > 25 then 1.0 else 0.0 end), 6) as mismatch, round(count(distinct (floor(l_discount / 0.1001 * 4), floor(l_tax / 0.0801 * 4))) / 16.0, 6) as coverage from lineitem group by 1")

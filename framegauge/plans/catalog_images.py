@@ -226,18 +226,17 @@ def _texture(seed: int, size: int = 96) -> np.ndarray:
 
 def _scene(x: np.ndarray, view: int, frame: int):
     """A picture that depends on the row's number and its episode's: ``x`` holds both in its cells."""
-    episode, seq = int(x[0, 0]), int(x[0, 4])
+    episode, seq = int(x[0, 0]), int(x[0, 4])  # of cells that hold them instead of gray
     shift = 2 * (seq % 3)
     own = np.roll(_texture(episode + (100 * seq if view and episode % 2 else 0)), shift if view == 0 else -5, axis=1)
     return np.stack([own] * 3, axis=2)
 
 
 def _scenes(spark, sf, views: tuple[str, ...] = (VIEW,), scene=None) -> DataFrame:
-    v = vectors(spark, sf).where("seq < 200")
-    return pictures(v.withColumn("cells", F.concat(F.array("episode", "seq"), F.array_repeat(F.lit(0).cast("long"), 62))), recolor=scene or _scene, views=views)
+    return pictures(vectors(spark, sf).withColumn("cells", F.concat(F.array("episode", "seq"), F.array_repeat(F.lit(0).cast("long"), 62))), recolor=scene or _scene, views=views)
 
 
-PE = "pe as (select cast(label as bigint) as episode, vec_id as frame, row_number() over (partition by label order by vec_id) - 1 as seq from embeddings), ps as (select *, 2 * (seq % 3) as shift from pe where seq < 200)"
+PE = "pe as (select cast(label as bigint) as episode, vec_id as frame, row_number() over (partition by label order by vec_id) - 1 as seq from embeddings), ps as (select *, 2 * (seq % 3) as shift from pe)"
 
 
 @query(f"with {PE}, m as (select episode, seq, abs(shift - lag(shift) over (partition by episode order by seq)) as motion from ps) select episode, seq, cast(motion as double) as motion, true as followed from m where motion is not null")
@@ -270,22 +269,26 @@ def picture_boxes(spark, sf):
     return d.select("frame", F.col("panel_area").alias("area"), r6("panel_aspect", "aspect"), r6("panel_x", "cx"), r6("panel_y", "cy"))
 
 
-@query(f"with {PE}, n as (select episode, count(*) as n from pe group by 1) select pe.episode, count(*) as sampled_frames, case when pe.episode % 2 = 0 then 'ok' else 'unavailable' end as status from pe join n using (episode) where seq < 12 and least(n, 12) >= 4 group by 1")
+@query(f"with {PE}, n as (select *, count(*) over (partition by episode) as n from pe) select episode, count(*) as sampled_frames, case when episode % 2 = 0 then 'ok' else 'unavailable' end as status from n where n >= 4 and seq % greatest(1, n // 30) = 0 group by 1")
 def picture_feature_overlaps(spark, sf):
     """Two views of one texture in even episodes, of different ones in odd ones."""
-    rows = _scenes(spark, sf, views=(VIEW, "left_wrist_image")).where("seq < 12")
+    rows = _scenes(spark, sf, views=(VIEW, "left_wrist_image"))
     return vision.feature_overlaps(rows, [VIEW, "left_wrist_image"]).select("episode", "sampled_frames", "status")
 
 
 def _clips(spark, sf, kind: str) -> DataFrame:
-    """A clip for every tenth image: the finding's frame and up to 15 frame numbers around it."""
+    """A clip around every image that moved more than nine tenths of its episode's: up to 15 frame numbers to each side."""
+    from pyspark.sql import Window
+
     rows = pictures(vectors(spark, sf))
     spans = rows.groupBy("episode").agg(F.min("frame").alias("first_frame"), F.max("frame").alias("last_frame"))
-    found = rows.where("seq % 10 = 0").select("episode", F.col("frame").alias("frame_start"), F.col("frame").alias("frame_end"))
+    d = vision.visual_motion(vision.image_features(rows, [VIEW])).withColumn("high", F.percentile("motion", F.lit(0.9)).over(Window.partitionBy("episode")))
+    found = d.where("motion > high").select("episode", F.col("frame").alias("frame_start"), F.col("frame").alias("frame_end"))
     return clips.clip_files(clips.clip_windows(found, spans, 15), rows, VIEW, kind)
 
 
-CL = f"{PX}, cl as (select p.episode, p.frame as frame_start, q.frame, q.c from px p join px q on q.episode = p.episode and q.frame between p.frame - 15 and p.frame + 15 where p.seq % 10 = 0)"
+CL = f"""{PX}, gm as (select episode, frame, list_avg(list_transform(list_zip(g, b), lambda p: abs(p[1] - p[2]))) as motion from (select *, lag(g) over (partition by episode order by seq) as b from (select *, {GRID} as g from px)) where b is not null), hm as (select *, quantile_cont(motion, 0.9) over (partition by episode) as high from gm),
+cl as (select p.episode, p.frame as frame_start, q.frame, q.c from (select * from hm where motion > high) p join px q on q.episode = p.episode and q.frame between p.frame - 15 and p.frame + 15)"""
 
 
 @query(f"with {CL} select episode, frame_start, count(*) as frames, cast(sum(list_sum(c)) * 16 as bigint) as total from cl group by 1, 2")

@@ -63,10 +63,12 @@ _CASES = {
 }
 
 
-@query("with e as (select count(*) as n from embeddings where label = 0) " + " union all ".join(f"""select '{k}' as name, {a} as "start", {b} as "end" from e""" for k, (_, a, b) in _CASES.items()))
+@query("with c as (select label, count(*) as n from embeddings group by 1), e as (select arg_min(n, label) as n from c where n >= 5) " + " union all ".join(f"""select '{k}' as name, {a} as "start", {b} as "end" from e""" for k, (_, a, b) in _CASES.items()))
 def injected_cases(spark, sf):
-    """Every issue of the registry as a case of one source episode, the first, and the rows that it changed."""
-    e = written(frames(spark, sf).where("episode = 0"), "source")
+    """Every issue of the registry as a case of one source episode, the first with five rows or more, and the rows that it changed."""
+    all_ = frames(spark, sf)
+    first = all_.groupBy("episode").agg(F.count("*").alias("n")).where("n >= 5").agg(F.min("episode").alias("first"))
+    e = written(all_.join(F.broadcast(first), F.col("episode") == F.col("first"), "left_semi"), "source")  # a single row
     cases = written(J.generate_cases(e, ["episode"], J.registry(*_shown(), VIEWS3)), "cases")
     out = None
     for column in sorted({c for c, *_ in _CASES.values()}):
