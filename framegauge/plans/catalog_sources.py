@@ -376,7 +376,7 @@ def z_scores(spark, sf):
 ST = "case event_type when 'view' then 'ok' when 'click' then 'warning' when 'error' then 'fail' when 'signup' then 'unavailable' else 'odd' end"
 
 
-@query(f"with {EV}, p as (select episode, case event_type when 'view' then 0.0 when 'click' then 0.4 when 'signup' then 1.0 when 'error' then 1.5 else 0.0 end as p, case event_type when 'view' then 0.0 when 'click' then 1.0 when 'signup' then 2.0 when 'error' then 3.0 else 0.0 end as q from ev) select episode, round(sum(p), 6) as modules, round(sum(q), 6) as whole from p group by 1")
+@query(f"with {EV}, p as (select episode, case event_type when 'view' then 0.0 when 'click' then 0.4 when 'signup' then 1.0 when 'error' then 1.5 else 0.0 end as p, case event_type when 'view' then 0.0 when 'click' then 1.0 when 'signup' then 2.0 when 'error' then 3.0 else 0.0 end as q from ev) select episode, cast(sum(p) as double) as modules, cast(sum(q) as double) as whole from p group by 1")
 def status_penalties(spark, sf):
     """the penalties of modules and of the whole geometry."""
     d = T.events(spark, sf).withColumn("st", F.expr(ST))

@@ -56,7 +56,7 @@ HOT = f"""hi as (select case when a.count >= b.count then a.p95 else b.p95 end a
 ch as (select mv.* from mv, hi where not ({REF}) and state >= high and visual <= low)"""
 
 
-@query(f"""with {BU}, {HOT} select episode, a as frame_start, b as frame_end, n, round(least(92.0, 55 + 4.0 * n), 2) as severity from ({islands_sql("ch", "episode", "seq", 1, "arg_min(frame_before, seq) as a, arg_max(frame, seq) as b")})""")
+@query(f"""with {BU}, {HOT} select episode, a as frame_start, b as frame_end, n, cast(least(92.0, 55 + 4.0 * n) as double) as severity from ({islands_sql("ch", "episode", "seq", 1, "arg_min(frame_before, seq) as a, arg_max(frame, seq) as b")})""")
 def weak_camera_freeze(spark, sf):
     """Fast arms before a still view, from one transition on."""
     s = _signals(spark, sf)
@@ -78,7 +78,7 @@ UP = f"""va as (select coalesce(max(p05) filter (count >= 5), 0.0) as least from
 ph as (select x.* from (select mv.*, coalesce(lead(frame) over (partition by episode order by seq), frame) as after from mv) x join ps using (episode), va, {ONE.format("main_camera|panel_area")} s where not ({REF}) and s.count >= 5 and area <= p05 and valid_fraction >= greatest(0.1, least))"""
 
 
-@query(f"""with {BU}, {UP} select episode, a as frame_start, b as frame_end, n, round(least(78.0, 45 + 2.5 * n), 2) as severity from ({islands_sql("ph", "episode", "seq", 1, "arg_min(frame, seq) as a, arg_max(after, seq) as b")})""")
+@query(f"""with {BU}, {UP} select episode, a as frame_start, b as frame_end, n, cast(least(78.0, 45 + 2.5 * n) as double) as severity from ({islands_sql("ph", "episode", "seq", 1, "arg_min(frame, seq) as a, arg_max(after, seq) as b")})""")
 def weak_panel_unstable(spark, sf):
     """Areas under the reference's in episodes whose panel is valid often enough."""
     s = _signals(spark, sf)
