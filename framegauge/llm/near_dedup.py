@@ -159,7 +159,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sk = written(_sketches(docs, *how, t, rows), "sketch")
     sets = sk.where("n > 0 and id is not null")
     classes = written(sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes", per_core=2)
-    member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member", per_core=8)
+    member = written(sets.join(classes, ["n", "s1", "s2"]).select("id", "rep", "n", F.expr("if(id = rep, bands, null)").alias("bands"), F.expr("if(id = rep, sig, null)").alias("sig")), "member", per_core=16)
     discard(classes)
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))
@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     star = shared.select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     sig = written(_alike(star, reps, percent, t), "pairs", per_core=2)
-    links = written(_verified(docs, sig, percent, *how), "links", per_core=8)
+    links = written(_verified(docs, sig, percent, *how), "links", per_core=16)
     discard(sig)
     # one id with several sets: all of them belong to one document
     several = member.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z")
@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = written(_alike(pairs, reps, percent, t), "rest", per_core=2)
     discard(shared, *tables)
     if not more.isEmpty():
-        rest = written(_verified(docs, more, percent, *how), "links2", per_core=8)
+        rest = written(_verified(docs, more, percent, *how), "links2", per_core=16)
         found = written(connected_components(edges.union(rest.select("a", "b"))), "found2", per_core=2)
         discard(rest)
     discard(more, links, same)
@@ -204,7 +204,7 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     c = shared.join(found, "id", "left").select("bh", "id", F.coalesce("component", "id").alias("c"))
     open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets", per_core=2)
     ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open", per_core=2)
-    token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens", per_core=8)
+    token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens", per_core=16)
     between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between", per_core=2)
     w = Window.partitionBy("id")
     ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
