@@ -164,7 +164,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = member.where("bands is not null").select("id", "n", "bands", "sig")
     band = reps.select("id", F.explode("bands").alias("bh"))
     # written before it meets its buckets again: the engine then knows its size, and can send it or split a hot bucket
-    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs", per_core=2)
+    hubs = written(band.groupBy("bh").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi"), "hubs", per_core=8)
     shared = written(band.join(hubs, "bh"), "bucket", per_core=8)
     discard(hubs)
 
@@ -205,10 +205,10 @@ def _unsettled(docs: DataFrame, shared: DataFrame, found: DataFrame, percent: in
     open_ = written(c.groupBy("bh").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bh"), "open-buckets", per_core=2)
     ids = written(c.join(open_, "bh").select("id", "c").distinct(), "open", per_core=2)
     token = written(_sets(docs, ids.select("id"), *how).join(ids, "id").select("id", "c", F.size("set").alias("n"), F.explode("set").alias("sh")), "tokens", per_core=16)
-    between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between", per_core=2)
+    between = written(token.groupBy("sh").agg(F.count("*").alias("df"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("sh", "df"), "between", per_core=8)
     w = Window.partitionBy("id")
     ranked = token.join(between, "sh").withColumn("r", F.row_number().over(w.orderBy("df", "sh")) + F.col("n") - F.count("*").over(w))
-    prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix", per_core=4)
+    prefix = written(ranked.where(f"r <= n - ceil(n * {percent} / 100) + 1").select("id", "c", "n", "sh", "r"), "prefix", per_core=8)
     of = prefix.groupBy("sh", "c").agg(F.count("*").alias("k")).groupBy("sh").agg(F.max_by("c", "k").alias("main"), F.ceil(F.sum("k") / SPLIT).cast("int").alias("parts"), F.count("*").alias("components"))
     main = written(of.where("components > 1").drop("components"), "main", per_core=2)
     dealt = written(prefix.join(main, "sh"), "dealt", per_core=4)
