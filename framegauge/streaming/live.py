@@ -30,11 +30,11 @@ def rolling_stats(stream: DataFrame, keys: list[str], time: str, value: str, win
     return g.agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max")).select(*keys, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "mean", "min", "max")
 
 
-def index_faults(stream: DataFrame, key: str, index: str, idle: int = 86_400_000) -> DataFrame:
+def index_faults(stream: DataFrame, key: str, index: str, idle: int | None = None) -> DataFrame:
     """Repeated, skipped and late indices as they arrive, by key: (key, previous, current, issue_type).
 
-    The state is one number per key, and is given up when a key was idle for so many milliseconds; its next row then begins
-    anew. A row older than what was seen is a finding of its own, not dropped."""
+    The state is one number per key. With ``idle`` it is given up when a key was idle for so many milliseconds, and its next
+    row begins anew; such a stream never ends by itself, also where it is to read what is there and stop. A row older than what was seen is a finding of its own, not dropped."""
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -49,8 +49,9 @@ def index_faults(stream: DataFrame, key: str, index: str, idle: int = 86_400_000
                 last = int(i)
         if last is not None:
             state.update((last,))
-            state.setTimeoutDuration(idle)
+            if idle:
+                state.setTimeoutDuration(idle)
         yield pd.DataFrame(out, columns=["key", "previous", "current", "issue_type"])
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(step, f"key {kind}, previous long, current long, issue_type string", "last long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, f"key {kind}, previous long, current long, issue_type string", "last long", "append", GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout)
