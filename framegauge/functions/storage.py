@@ -61,6 +61,12 @@ def write_file(spark: SparkSession, path: str, data: bytes) -> None:
         stream.close()
 
 
+def dealt(spark: SparkSession) -> int:
+    """Number of tasks for short rows that make much work: as many as a shuffle has, four a core at least. Given as a number it
+    stays; partitions by size would put all into one task."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of a plan's size; no job runs."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -169,12 +169,23 @@ def panels(frames: DataFrame, view: str) -> DataFrame:
     return rows.mapInArrow(run, f"{_KEYS}, " + ", ".join(f"{n} double" for n in names)).withColumn("view", F.lit(view))
 
 
+def sampled_rows(frames: DataFrame, parts: int = 30) -> DataFrame:
+    """About ``parts`` rows of each episode of at least four, evenly; only episode and seq are read to find them."""
+    n = frames.groupBy("episode").agg(F.count("*").alias("_n"))
+    d = frames.join(F.broadcast(n) if n.count() <= BROADCAST_EPISODES else n, "episode")
+    return d.where((F.col("_n") >= 4) & (F.col("seq") % F.greatest(F.lit(1), F.floor(F.col("_n") / parts)) == 0)).select(*frames.columns)
+
+
 def feature_overlaps(frames: DataFrame, views: list[str], parts: int = 30, least_frames: int = 3, least_share: float = 0.2) -> DataFrame:
     """Pairs of views whose descriptors match on enough sampled rows, by episode. Only sampled rows are decoded; views
-    of a row stand in it, so no image is shuffled."""
-    n = frames.groupBy("episode").agg(F.count("*").alias("_n"))
-    d = frames.select("episode", "task", "seq", "frame", *(F.col(f"{v}.bytes").alias(v) for v in views)).join(F.broadcast(n) if n.count() <= BROADCAST_EPISODES else n, "episode")
-    d = d.where((F.col("_n") >= 4) & (F.col("seq") % F.greatest(F.lit(1), F.floor(F.col("_n") / parts)) == 0)).drop("_n")
+    of a row stand in it, so no image is shuffled. Where images are made, not read, take ``sampled_rows`` before and
+    ``sample_overlaps`` after that."""
+    return sample_overlaps(sampled_rows(frames, parts), views, least_frames, least_share)
+
+
+def sample_overlaps(frames: DataFrame, views: list[str], least_frames: int = 3, least_share: float = 0.2) -> DataFrame:
+    """C5, C7 of rows that are sampled."""
+    d = frames.select("episode", "task", "seq", "frame", *(F.col(f"{v}.bytes").alias(v) for v in views))
     pairs = [(i, j) for i in range(len(views)) for j in range(i + 1, len(views))]
 
     def run(batches):

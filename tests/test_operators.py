@@ -179,3 +179,25 @@ def test_statistics_leave_unfit_episodes_out(spark):
     d = spark.createDataFrame(rows, "episode long, state array<double>")
     assert sorted(r.episode for r in geometry.unfit_for_reference(d).collect()) == [1, 2, 3]
     assert sorted(r.episode for r in geometry.unfit_for_reference(d.select("episode")).collect()) == [0, 1, 2, 3]
+
+
+def test_made_pictures_are_dealt_out(spark):
+    """One episode of short rows isn't one task of images."""
+    from framegauge.plans.catalog_images import pictures
+
+    rows = spark.range(300).select(F.lit(1).cast("long").alias("episode"), F.lit(None).cast("long").alias("task"), F.col("id").alias("seq"), F.col("id").alias("frame"), F.array_repeat(F.col("id") % 256, 64).alias("cells"))
+    counts = [r["count"] for r in pictures(signals.numbered(rows.drop("seq"), ["episode"], "frame")).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(counts) == 300 and len(counts) > 8 and max(counts) < 60
+
+
+def test_overlaps_make_sampled_rows_only(spark):
+    from framegauge.plans.catalog_images import _scenes
+
+    def scene(x, view, frame):
+        if frame % 4:
+            raise AssertionError("a picture that nothing looks at")
+        return np.full((48, 48, 3), frame)
+
+    rows = spark.range(120).select(F.lit(1).cast("long").alias("episode"), F.lit(None).cast("long").alias("task"), F.col("id").alias("seq"), F.col("id").alias("frame")).union(spark.sql("select 2L, null, id, 4 * id from range(3)"))
+    got = vision.sample_overlaps(_scenes(vision.sampled_rows(rows), views=("image", "wrist"), scene=scene), ["image", "wrist"]).collect()
+    assert [(r.episode, r.sampled_frames, r.status) for r in got] == [(1, 30, "unavailable")]
