@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framegauge.functions import scalars as S
 from framegauge.functions import vectors as V
-from framegauge.functions.storage import written
+from framegauge.functions.storage import shared_dir, written
 from framegauge.functions.taxonomy import DIMENSION_POINTS, FAMILIES, STATUSES
 from framegauge.operators import detectors as D
 from framegauge.operators import injection as J
@@ -1031,12 +1031,19 @@ def _event_stream(spark, sf) -> DataFrame:
 
 
 def _streamed(spark, df: DataFrame, mode: str) -> DataFrame:
-    """What a stream gave when it had read all there is."""
+    """What a stream gave when it had read all there is. Its tasks write the rows, the driver holds none; where each batch
+    gives the whole result, it takes the place of the one before."""
     import uuid
 
-    name = f"rows_{uuid.uuid4().hex}"
-    df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    folder, kept = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}", set()
+
+    def keep(rows: DataFrame, n: int) -> None:
+        path = f"{folder}/rows" if mode == "complete" else f"{folder}/rows-{n}"
+        rows.write.mode("overwrite").parquet(path)
+        kept.add(path)
+
+    df.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(*sorted(kept)) if kept else spark.createDataFrame([], df.schema)
 
 
 @query("""with w as (select user_id, value, unnest([cast(floor(epoch_us(ts) / 86400e6) as bigint), cast(floor(epoch_us(ts) / 86400e6) as bigint) - 1]) as d from events)

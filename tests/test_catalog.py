@@ -61,3 +61,20 @@ def test_without_optional_part():
 def test_four_defects_are_reported(spark):
     got = {(r.issue_type, r.frame_start, r.frame_end) for r in catalog.queries()["v1_four_defects"](spark, SF).collect()}
     assert got == {("timestamp_interval", 49, 50), ("timestamp_interval", 50, 51), ("frozen_frame_run", 119, 129), *((("state_continuity_spike"), i, i) for i in (79, 80, 81))}
+
+
+@pytest.mark.parametrize("name", ["stream_rolling_stats", "stream_session_runs", "stream_outliers"])
+def test_streams_are_written_by_their_tasks(spark, name):
+    """No driver holds what a stream gave."""
+    assert catalog.queries()[name](spark, SF).inputFiles()
+
+
+def test_stream_of_several_batches(spark, tmp_path):
+    """A whole result takes the place of the batch before it, appended rows stay; nothing gives no row."""
+    for i in range(3):
+        spark.range(10 * i, 10 * i + 10).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    read = lambda at: spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(at)
+    assert sorted(r.id for r in catalog._streamed(spark, read(f"{tmp_path}/in/*"), "append").collect()) == list(range(30))
+    assert [(r.k, r["count"]) for r in catalog._streamed(spark, read(f"{tmp_path}/in/*").selectExpr("id % 1 as k").groupBy("k").count(), "complete").collect()] == [(0, 30)]
+    (tmp_path / "none").mkdir()
+    assert catalog._streamed(spark, read(f"{tmp_path}/none"), "append").collect() == []
