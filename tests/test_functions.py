@@ -180,3 +180,15 @@ def test_tracks_panels_overlaps():
     assert label[0, 0] == label[0, 2] == label[1, 1] != label[3, 0] == label[3, 1]
     (cx, cy), sides, _ = K.least_box(np.array([[0, 0], [4, 0], [4, 2], [0, 2], [2, 1]]))
     assert (cx, cy) == (2, 1) and sorted(sides) == [2, 4]
+
+
+def test_hull_takes_ends_of_rows_only():
+    """A full box of 700 x 900 points has four corners; its points aren't walked one by one."""
+    import time
+
+    from framegauge.functions import tracks as K
+
+    y, x = np.mgrid[0:700, 0:900]
+    began = time.process_time()
+    (cx, cy), sides, _ = K.least_box(np.stack([x.ravel(), y.ravel()], axis=1))
+    assert (cx, cy) == (449.5, 349.5) and sorted(sides) == [699, 899] and time.process_time() - began < 1
