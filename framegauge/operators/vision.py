@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from framegauge.functions import images as I
 from framegauge.functions import tracks
+from framegauge.functions.storage import dealt
 from framegauge.operators.signals import ordered
 from framegauge.operators.statistics import null_safe
 
@@ -126,26 +127,67 @@ def _gray_images(batch: pa.RecordBatch, column: int):
             yield None
 
 
-def track_motion(frames: DataFrame, view: str) -> DataFrame:
+def track_motion(frames: DataFrame, view: str, block: int = 64) -> DataFrame:
     """``(episode, task, seq, frame, view, motion, tracks, inliers, same)``: how far tracked corners moved from the image
-    before; null after an unreadable image. Images are shuffled by episode and stream in order, one before the other in
-    memory; the grid's motion (``visual_motion``) needs no such shuffle."""
-    rows = frames.select("episode", "task", "seq", "frame", F.col(f"{view}.bytes").alias("bytes")).repartition("episode").sortWithinPartitions("episode", "task", "seq")
+    before; null after an unreadable image. Images are shuffled by blocks of ``block`` numbers of an episode and stream in
+    order, one before the other in memory. A block passes on its first and its last image; from these the first rows get
+    theirs by episode. The grid's motion (``visual_motion``) needs no such shuffle."""
+    spark = frames.sparkSession
+    names, keys = ["episode", "task", "seq", "frame"], ["episode", "task", "_block"]
+    rows = frames.select(*names, F.floor(F.col("seq") / block).alias("_block"), F.col(f"{view}.bytes").alias("bytes"))
+    kinds = {"motion": pa.float64(), "tracks": pa.int64(), "inliers": pa.int64(), "same": pa.bool_()}
+    none = dict.fromkeys(kinds)
+
+    def moved(before, gray) -> dict:
+        if before is None or gray is None:
+            return none
+        return tracks.track_motion(before, gray) | {"same": bool(before.shape == gray.shape and (before == gray).all())}
+
+    def batch_of(names: list[str], cells: list, found: list[dict], more: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*cells, *(pa.array([r[k] for r in found], t) for k, t in kinds.items()), *more.values()], [*names, *kinds, *more])
+
+    def within(batches):
+        """The rows of each block; a row is given out when the one after it is known, the image with it if it is the first or the last."""
+        key, before, held = None, None, None
+
+        def out(rows: list[tuple]) -> pa.RecordBatch:
+            cells = [pa.array([r[0][i] for r in rows], pa.int64()) for i in range(4)]
+            return batch_of(names, cells, [r[1] for r in rows], {"first": pa.array([r[2] for r in rows], pa.bool_()), "last": pa.array([r[3] for r in rows], pa.bool_()), "bytes": pa.array([r[4] if r[2] or r[3] else None for r in rows], pa.binary())})
 
-    def run(batches):
-        episode, before = None, None
         for batch in batches:
-            out = []
-            for i, gray in enumerate(_gray_images(batch, 4)):
-                key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                before, episode = (before if key == episode else None), key
-                pair = before is not None and gray is not None
-                out.append((tracks.track_motion(before, gray) if pair else {"motion": None, "tracks": None, "inliers": None}) | {"same": bool(before.shape == gray.shape and (before == gray).all()) if pair else None})
-                before = gray
-            cols = [pa.array([r[k] for r in out], t) for k, t in (("motion", pa.float64()), ("tracks", pa.int64()), ("inliers", pa.int64()), ("same", pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *cols], ["episode", "task", "seq", "frame", "motion", "tracks", "inliers", "same"])
-
-    return rows.mapInArrow(run, f"{_KEYS}, motion double, tracks long, inliers long, same boolean").withColumn("view", F.lit(view))
+            ready = []
+            cells = [batch.column(i).to_pylist() for i in range(6)]
+            for i, gray in enumerate(_gray_images(batch, 5)):
+                row, now = tuple(c[i] for c in cells[:4]), (cells[0][i], cells[1][i], cells[4][i])
+                first = held is None or now != key
+                if held is not None:
+                    ready.append((*held[:3], first, held[3]))
+                held = row, none if first else moved(before, gray), first, cells[5][i]
+                key, before = now, gray
+            if ready:
+                yield out(ready)
+        if held is not None:
+            yield out([(*held[:3], True, held[3])])
+
+    def across(batches):
+        """The first rows of blocks, from the last image of the block before."""
+        key, before = None, None
+        for batch in batches:
+            cells = [batch.column(i).to_pylist() for i in range(11)]
+            found = [{k: c[i] for k, c in zip(kinds, cells[4:8], strict=True)} for i in range(batch.num_rows)]
+            ends = [i for i in range(batch.num_rows) if cells[8][i] or cells[9][i]]
+            for i, gray in zip(ends, _gray_images(batch.take(pa.array(ends, pa.int64())), 10), strict=True):
+                now = cells[0][i], cells[1][i]
+                if cells[8][i]:
+                    found[i] = moved(before if now == key else None, gray)
+                if cells[9][i]:
+                    before, key = gray, now
+            yield batch_of(names, [batch.column(i) for i in range(4)], found, {})
+
+    by = rows.repartition(dealt(spark), *keys).sortWithinPartitions(*keys, "seq")
+    parts = by.mapInArrow(within, f"{_KEYS}, motion double, tracks long, inliers long, same boolean, first boolean, last boolean, bytes binary")
+    whole = parts.repartition("episode").sortWithinPartitions("episode", "task", "seq")
+    return whole.mapInArrow(across, f"{_KEYS}, motion double, tracks long, inliers long, same boolean").withColumn("view", F.lit(view))
 
 
 def track_summary(moves: DataFrame, least: int = 8) -> DataFrame:

@@ -201,3 +201,23 @@ def test_overlaps_make_sampled_rows_only(spark):
     rows = spark.range(120).select(F.lit(1).cast("long").alias("episode"), F.lit(None).cast("long").alias("task"), F.col("id").alias("seq"), F.col("id").alias("frame")).union(spark.sql("select 2L, null, id, 4 * id from range(3)"))
     got = vision.sample_overlaps(_scenes(vision.sampled_rows(rows), views=("image", "wrist"), scene=scene), ["image", "wrist"]).collect()
     assert [(r.episode, r.sampled_frames, r.status) for r in got] == [(1, 30, "unavailable")]
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_tracks_go_on_across_blocks(spark, block):
+    """Numbers that miss some, two tasks and unreadable images: as one pass over each in order."""
+    from framegauge.functions import tracks
+    from framegauge.functions.images import encode_png
+    from framegauge.plans.catalog_images import _texture
+
+    image = lambda s: np.stack([np.roll(_texture(1), s, 1).astype(np.uint8)] * 3, axis=2)
+    rows, want, before = [], {}, {}
+    for n, (task, seq) in enumerate([(0, 0), (0, 1), (0, 2), (0, 5), (0, 6), (0, 7), (0, 130), (0, 131), (1, 0), (1, 1), (1, 4)]):
+        x = None if seq == 6 else image(n * n % 5)
+        rows.append((7, task, seq, n, (None if x is None else bytearray(encode_png(x)),)))
+        pair = before.get(task) is not None and x is not None
+        want[task, seq] = tracks.track_motion(before[task][:, :, 0], x[:, :, 0])["motion"] if pair else None
+        before = {task: x}
+    df = spark.createDataFrame(rows, "episode long, task long, seq long, frame long, image struct<bytes:binary>").repartition(3)
+    got = {(r.task, r.seq): r.motion for r in vision.track_motion(df, "image", block).collect()}
+    assert got.keys() == want.keys() and all((got[k] is None) == (want[k] is None) and (want[k] is None or abs(got[k] - want[k]) < 1e-6) for k in want)
