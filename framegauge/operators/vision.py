@@ -117,6 +117,9 @@ def grid_coverage(points: DataFrame, keys: list[str], x: str, y: str, width: flo
 
 _KEYS = "episode long, task long, seq long, frame long"
 
+#: Pairs of images whose points are followed in the same steps.
+_AT_ONCE = 16
+
 
 def _gray_images(batch: pa.RecordBatch, column: int):
     """The luma of each image, None for what can't be read."""
@@ -138,10 +141,10 @@ def track_motion(frames: DataFrame, view: str, block: int = 64) -> DataFrame:
     kinds = {"motion": pa.float64(), "tracks": pa.int64(), "inliers": pa.int64(), "same": pa.bool_()}
     none = dict.fromkeys(kinds)
 
-    def moved(before, gray) -> dict:
-        if before is None or gray is None:
-            return none
-        return tracks.track_motion(before, gray) | {"same": bool(before.shape == gray.shape and (before == gray).all())}
+    def moved(pairs: list[tuple]) -> list[dict]:
+        known = [(a, b) for a, b in pairs if a is not None and b is not None]
+        found = iter([r | {"same": bool(a.shape == b.shape and (a == b).all())} for r, (a, b) in zip(tracks.track_motions(known), known, strict=True)])
+        return [none if a is None or b is None else next(found) for a, b in pairs]
 
     def batch_of(names: list[str], cells: list, found: list[dict], more: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*cells, *(pa.array([r[k] for r in found], t) for k, t in kinds.items()), *more.values()], [*names, *kinds, *more])
@@ -156,14 +159,17 @@ def track_motion(frames: DataFrame, view: str, block: int = 64) -> DataFrame:
 
         for batch in batches:
             ready = []
-            cells = [batch.column(i).to_pylist() for i in range(6)]
-            for i, gray in enumerate(_gray_images(batch, 5)):
-                row, now = tuple(c[i] for c in cells[:4]), (cells[0][i], cells[1][i], cells[4][i])
-                first = held is None or now != key
-                if held is not None:
-                    ready.append((*held[:3], first, held[3]))
-                held = row, none if first else moved(before, gray), first, cells[5][i]
-                key, before = now, gray
+            for at in range(0, batch.num_rows, _AT_ONCE):
+                part = batch.slice(at, _AT_ONCE)
+                cells, grays = [part.column(i).to_pylist() for i in range(6)], list(_gray_images(part, 5))
+                places = list(zip(cells[0], cells[1], cells[4], strict=True))
+                firsts = [now != last for now, last in zip(places, [key, *places], strict=False)]
+                found = moved([(None if f else a, b) for f, a, b in zip(firsts, [before, *grays], grays, strict=False)])
+                for i, (row, first) in enumerate(zip(zip(*cells[:4], strict=True), firsts, strict=True)):
+                    if held is not None:
+                        ready.append((*held[:3], first, held[3]))
+                    held = row, found[i], first, cells[5][i]
+                key, before = places[-1], grays[-1]
             if ready:
                 yield out(ready)
         if held is not None:
@@ -179,7 +185,7 @@ def track_motion(frames: DataFrame, view: str, block: int = 64) -> DataFrame:
             for i, gray in zip(ends, _gray_images(batch.take(pa.array(ends, pa.int64())), 10), strict=True):
                 now = cells[0][i], cells[1][i]
                 if cells[8][i]:
-                    found[i] = moved(before if now == key else None, gray)
+                    found[i] = moved([(before if now == key else None, gray)])[0]
                 if cells[9][i]:
                     before, key = gray, now
             yield batch_of(names, [batch.column(i) for i in range(4)], found, {})
